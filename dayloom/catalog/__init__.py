@@ -1,4 +1,4 @@
-from dayloom.catalog import build, feeds, modelling, parsing, quality, series, streams  # noqa: F401  (registers queries)
+from dayloom.catalog import build, cleaning, feeds, modelling, parsing, quality, series, streams  # noqa: F401  (registers queries)
 from dayloom.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -225,13 +225,38 @@ def forward_fill_keyed(spark, folder):
     """,
 )
 def forward_fill_global(spark, folder):
-    """No key at all: every event carries the latest purchase, cut into hours."""
+    """No key at all: every event carries the latest purchase; time is cut by row count."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     events = table(spark, folder, "events").select(
         "event_id",
         "ts",
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("value"),
     )
-    return forward_fill(events, ["value"], "ts", bucket=F.date_trunc("hour", "ts"))
+    return forward_fill(events, ["value"], "ts", parts=partitions)
+
+
+@query(
+    "forward_fill_buckets",
+    """
+    WITH marked AS (
+      SELECT event_id, event_type, ts, CASE WHEN props LIKE '%9%' THEN value END AS value
+      FROM events)
+    SELECT event_id, event_type, ts,
+           last_value(value IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY ts
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS value
+    FROM marked
+    """,
+)
+def forward_fill_buckets(spark, folder):
+    """Few keys with very many rows each: filled hour by hour, with the carry joined back."""
+    events = table(spark, folder, "events").select(
+        "event_id",
+        "event_type",
+        "ts",
+        F.when(F.col("props").contains("9"), F.col("value")).alias("value"),
+    )
+    hour = F.date_trunc("hour", "ts")
+    return forward_fill(events, ["value"], "ts", ["event_type"], bucket=hour)
 
 
 @query(
@@ -304,7 +329,7 @@ def feature_matrix_query(spark, folder):
     """Flagship: from raw lines to the features of every supplier's series."""
     daily = line_daily(spark, folder)
     # The newest day comes from the raw column alone: statistics and one partial maximum.
-    top = table(spark, folder, "lineitem").agg(F.max(F.to_date("l_shipdate"))).scalar()
+    top = table(spark, folder, "lineitem").agg(F.max("l_shipdate").cast("date")).scalar()
     dense = as_of_daily([(daily, VALUES)], "date", ["l_suppkey"], START, top)
     features = rounded(feature_matrix(dense, "price_a", AVERAGED, by=["l_suppkey"]))
     return register_view(features, "features_live")
@@ -342,6 +367,6 @@ def feature_matrix_unkeyed(spark, folder):
             money(priority == "3-MEDIUM").alias("soil_moisture"),
         )
     )
-    top = table(spark, folder, "orders").agg(F.max(F.to_date("o_orderdate"))).scalar()
+    top = table(spark, folder, "orders").agg(F.max("o_orderdate").cast("date")).scalar()
     dense = as_of_daily([(daily, VALUES)], "date", lo=START, hi=top)
     return rounded(feature_matrix(dense, "price_a", AVERAGED, stretch_days=183))

@@ -8,23 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-# A hot key's rows end up in this many parts; its first rows, one per part, meet in one task.
-DEFAULT_SALTS = 4096
-_SALT, _PLACE, _MORE, _MEET = "_salt", "_place", "_more", "_meet"
-
-
-def _content_hash(df: DataFrame) -> Column:
-    return F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
+from dayloom.operators.skew import DEFAULT_SALTS, content_hash, salt
 
-
-def salt(df: DataFrame, salts: int) -> Column:
-    """A part number from the row's content and its input partition."""
-    content = F.pmod(_content_hash(df), F.lit(salts))
-    place = F.pmod(F.spark_partition_id(), F.lit(salts))
-    return F.pmod(content + place, F.lit(salts)).cast("int")
+_SALT, _PLACE, _MORE, _MEET = "_salt", "_place", "_more", "_meet"
 
 
 def _descending(order: list[Column | str]) -> list[Column]:
@@ -65,7 +53,7 @@ def mark_duplicates(
     order is made total by the row content; which of several exact copies comes first
     does not show in the result, so the salt does not either.
     """
-    total = [*order, _content_hash(df)]
+    total = [*order, content_hash(df)]
     salted = df.withColumn(_SALT, salt(df, salts))
     inner = Window.partitionBy(*keys, _SALT).orderBy(*total)
     ranked = salted.withColumns(
@@ -91,7 +79,7 @@ def _duplicate_reason(date: str | None) -> Column:
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     """The first row of each key in ascending ``order``."""
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, _content_hash(df)))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, content_hash(df)))
     return df.withColumn(_PLACE, place).filter(F.col(_PLACE) == 1).drop(_PLACE)
 
 
@@ -101,7 +89,7 @@ def keep_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     Two rows per key and task are enough to tell whether a key repeats, so at most two
     are sent; the count over what arrives needs no further shuffle.
     """
-    hashed = _content_hash(df)
+    hashed = content_hash(df)
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(hashed))
     two = df.withColumn(_PLACE, place).filter(F.col(_PLACE) <= 2)
     return (

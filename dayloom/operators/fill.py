@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from dayloom.operators.skew import range_buckets
+
 _BUCKET = "_bucket"
 
 
@@ -15,21 +17,27 @@ def forward_fill(
     order: str,
     by: list[str] | None = None,
     bucket: Column | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """The last non-null value up to each row, per key; leading nulls stay.
 
-    With ``bucket`` (a column that never decreases along ``order``) no key has to fit in one
-    task: rows are filled within (key, bucket), the last value of each bucket is carried
-    over the bucket summary, and joined back. ``order`` must be unique within a key.
+    Plain windows need the rows of a key in one task, which suits daily series. With
+    ``bucket`` (a column that never decreases along ``order``) or ``parts`` (that many
+    ranges of equal size, see ``range_buckets``) no key has to: rows are filled within
+    (key, bucket), the last value of each bucket is carried over the bucket summary, and
+    joined back. ``order`` must be unique within a key.
     """
     by = list(by or [])
-    if bucket is None:
+    if bucket is None and parts is None:
         spec = Window.partitionBy(*by).orderBy(order).rowsBetween(
             Window.unboundedPreceding, Window.currentRow
         )
         return df.withColumns({c: F.last(c, ignorenulls=True).over(spec) for c in columns})
 
-    cut = df.withColumn(_BUCKET, bucket)
+    if parts is not None:
+        cut = range_buckets(df, [order], _BUCKET, parts)
+    else:
+        cut = df.withColumn(_BUCKET, bucket)
     inside = Window.partitionBy(*by, _BUCKET).orderBy(order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

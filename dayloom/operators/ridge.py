@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from dayloom.operators.dedup import salt
+from dayloom.operators.skew import salted_join
 
 DEFAULT_L2 = 1.0
 # A key's models are solved from one row per combination of category values. More than
@@ -36,18 +36,6 @@ def _means(numeric: list[str], label: str, over: Window | None = None) -> list[C
     return out
 
 
-def salted_join(
-    df: DataFrame, per_key: DataFrame, by: list[str], salts: int, how: str = "inner"
-) -> DataFrame:
-    """Joins a frame of one row per key onto rows of which one key may hold very many.
-
-    The rows of a key are spread over ``salts`` parts and its one row is copied to each.
-    """
-    spread = df.withColumn("_part", salt(df, salts))
-    copies = per_key.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_part"))
-    return spread.join(copies, [*by, "_part"], how).drop("_part")
-
-
 def _centred(
     train: DataFrame, numeric: list[str], label: str, by: list[str], salts: int | None
 ) -> DataFrame:

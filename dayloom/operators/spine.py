@@ -22,7 +22,7 @@ def spine_bounds(
     """One row (lo, hi): the greatest date of all sources, or ``as_of`` when all are empty."""
     tops = None
     for df, date in sources:
-        top = df.agg(F.max(F.col(date).cast("date")).alias("hi"))
+        top = df.agg(F.max(date).cast("date").alias("hi"))
         tops = top if tops is None else tops.unionByName(top)
     today = F.current_date() if as_of is None else as_of
     return tops.agg(F.coalesce(F.max("hi"), today).alias("hi")).select(
@@ -32,7 +32,7 @@ def spine_bounds(
 
 def bounds_by_key(df: DataFrame, by: list[str], date: str) -> DataFrame:
     return df.groupBy(*by).agg(
-        F.min(F.col(date).cast("date")).alias("lo"), F.max(F.col(date).cast("date")).alias("hi")
+        F.min(date).cast("date").alias("lo"), F.max(date).cast("date").alias("hi")
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayloom.functions import (
@@ -35,87 +35,134 @@ from dayloom.operators.quality import (
     to_quarantine,
 )
 from dayloom.schemas import FIRST_VALID_DAY, LAST_VALID_DAY
+from dayloom.session import scratch_path
 from dayloom.sources.documents import explode_records
 from dayloom.sources.lines import parse_csv_line, parse_plain_line
+from dayloom.sources.tables import read_marked, write_curated, write_marked
 
+# Columns with this prefix hold the text a value was read from.
+RAW = "_raw_"
 
-def clean_price_lines(
+
+def settle(
+    valid: DataFrame,
+    invalid: DataFrame,
+    values: tuple[str, ...],
+    policy: str,
+    order: list[str] | None = None,
+    reason_date: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Duplicate handling by date: curated rows, and quarantine rows of both causes.
+
+    Quarantine rows show the raw text where the frame has it, since that is easier to
+    repair than a half-parsed value.
+    """
+    kept, repeated = dedup(valid, ["date"], policy, list(order or []), reason_date)
+    rejected = quarantine_union(invalid, repeated.select(invalid.columns))
+    shown = [
+        F.col(f"{RAW}{c}" if f"{RAW}{c}" in rejected.columns else c).alias(c)
+        for c in ("date", *values)
+    ]
+    return kept.select("date", *values), to_quarantine(rejected.select(*shown, "errors"))
+
+
+def run_cleaner(
+    spark: SparkSession, judged: DataFrame, curated: str, quarantine: str, **settling
+) -> None:
+    """Replaces the curated and the quarantine table of a feed.
+
+    The judged rows are written once, split by the flag; both tables are made from that
+    copy, so the raw text is read and parsed a single time.
+    """
+    staged = scratch_path(spark, "judged")
+    write_marked(judged, staged)
+    sides = [read_marked(spark, staged, flag) for flag in (True, False)]
+    kept, rejected = settle(sides[0].drop("errors"), sides[1], **settling)
+    write_curated(kept, curated)
+    write_curated(rejected, quarantine)
+
+
+def judge_price_lines(
     lines: DataFrame,
     line: str = "line",
     value: str = "price_a",
     label: str = "Euro_Price",
     pick: tuple[int, int] = (0, 4),
-    order: list[str] | None = None,
+    keep: tuple[str, ...] = (),
     allow_non_finite: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """Quoted CSV prices. One row per date is kept, in ``order``; the rest are rejected.
-
-    A rejected row keeps its raw text, which makes it easier to repair than a half-parsed one.
-    """
-    order = list(order or [])
+) -> DataFrame:
+    """Quoted CSV lines to date and price, with the reasons against each line."""
     to_number = parse_double if allow_non_finite else safe_double
     record = parse_csv_line(line, {"date": pick[0], "value": pick[1]})
-    parsed = compute_once(lines.select(*order, line), {"_record": record})
+    parsed = compute_once(lines.select(*keep, line), {"_record": record})
     typed = compute_once(
         parsed,
         {
-            "_raw_date": F.coalesce(F.col("_record.date"), F.col(line)),
-            "_raw_value": F.col("_record.value"),
+            f"{RAW}date": F.coalesce(F.col("_record.date"), F.col(line)),
+            f"{RAW}{value}": F.col("_record.value"),
             "date": date_from_dmy("_record.date"),
             value: to_number(strip_thousands("_record.value")),
         },
     )
     readable = F.col("_record").isNotNull()
     rules = [
-        rule_malformed("_record"),
-        *[
-            Rule(readable & rule.bad_when, rule.message)
-            for rule in (
-                rule_date("_raw_date", "date", echo=True),
-                rule_number(value, label),
-                rule_positive(value, label),
-            )
-        ],
+        rule_date(f"{RAW}date", "date", echo=True),
+        rule_number(value, label),
+        rule_positive(value, label),
     ]
-    valid, invalid = split(apply_rules(typed, rules))
-    kept, repeated = dedup(valid, ["date"], "keep_first", [*order, value], reason_date="date")
-    rejected = quarantine_union(invalid, repeated.select(invalid.columns))
-    quarantine = to_quarantine(
-        rejected.select(
-            F.col("_raw_date").alias("date"), F.col("_raw_value").alias(value), "errors"
-        )
+    judged = apply_rules(
+        typed,
+        [rule_malformed("_record"), *[Rule(readable & r.bad_when, r.message) for r in rules]],
     )
-    return kept.select("date", value), quarantine
+    return judged.drop("_record", line)
 
 
-def clean_observations(
+def clean_price_lines(
+    lines: DataFrame,
+    line: str = "line",
+    value: str = "price_a",
+    label: str = "Euro_Price",
+    pick: tuple[int, int] = (0, 4),
+    order: list[str] | None = None,
+    allow_non_finite: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """Quoted CSV prices. One row per date is kept, in ``order``; the rest are rejected."""
+    order = list(order or [])
+    judged = judge_price_lines(lines, line, value, label, pick, tuple(order), allow_non_finite)
+    return settle(*split(judged), (value,), "keep_first", [*order, value], "date")
+
+
+def judge_observations(
     documents: DataFrame,
     records: str = "observations",
     value: str = "price_b",
     label: str = "Brent_Price",
     lo: dt.date = FIRST_VALID_DAY,
     hi: dt.date = LAST_VALID_DAY,
-) -> tuple[DataFrame, DataFrame]:
-    """Documents of observations. A date that occurs twice is rejected with all its rows."""
+) -> DataFrame:
+    """Documents of observations to rows, with the reasons against each row."""
     raw = explode_records(documents, records)
     typed = compute_once(
-        raw.select(F.col("date").alias("_raw_date"), F.col("value").alias("_raw_value")),
-        {"date": date_from_iso("_raw_date"), value: number_or_null("_raw_value", (".",))},
+        raw.select(F.col("date").alias(f"{RAW}date"), F.col("value").alias(f"{RAW}{value}")),
+        {
+            "date": date_from_iso(f"{RAW}date"),
+            value: number_or_null(f"{RAW}{value}", (".",)),
+        },
     )
     rules = [
         rule_date_range("date", lo, hi),
-        rule_date("_raw_date", "date"),
+        rule_date(f"{RAW}date", "date"),
         rule_present(value, label),
     ]
-    valid, invalid = split(apply_rules(typed, rules))
-    kept, repeated = dedup(valid, ["date"], "reject_all", reason_date="date")
-    rejected = quarantine_union(invalid, repeated.select(invalid.columns))
-    quarantine = to_quarantine(
-        rejected.select(
-            F.col("_raw_date").alias("date"), F.col("_raw_value").alias(value), "errors"
-        )
-    )
-    return kept.select("date", value), quarantine
+    return apply_rules(typed, rules)
+
+
+def clean_observations(
+    documents: DataFrame, records: str = "observations", value: str = "price_b", **options
+) -> tuple[DataFrame, DataFrame]:
+    """Documents of observations. A date that occurs twice is rejected with all its rows."""
+    judged = judge_observations(documents, records, value, **options)
+    return settle(*split(judged), (value,), "reject_all", reason_date="date")
 
 
 def to_dated_rows(
@@ -130,7 +177,7 @@ def to_dated_rows(
     return dated.filter(F.col("date").isNotNull())
 
 
-def clean_weather_lines(
+def judge_weather_lines(
     lines: DataFrame,
     line: str = "line",
     values: tuple[str, ...] = ("precipitation", "soil_moisture"),
@@ -140,10 +187,10 @@ def clean_weather_lines(
     strict_doy: bool = False,
     threshold: bool = True,
     allow_non_finite: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """Plain CSV readings by year and day of year.
+) -> DataFrame:
+    """Plain CSV readings by year and day of year, with the reasons against each row.
 
-    Incomplete rows are left out, or rejected with ``quarantine_incomplete``. With
+    Incomplete rows are left out, or judged with ``quarantine_incomplete``. With
     ``threshold`` every value at or below the missing marker is missing, not only its exact
     spelling.
     """
@@ -159,7 +206,16 @@ def clean_weather_lines(
         rule_date_range("date", lo, hi, echo=True),
         *[rule_present(v, f"{v} value") for v in values],
     ]
-    valid, invalid = split(apply_rules(dated, rules))
-    kept, repeated = dedup(valid, ["date"], "reject_all")
-    quarantine = to_quarantine(quarantine_union(invalid, repeated.select(invalid.columns)))
+    return apply_rules(dated, rules)
+
+
+def clean_weather_lines(
+    lines: DataFrame,
+    line: str = "line",
+    values: tuple[str, ...] = ("precipitation", "soil_moisture"),
+    **options,
+) -> tuple[DataFrame, DataFrame]:
+    """Plain CSV readings. A date that occurs twice is rejected with all its rows."""
+    judged = judge_weather_lines(lines, line, values, **options)
+    kept, quarantine = settle(*split(judged), values, "reject_all")
     return assert_complete(kept, ["date", *values]), quarantine

@@ -29,20 +29,17 @@ def merge_batch(
     nothing is overwritten while it is read, and a batch that is run again ends in the same
     rows.
     """
-    newest = latest_per_key(batch, keys, order)
-    if table_exists(spark, target):
-        # Schema given: part names must not be read back as another type.
-        known = spark.read.schema(batch.schema).parquet(target)
-        parts = newest.select(part).distinct()
-        listed = [r[0] for r in parts.limit(MAX_LISTED_PARTS + 1).collect()]
-        if len(listed) <= MAX_LISTED_PARTS:
-            touched = known.filter(F.col(part).isin(*listed))
-        else:
-            touched = known.join(parts, part, "left_semi")
-        newest = latest_per_key(
-            touched.select(*batch.columns).unionByName(newest), keys, order
-        )
-    write_curated(newest, staged, [part])
+    newest = latest_per_key(batch, keys, order).persist()
+    try:
+        merged = newest
+        if table_exists(spark, target):
+            merged = latest_per_key(
+                _touched(spark, newest, target, part).unionByName(newest), keys, order
+            )
+        write_curated(merged, staged, [part])
+    finally:
+        newest.unpersist()
+    # Schemas are given throughout: part names must not be read back as another type.
     (
         spark.read.schema(batch.schema)
         .parquet(staged)
@@ -53,6 +50,16 @@ def merge_batch(
     )
 
 
+def _touched(spark: SparkSession, newest: DataFrame, target: str, part: str) -> DataFrame:
+    """Rows of those parts of the target that the batch has rows for."""
+    known = spark.read.schema(newest.schema).parquet(target).select(*newest.columns)
+    parts = newest.select(part).distinct()
+    listed = [row[0] for row in parts.limit(MAX_LISTED_PARTS + 1).collect()]
+    if len(listed) <= MAX_LISTED_PARTS:
+        return known.filter(F.col(part).isin(*listed))
+    return known.join(parts, part, "left_semi").select(*newest.columns)
+
+
 def upsert_stream(
     stream: DataFrame,
     target: str,
