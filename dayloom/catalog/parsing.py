@@ -206,7 +206,7 @@ def markup_latest_row_query(spark, folder):
     pages = table(spark, folder, "orders").select("o_custkey", "o_orderkey", page.alias("html"))
     keep = ("o_custkey", "o_orderkey")
     prices = dated_prices(extract_markup_rows(pages, "html", keep=keep), keep)
-    newest = markup_latest_row(prices, ["o_custkey"], [F.col("o_orderkey").asc()])
+    newest = markup_latest_row(prices, ["o_custkey"], ["o_orderkey"])
     return newest.select("o_custkey", "o_orderkey", "date", "price")
 
 

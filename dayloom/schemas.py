@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import types as T
@@ -36,6 +37,16 @@ class FeedSpec:
             ]
         )
 
+    @property
+    def avro_schema(self) -> str:
+        """The same record for messages in Avro: every field a union with null, default null."""
+        kinds = {"string": "string", "double": "double"}
+        fields = [
+            {"name": f.name, "type": ["null", kinds[f.dataType.typeName()]], "default": None}
+            for f in self.wire_schema.fields
+        ]
+        return json.dumps({"type": "record", "name": self.key, "fields": fields})
+
     @property
     def staging_schema(self) -> T.StructType:
         return T.StructType(

@@ -33,12 +33,14 @@ def build_session(app: str = "dayloom", master: str | None = None, **conf: str)
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names; a fresh local one only where none is named."""
-    root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    context = spark.sparkContext
+    root = spark.conf.get(CHECKPOINT_KEY, None) or context.getConf().get(CHECKPOINT_KEY)
+    root = root or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"{CHECKPOINT_KEY} must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="dayloom-", dir="/tmp")
-        spark.conf.set(CHECKPOINT_KEY, root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="dayloom-", dir="/tmp"))
+        root = context.getCheckpointDir()
     return root.rstrip("/")
 
 

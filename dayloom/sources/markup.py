@@ -56,4 +56,5 @@ def dated_prices(cells: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def markup_latest_row(prices: DataFrame, by: list[str], tie_break: list[str]) -> DataFrame:
     """Newest dated row per key; among rows of one date the first in ``tie_break`` order."""
-    return latest_per_key(prices, by, [F.col("date").desc(), *tie_break])
+    first = [F.col(c).asc() for c in tie_break]
+    return latest_per_key(prices, by, [F.col("date").desc(), *first])

@@ -10,6 +10,7 @@ from dayloom.functions import compute_once, date_from_wire, finite
 from dayloom.schemas import FeedSpec
 
 CORRUPT = "_corrupt"
+UNDECODABLE = "Undecodable message"
 
 
 def record_json(columns: list[str]) -> Column:
@@ -48,6 +49,26 @@ def encode_messages(envelopes: DataFrame, keep: tuple[str, ...] = ()) -> DataFra
     return envelopes.select(*keep, record_json(columns).alias("value"))
 
 
+def publish(messages: DataFrame, sink: str, **options: str) -> None:
+    """Sends encoded messages to a batch sink: files, or a broker whose package is deployed."""
+    messages.write.format(sink).options(**options).mode("append").save()
+
+
+def decode_avro(df: DataFrame, payload: str, feed: FeedSpec) -> DataFrame:
+    """As ``decode_payload`` for Avro bytes; needs the Avro package on the cluster."""
+    from pyspark.sql.avro.functions import from_avro
+
+    decoded = from_avro(F.col(payload), feed.avro_schema, {"mode": "PERMISSIVE"})
+    parsed = compute_once(df, {"record": decoded})
+    # A record whose fields are all null is what an unreadable message turns into.
+    empty = F.lit(True)
+    for field in feed.wire_schema.fieldNames():
+        empty = empty & F.col(f"record.{field}").isNull()
+    return parsed.select(
+        *df.columns, "record", F.when(empty, F.lit(UNDECODABLE)).alias("decode_error")
+    )
+
+
 def decode_payload(df: DataFrame, payload: str, schema: T.StructType) -> DataFrame:
     """Adds ``record`` (struct) and ``decode_error`` (null for a readable message).
 
@@ -63,7 +84,7 @@ def decode_payload(df: DataFrame, payload: str, schema: T.StructType) -> DataFra
     return parsed.select(
         *df.columns,
         F.when(~bad, record).alias("record"),
-        F.when(bad, F.lit("Undecodable message")).alias("decode_error"),
+        F.when(bad, F.lit(UNDECODABLE)).alias("decode_error"),
     )
 
 
