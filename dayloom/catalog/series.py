@@ -31,9 +31,13 @@ VALUES = ["price_a", "price_b", "precipitation", "soil_moisture"]
 
 
 def money(condition, amount="o_totalprice"):
-    """Exact sum, as a double, of the rows that meet a condition; null when there are none."""
-    kept = F.when(condition, F.col(amount).cast("decimal(18,2)"))
-    return F.sum(kept).cast("double")
+    """Exact sum, as a double, of the rows that meet a condition; null when there are none.
+
+    Amounts have two decimals. Whole cents add up exactly in any order and need no wide
+    decimal buffer; a sum beyond 64 bits fails rather than wrapping round.
+    """
+    cents = F.round(F.col(amount) * 100).cast("bigint")
+    return F.sum(F.when(condition, cents)) / F.lit(100.0)
 
 
 def order_measures(spark, folder):
@@ -332,7 +336,7 @@ def feature_matrix_query(spark, folder):
     top = table(spark, folder, "lineitem").agg(F.max("l_shipdate").cast("date")).scalar()
     dense = as_of_daily([(daily, VALUES)], "date", ["l_suppkey"], START, top)
     features = rounded(feature_matrix(dense, "price_a", AVERAGED, by=["l_suppkey"]))
-    return register_view(features, "features_live")
+    return register_view(features, "series_features")
 
 
 @query(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from dayloom.operators.skew import DEFAULT_SALTS, content_hash, salt
+from dayloom.session import scratch_path
 
 _SALT, _PLACE, _MORE, _MEET = "_salt", "_place", "_more", "_meet"
 
@@ -99,6 +100,27 @@ def keep_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def rows_of_repeated_keys(df: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    """Leaves out rows whose key occurs once, if the keys that repeat are few.
+
+    The repeated keys are found from the key columns alone, counted before the shuffle and
+    written to the scratch folder. Up to ``limit`` of them are sent to every task, so rows
+    with a key of their own are dropped where they are read. Beyond it nothing is left out.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "repeated")
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_MORE)).filter(F.col(_MORE) > 1)
+    counted.select(*keys).write.parquet(path)
+    repeated = spark.read.schema(counted.select(*keys).schema).parquet(path)
+    if repeated.count() > limit:
+        return df
+    listed = repeated.select(*[F.col(k).alias(f"_r_{k}") for k in keys])
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_r_{key}"))
+    return df.join(F.broadcast(listed), same, "left_semi")
+
+
 def dedup(
     df: DataFrame,
     keys: list[str],
@@ -107,17 +129,21 @@ def dedup(
     reason_date: str | None = None,
     errors: str = "errors",
     salts: int = DEFAULT_SALTS,
+    rare_limit: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Kept rows, and rejected rows with their reason.
 
     ``keep_first`` keeps one row per key and rejects the rest; ``reject_all`` rejects every
     row of a key that occurs more than once. The two frames are planned apart, because the
-    kept side needs far less data moved than the rejected side.
+    kept side needs far less data moved than the rejected side. Where duplicates are
+    expected to be rare, ``rare_limit`` lets the rejected side skip all other rows (see
+    ``rows_of_repeated_keys``); this runs one job at once.
     """
     if policy not in ("keep_first", "reject_all"):
         raise ValueError(f"unknown policy: {policy}")
     order = list(order or [])
-    marked = mark_duplicates(df, keys, order, salts)
+    suspects = rows_of_repeated_keys(df, keys, rare_limit) if rare_limit else df
+    marked = mark_duplicates(suspects, keys, order, salts)
     if policy == "keep_first":
         kept, bad = keep_first(df, keys, order), marked.filter(~F.col("is_first"))
     else:

@@ -40,6 +40,9 @@ from dayloom.sources.documents import explode_records
 from dayloom.sources.lines import parse_csv_line, parse_plain_line
 from dayloom.sources.tables import read_marked, write_curated, write_marked
 
+# Dates that repeat in one feed; a calendar does not hold more.
+MAX_REPEATED_DATES = 100_000
+
 # Columns with this prefix hold the text a value was read from.
 RAW = "_raw_"
 
@@ -51,13 +54,16 @@ def settle(
     policy: str,
     order: list[str] | None = None,
     reason_date: str | None = None,
+    rare_limit: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Duplicate handling by date: curated rows, and quarantine rows of both causes.
 
     Quarantine rows show the raw text where the frame has it, since that is easier to
     repair than a half-parsed value.
     """
-    kept, repeated = dedup(valid, ["date"], policy, list(order or []), reason_date)
+    kept, repeated = dedup(
+        valid, ["date"], policy, list(order or []), reason_date, rare_limit=rare_limit
+    )
     rejected = quarantine_union(invalid, repeated.select(invalid.columns))
     shown = [
         F.col(f"{RAW}{c}" if f"{RAW}{c}" in rejected.columns else c).alias(c)
@@ -77,7 +83,9 @@ def run_cleaner(
     staged = scratch_path(spark, "judged")
     write_marked(judged, staged)
     sides = [read_marked(spark, staged, flag) for flag in (True, False)]
-    kept, rejected = settle(sides[0].drop("errors"), sides[1], **settling)
+    kept, rejected = settle(
+        sides[0].drop("errors"), sides[1], rare_limit=MAX_REPEATED_DATES, **settling
+    )
     write_curated(kept, curated)
     write_curated(rejected, quarantine)
 

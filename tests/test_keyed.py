@@ -48,6 +48,16 @@ def test_reject_all_against_brute_force(spark, rows, salts):
     assert bag(rejected.drop("errors")) == Counter(r for r in rows if count[r[0]] > 1)
 
 
+@pytest.mark.parametrize("policy", ["keep_first", "reject_all"])
+@pytest.mark.parametrize("limit", [1, 100])
+def test_rare_duplicates_by_list_or_not(spark, policy, limit):
+    rows = [(k % 9 if k < 20 else k, k, 0) for k in range(60)] + [(None, 1, 1), (None, 2, 1)]
+    df = frame(spark, rows)
+    plain, listed = (dedup(df, ["k"], policy, ["o"], rare_limit=n)[1] for n in (None, limit))
+    assert bag(plain.drop("errors")) == bag(listed.drop("errors"))
+    assert ("BroadcastHashJoin" in plan_of(listed)) == (limit == 100)
+
+
 def test_hot_key_and_copies_are_spread(spark):
     """A third of the rows are copies of one row; no task may see a large share of them."""
     hot = spark.range(0, 30_000, 1, 12).select(F.lit(7).alias("k"), F.lit(1).alias("v"))
