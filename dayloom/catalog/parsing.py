@@ -25,8 +25,9 @@ from dayloom.functions import (
 )
 from dayloom.plans.cleaners import to_dated_rows
 from dayloom.schemas import OBSERVATION_DOCUMENT, FeedSpec
+from dayloom.session import scratch_path
 from dayloom.sources.documents import explode_records, latest_observation, unpivot_json_maps
-from dayloom.sources.lines import parse_csv_line, parse_plain_line
+from dayloom.sources.lines import NO_SEPARATOR, parse_csv_line, parse_plain_line, read_lines
 from dayloom.sources.markup import dated_prices, extract_markup_rows, markup_latest_row
 from dayloom.sources.messages import build_envelope, decode_payload, encode_messages
 
@@ -45,18 +46,22 @@ def plain_number(c: str):
     """,
 )
 def csv_line_parse(spark, folder):
+    """Lines in text files, each file with a header, read back and parsed."""
     fields = [
         F.date_format("o_orderdate", "dd/MM/yyyy"),
-        F.col("o_orderstatus"),
+        F.col("o_orderkey").cast("string"),
         F.col("o_orderpriority"),
         F.col("o_custkey").cast("string"),
         F.format_number("o_totalprice", 2),
     ]
     line = F.concat(F.lit('"'), F.concat_ws('","', *fields), F.lit('"'))
-    lines = table(spark, folder, "orders").select("o_orderkey", line.alias("line"))
-    parsed = compute_once(lines, {"r": parse_csv_line("line", {"date": 0, "price": 4})})
-    return parsed.select(
-        "o_orderkey",
+    path = scratch_path(spark, "lines")
+    rendered = table(spark, folder, "orders").select(line.alias("line"))
+    rendered.write.options(header=True, quote="", sep=NO_SEPARATOR, escapeQuotes=False).csv(path)
+    lines = read_lines(spark, path, skip_header=True)
+    record = parse_csv_line("line", {"date": 0, "key": 1, "price": 4})
+    return compute_once(lines, {"r": record}).select(
+        F.col("r.key").cast("bigint").alias("o_orderkey"),
         F.col("r.date").alias("date_text"),
         date_from_dmy("r.date").alias("date"),
         safe_double(strip_thousands("r.price")).alias("price"),

@@ -230,13 +230,12 @@ def forward_fill_keyed(spark, folder):
 )
 def forward_fill_global(spark, folder):
     """No key at all: every event carries the latest purchase; time is cut by row count."""
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     events = table(spark, folder, "events").select(
         "event_id",
         "ts",
         F.when(F.col("event_type") == "purchase", F.col("value")).alias("value"),
     )
-    return forward_fill(events, ["value"], "ts", parts=partitions)
+    return forward_fill(events, ["value"], "ts")
 
 
 @query(

@@ -18,23 +18,26 @@ def forward_fill(
     by: list[str] | None = None,
     bucket: Column | None = None,
     parts: int | None = None,
+    whole: bool = False,
 ) -> DataFrame:
     """The last non-null value up to each row, per key; leading nulls stay.
 
-    Plain windows need the rows of a key in one task, which suits daily series. With
-    ``bucket`` (a column that never decreases along ``order``) or ``parts`` (that many
-    ranges of equal size, see ``range_buckets``) no key has to: rows are filled within
-    (key, bucket), the last value of each bucket is carried over the bucket summary, and
-    joined back. ``order`` must be unique within a key.
+    A plain window needs the rows of a key in one task, which suits daily series, whose
+    length the calendar bounds; keyed fills use it unless told otherwise, fills without a
+    key only with ``whole``. With ``bucket`` (a column that never decreases along ``order``)
+    or ``parts`` (that many ranges of equal size, see ``range_buckets``; the default without
+    a key) no task needs more than a bucket: rows are filled within (key, bucket), the last
+    value of each bucket is carried over the bucket summary, and joined back. ``order`` must
+    be unique within a key.
     """
     by = list(by or [])
-    if bucket is None and parts is None:
+    if bucket is None and parts is None and (by or whole):
         spec = Window.partitionBy(*by).orderBy(order).rowsBetween(
             Window.unboundedPreceding, Window.currentRow
         )
         return df.withColumns({c: F.last(c, ignorenulls=True).over(spec) for c in columns})
 
-    if parts is not None:
+    if bucket is None:
         cut = range_buckets(df, [order], _BUCKET, parts)
     else:
         cut = df.withColumn(_BUCKET, bucket)

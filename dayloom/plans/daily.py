@@ -6,6 +6,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dayloom.operators.dedup import latest_per_key
 from dayloom.operators.evaluate import backtest, forecast, has_labels, mape, score_history
@@ -30,7 +31,11 @@ class FeedInput:
 
 @dataclass(frozen=True)
 class DailyConfig:
-    """``out`` is a new folder for each run: no table is replaced while it is read."""
+    """``out`` is a new folder for each run: no table is replaced while it is read.
+
+    With ``train_until`` the model sees only days whose outcome was known by then, and the
+    backtest tells the two kinds of days apart; by default it is fitted on all of them.
+    """
 
     feeds: dict[str, FeedInput]
     out: str
@@ -43,6 +48,7 @@ class DailyConfig:
     l2: float = DEFAULT_L2
     stretch_days: int | None = None
     categorical: tuple[str, ...] = ("dow", "mon")
+    train_until: dt.date | None = None
     views: dict[str, str] = field(default_factory=dict)
 
 
@@ -96,12 +102,15 @@ def run_daily(spark: SparkSession, cfg: DailyConfig) -> dict[str, str]:
         register_view(features, cfg.views["features"])
 
     label = f"target_{cfg.horizon}"
-    if not has_labels(features, label):
+    training = features
+    if cfg.train_until is not None:
+        training = features.filter(F.date_add("date", cfg.horizon) <= F.lit(cfg.train_until))
+    if not has_labels(training, label):
         return paths
     categorical = list(cfg.categorical)
     numeric = [c for c in features.columns if c not in (*by, "date", label, *categorical)]
     paths["model"] = f"{cfg.out}/model"
-    write_curated(fit_ridge(features, numeric, label, categorical, cfg.l2, by), paths["model"])
+    write_curated(fit_ridge(training, numeric, label, categorical, cfg.l2, by), paths["model"])
     model = spark.read.parquet(paths["model"])
 
     paths["forecast"] = f"{cfg.out}/forecast"
@@ -111,7 +120,9 @@ def run_daily(spark: SparkSession, cfg: DailyConfig) -> dict[str, str]:
     paths["backtest"] = f"{cfg.out}/backtest"
     scored = score_history(features, model, numeric, categorical, cfg.horizon, by=by)
     truth = joined.withColumnRenamed(cfg.target, "y")
-    write_curated(backtest(scored, truth, by=by), paths["backtest"])
+    write_curated(
+        backtest(scored, truth, by=by, train_until=cfg.train_until), paths["backtest"]
+    )
     history = spark.read.parquet(paths["backtest"])
     paths["metric"] = f"{cfg.out}/metric"
     write_curated(

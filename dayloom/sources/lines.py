@@ -9,7 +9,7 @@ from dayloom.functions import compute_once, null_if_token, parse_double, safe_do
 from dayloom.functions.numbers import MISSING_TOKEN
 
 # No line holds this, so the whole line comes back as one field.
-_NO_SEPARATOR = "\u0001\u0002\u0001"
+NO_SEPARATOR = "\u0001\u0002\u0001"
 # Added as one more field: where it turns up tells how many fields a line really has,
 # since the CSV reader gives null for an absent field and for an empty one alike.
 _END = "\u0001end"
@@ -29,8 +29,9 @@ def read_lines(spark: SparkSession, path: str, skip_header: bool = False) -> Dat
     return (
         spark.read.schema("line string")
         .option("header", True)
-        .option("sep", _NO_SEPARATOR)
+        .option("sep", NO_SEPARATOR)
         .option("quote", "")
+        .option("maxCharsPerColumn", -1)
         .csv(path)
     )
 

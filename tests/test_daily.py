@@ -48,6 +48,14 @@ def test_whole_build(spark, tmp_path, stretch):
     assert spark.table("m_live").first().mape_40d > 0
 
 
+def test_training_cut_off(spark, tmp_path):
+    cut = DAY0 + dt.timedelta(days=99)
+    paths = run(spark, tmp_path, 150, train_until=cut)
+    assert spark.read.parquet(paths["model"]).first().n == 60
+    history = spark.read.parquet(paths["backtest"])
+    assert history.filter("in_sample").count() == 60 and history.count() == 150
+
+
 def test_without_labels_nothing_is_modelled(spark, tmp_path):
     paths = run(spark, tmp_path, 30)
     assert set(paths) == {"price_a", "price_b", "weather", "joined", "features"}

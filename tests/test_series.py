@@ -67,7 +67,7 @@ def test_as_of_daily_against_brute_force(spark, rows_v, rows_w):
 def test_as_of_daily_equals_spine_join_and_fill(spark, rows):
     df = frame(spark, [("a", *r[1:]) for r in {r[1]: r for r in rows}.values()])
     spine = date_spine(spark.createDataFrame([(DAY0, day(60))], "lo date, hi date"))
-    long = forward_fill(join_on_spine(spine, [(df, ["v"])], ["date"]), ["v"], "date")
+    long = forward_fill(join_on_spine(spine, [(df, ["v"])], ["date"]), ["v"], "date", whole=True)
     got = as_of_daily([(df.drop("k"), ["v"])], "date", lo=DAY0, hi=day(60))
     assert values(got, "date", "v") == values(long, "date", "v")
 
@@ -103,9 +103,9 @@ def test_fill_without_key_by_ranges(spark):
     random.seed(1)
     rows = [("a", n, random.choice([None, None, None, n])) for n in range(400)]
     df = frame(spark, rows).drop("k").repartition(7)
-    plain = values(forward_fill(df, ["v"], "date"))
-    got = forward_fill(df, ["v"], "date", parts=6)
-    assert values(got) == plain and got.columns == df.columns
+    plain = values(forward_fill(df, ["v"], "date", whole=True))
+    for got in (forward_fill(df, ["v"], "date", parts=6), forward_fill(df, ["v"], "date")):
+        assert values(got) == plain and got.columns == df.columns
 
 
 def dense(spark, keys="ab", days=200):
