@@ -16,6 +16,10 @@ REASON_SEPARATOR = "; "
 MALFORMED = "Malformed line"
 
 
+def _no_reasons() -> Column:
+    return F.array().cast("array<string>")
+
+
 @dataclass(frozen=True)
 class Rule:
     """``message`` is added when ``bad_when`` is true; a null condition counts as not bad."""
@@ -23,9 +27,10 @@ class Rule:
     bad_when: Column
     message: Column | str
 
-    def as_message(self) -> Column:
+    def as_reasons(self) -> Column:
+        """One reason or none, as an array."""
         text = F.lit(self.message) if isinstance(self.message, str) else self.message
-        return F.when(self.bad_when, text)
+        return F.when(self.bad_when, F.array(text)).otherwise(_no_reasons())
 
 
 def rule_malformed(record: str) -> Rule:
@@ -65,15 +70,13 @@ def rule_numeric(raw: str, parsed: str, label: str) -> Rule:
 
 def rule_fields(columns: list[str]) -> Rule:
     """Lists the required fields a record lacks."""
-    absent = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]))
-    text = F.concat(F.lit("Missing fields: "), F.array_join(absent, FIELD_SEPARATOR))
-    return Rule(F.size(absent) > 0, text)
+    absent = F.concat_ws(FIELD_SEPARATOR, *[F.when(F.col(c).isNull(), F.lit(c)) for c in columns])
+    return Rule(absent != "", F.concat(F.lit("Missing fields: "), absent))
 
 
 def apply_rules(df: DataFrame, rules: list[Rule], errors: str = "errors") -> DataFrame:
     """Adds the reasons of all broken rules, in rule order; an empty array means valid."""
-    reasons = F.array_compact(F.array(*[r.as_message() for r in rules]))
-    return compute_once(df, {errors: reasons})
+    return compute_once(df, {errors: F.concat(_no_reasons(), *[r.as_reasons() for r in rules])})
 
 
 def joined(errors: str = "errors") -> Column:

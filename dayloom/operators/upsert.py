@@ -27,6 +27,7 @@ def upsert(
     keep_existing_on_null: bool = False,
     drop_null_keys: bool = False,
     target_salts: int | None = None,
+    broadcast_limit: int | None = None,
 ) -> DataFrame:
     """Matched rows take the source's columns, unmatched source rows are added.
 
@@ -34,10 +35,14 @@ def upsert(
     a null key never matches, so such a row is added on every run; both can be switched off.
     Target columns outside ``keys`` and ``columns`` keep their value, and are null in added
     rows. A target holds a key once; where one key may hold very many target rows, give
-    ``target_salts`` and they are spread over that many parts.
+    ``target_salts`` and they are spread over that many parts. For a small source and a
+    large target give ``broadcast_limit``: the source is counted at once, and up to that
+    many rows it is sent to the target's tasks, so that the target is not shuffled at all.
     """
     if drop_null_keys:
         source = source.dropna(subset=keys)
+    if broadcast_limit and source.limit(broadcast_limit + 1).count() <= broadcast_limit:
+        return _upsert_small(target, source, keys, columns, keep_existing_on_null)
     if target_salts:
         return _upsert_spread(target, source, keys, columns, keep_existing_on_null, target_salts)
     source = source.select(*keys, *columns)
@@ -71,10 +76,39 @@ def _upsert_spread(
     salts: int,
 ) -> DataFrame:
     """The same in two joins: a salted one for target rows, one for keys the target lacks."""
+    both = salted_join(target, _renamed(source, keys, columns), keys, salts, "left")
+    known = target.select(*keys).distinct()
+    added = source.select(*keys, *columns).join(known, keys, "left_anti")
+    return _updated(both, target, columns, keep_existing_on_null).unionByName(
+        added, allowMissingColumns=True
+    )
+
+
+def _upsert_small(
+    target: DataFrame,
+    source: DataFrame,
+    keys: list[str],
+    columns: list[str],
+    keep_existing_on_null: bool,
+) -> DataFrame:
+    """The same with a source that fits into every task."""
+    both = target.join(F.broadcast(_renamed(source, keys, columns)), keys, "left")
+    # Keys of the source that the target has: at most as many as the source has rows.
+    known = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
+    added = source.select(*keys, *columns).join(known.distinct(), keys, "left_anti")
+    return _updated(both, target, columns, keep_existing_on_null).unionByName(
+        added, allowMissingColumns=True
+    )
+
+
+def _renamed(source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     new = [F.col(c).alias(f"_new_{c}") for c in columns]
-    incoming = source.select(*keys, *new, F.lit(True).alias("_incoming"))
-    both = salted_join(target, incoming, keys, salts, "left")
+    return source.select(*keys, *new, F.lit(True).alias("_incoming"))
+
 
+def _updated(
+    both: DataFrame, target: DataFrame, columns: list[str], keep_existing_on_null: bool
+) -> DataFrame:
     def merged(name: str) -> Column:
         if name not in columns:
             return F.col(name)
@@ -83,7 +117,4 @@ def _upsert_spread(
             value = F.coalesce(value, F.col(name))
         return F.when(F.col("_incoming"), value).otherwise(F.col(name))
 
-    updated = both.select(*[merged(c).alias(c) for c in target.columns])
-    known = target.select(*keys).distinct()
-    added = source.select(*keys, *columns).join(known, keys, "left_anti")
-    return updated.unionByName(added, allowMissingColumns=True)
+    return both.select(*[merged(c).alias(c) for c in target.columns])

@@ -74,9 +74,11 @@ def build_joined(
 def run_daily(spark: SparkSession, cfg: DailyConfig) -> dict[str, str]:
     """Runs the build and returns where each table was written.
 
-    Every step that a later step reads more than once is written and read back, which also
-    keeps a lost executor from redoing the whole build. Without any labelled row the model
-    tables are not written, so those of the run before stay in use.
+    Tables are written and read back by the next step, which keeps a lost executor from
+    redoing the whole build. The features are a view over the joined table; they are kept
+    while the model is fitted and applied, gathered by key, so that neither step moves them
+    again. Without any labelled row the model tables are not written, so those of the run
+    before stay in use.
     """
     paths, curated = {}, {}
     for key, feed in cfg.feeds.items():
@@ -89,18 +91,23 @@ def run_daily(spark: SparkSession, cfg: DailyConfig) -> dict[str, str]:
     joined = spark.read.parquet(paths["joined"])
 
     by = list(cfg.by)
-    paths["features"] = f"{cfg.out}/features"
-    write_curated(
-        feature_matrix(
-            joined, cfg.target, cfg.averaged, by=by, horizon=cfg.horizon,
-            stretch_days=cfg.stretch_days,
-        ),
-        paths["features"],
+    features = feature_matrix(
+        joined, cfg.target, cfg.averaged, by=by, horizon=cfg.horizon, stretch_days=cfg.stretch_days
     )
-    features = spark.read.parquet(paths["features"])
     if "features" in cfg.views:
         register_view(features, cfg.views["features"])
+    kept = features.persist()
+    try:
+        paths |= _model_tables(spark, cfg, joined, kept)
+    finally:
+        kept.unpersist()
+    return paths
+
 
+def _model_tables(
+    spark: SparkSession, cfg: DailyConfig, joined: DataFrame, features: DataFrame
+) -> dict[str, str]:
+    paths, by = {}, list(cfg.by)
     label = f"target_{cfg.horizon}"
     training = features
     if cfg.train_until is not None:

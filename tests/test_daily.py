@@ -58,7 +58,7 @@ def test_training_cut_off(spark, tmp_path):
 
 def test_without_labels_nothing_is_modelled(spark, tmp_path):
     paths = run(spark, tmp_path, 30)
-    assert set(paths) == {"price_a", "price_b", "weather", "joined", "features"}
+    assert set(paths) == {"price_a", "price_b", "weather", "joined"}
 
 
 def test_empty_feeds_give_a_calendar_to_today(spark, tmp_path):

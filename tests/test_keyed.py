@@ -106,17 +106,26 @@ TARGET = [(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0), (None, "n", 0.0)]
 SOURCE = [(2, 20.0), (3, None), (4, 40.0), (None, 9.0)]
 
 
-@pytest.mark.parametrize("salts", [None, 3])
-def test_upsert(spark, salts):
+@pytest.mark.parametrize("how", [{}, {"target_salts": 3}, {"broadcast_limit": 4}, {"broadcast_limit": 3}])
+def test_upsert(spark, how):
     target = spark.createDataFrame(TARGET, "k int, name string, v double")
     source = spark.createDataFrame(SOURCE, "k int, v double")
-    run = lambda **o: values(upsert(target, source, ["k"], ["v"], target_salts=salts, **o))
+    run = lambda **o: values(upsert(target, source, ["k"], ["v"], **how, **o))
     assert run() == sorted([(1, "a", 1.0), (2, "b", 20.0), (3, "c", None), (4, None, 40.0),
                             (None, "n", 0.0), (None, None, 9.0)], key=repr)
     assert (3, "c", 3.0) in run(keep_existing_on_null=True)
     assert (None, None, 9.0) not in run(drop_null_keys=True)
 
 
+def test_small_source_does_not_shuffle_the_target(spark):
+    target = spark.range(1000).select(F.col("id").alias("k"), F.col("id").cast("double").alias("v"))
+    source = spark.createDataFrame([(1, -1.0), (2000, 5.0)], "k long, v double")
+    df = upsert(target, source, ["k"], ["v"], broadcast_limit=10)
+    first = plan_of(df).split("\n+- ")[-1].split(":- ")
+    assert "BroadcastHashJoin" in first[1] and "Exchange hashpartitioning" not in first[1]
+    assert df.count() == 1001 and df.filter("k = 1").first().v == -1.0
+
+
 def test_upsert_with_hot_target_key(spark):
     target = spark.range(1000).select(F.lit(1).alias("k"), F.col("id").cast("double").alias("v"))
     source = spark.createDataFrame([(1, -1.0), (2, 5.0)], "k int, v double")
