@@ -1,4 +1,15 @@
-from dayloom.catalog import build, cleaning, feeds, modelling, parsing, quality, series, streams  # noqa: F401  (registers queries)
+"""Importing the package registers every query."""
+
+from dayloom.catalog import (  # noqa: F401
+    build,
+    cleaning,
+    feeds,
+    modelling,
+    parsing,
+    quality,
+    series,
+    streams,
+)
 from dayloom.catalog.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

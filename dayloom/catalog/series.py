@@ -251,15 +251,15 @@ def forward_fill_global(spark, folder):
     """,
 )
 def forward_fill_buckets(spark, folder):
-    """Few keys with very many rows each: filled hour by hour, with the carry joined back."""
+    """Few keys with very many rows each: cut by row count, carried from cut to cut."""
     events = table(spark, folder, "events").select(
         "event_id",
         "event_type",
         "ts",
         F.when(F.col("props").contains("9"), F.col("value")).alias("value"),
     )
-    hour = F.date_trunc("hour", "ts")
-    return forward_fill(events, ["value"], "ts", ["event_type"], bucket=hour)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return forward_fill(events, ["value"], "ts", ["event_type"], parts=parts)
 
 
 @query(

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from dayloom.operators.skew import DEFAULT_SALTS, content_hash, salt
 from dayloom.session import scratch_path
 
-_SALT, _PLACE, _MORE, _MEET = "_salt", "_place", "_more", "_meet"
+_HASH, _SALT, _PLACE, _MORE, _MEET = "_hash", "_salt", "_place", "_more", "_meet"
 
 
 def _descending(order: list[Column | str]) -> list[Column]:
@@ -54,8 +54,9 @@ def mark_duplicates(
     order is made total by the row content; which of several exact copies comes first
     does not show in the result, so the salt does not either.
     """
-    total = [*order, content_hash(df)]
-    salted = df.withColumn(_SALT, salt(df, salts))
+    total = [*order, _HASH]
+    hashed = df.withColumn(_HASH, content_hash(df))
+    salted = hashed.withColumn(_SALT, salt(F.col(_HASH), salts))
     inner = Window.partitionBy(*keys, _SALT).orderBy(*total)
     ranked = salted.withColumns(
         {_PLACE: F.row_number().over(inner), _MORE: F.lead(F.lit(True)).over(inner)}

@@ -12,7 +12,9 @@ from dayloom.operators.features import HORIZON
 from dayloom.operators.ridge import fit_ridge, predict
 
 
-def last_days(df: DataFrame, days: int, date: str = "date", by: list[str] | None = None) -> DataFrame:
+def last_days(
+    df: DataFrame, days: int, date: str = "date", by: list[str] | None = None
+) -> DataFrame:
     """Rows of the last ``days`` calendar days, counted back from each key's newest date."""
     if by:
         top = F.max(date).over(Window.partitionBy(*by))

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from dayloom.operators.skew import range_buckets
 
-_BUCKET = "_bucket"
+_BUCKET, _CARRY = "_bucket", "_carry"
 
 
 def forward_fill(
@@ -27,7 +27,7 @@ def forward_fill(
     key only with ``whole``. With ``bucket`` (a column that never decreases along ``order``)
     or ``parts`` (that many ranges of equal size, see ``range_buckets``; the default without
     a key) no task needs more than a bucket: rows are filled within (key, bucket), the last
-    value of each bucket is carried over the bucket summary, and joined back. ``order`` must
+    value of each bucket is carried over the bucket summary into the next. ``order`` must
     be unique within a key.
     """
     by = list(by or [])
@@ -38,29 +38,26 @@ def forward_fill(
         return df.withColumns({c: F.last(c, ignorenulls=True).over(spec) for c in columns})
 
     if bucket is None:
-        cut = range_buckets(df, [order], _BUCKET, parts)
+        # The key breaks ties, so that rows of one moment need not share a range.
+        cut = range_buckets(df, [order, *by], _BUCKET, parts)
     else:
         cut = df.withColumn(_BUCKET, bucket)
-    inside = Window.partitionBy(*by, _BUCKET).orderBy(order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    filled = cut.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in columns})
-
-    # One row per (key, bucket), combined before the shuffle.
+    # One row per (key, bucket), combined before the shuffle: the last value it holds, and
+    # from that the value it receives.
     summary = cut.groupBy(*by, _BUCKET).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in columns]
     )
     before = Window.partitionBy(*by).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
-        *[F.col(k).alias(f"_c_{k}") for k in (*by, _BUCKET)],
-        *[F.last(c, ignorenulls=True).over(before).alias(f"_in_{c}") for c in columns],
+        *by,
+        _BUCKET,
+        *[F.last(c, ignorenulls=True).over(before).alias(c) for c in columns],
+        F.lit(True).alias(_CARRY),
     )
-    matched = F.lit(True)
-    for key in (*by, _BUCKET):
-        matched = matched & F.col(key).eqNullSafe(F.col(f"_c_{key}"))
-    return filled.join(carry, matched, "left").select(
-        *[
-            F.coalesce(F.col(c), F.col(f"_in_{c}")).alias(c) if c in columns else F.col(c)
-            for c in df.columns
-        ]
+    # Received values go in as the first row of each bucket, so nothing is joined.
+    rows = cut.withColumn(_CARRY, F.lit(False)).unionByName(carry, allowMissingColumns=True)
+    inside = Window.partitionBy(*by, _BUCKET).orderBy(F.col(_CARRY).desc(), order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
+    filled = rows.withColumns({c: F.last(c, ignorenulls=True).over(inside) for c in columns})
+    return filled.filter(~F.col(_CARRY)).select(*df.columns)

@@ -84,4 +84,5 @@ def ready(status: DataFrame, require_all: bool = False) -> DataFrame:
 
 
 def feed_summary(status: DataFrame) -> DataFrame:
-    return status.withColumn("state", F.when(F.col("passed"), F.lit(PASSED)).otherwise(F.lit(WAITING)))
+    state = F.when(F.col("passed"), F.lit(PASSED)).otherwise(F.lit(WAITING))
+    return status.withColumn("state", state)

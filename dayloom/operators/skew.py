@@ -16,12 +16,12 @@ def content_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
 
 
-def salt(df: DataFrame, salts: int) -> Column:
-    """A part number from the row's content and its input partition.
+def salt(content: Column, salts: int) -> Column:
+    """A part number from the hash of the row's content and its input partition.
 
     The content spreads distinct rows of a key, the partition spreads exact copies.
     """
-    content = F.pmod(content_hash(df), F.lit(salts))
+    content = F.pmod(content, F.lit(salts))
     place = F.pmod(F.spark_partition_id(), F.lit(salts))
     return F.pmod(content + place, F.lit(salts)).cast("int")
 
@@ -33,7 +33,7 @@ def salted_join(
 
     The rows of a key are spread over ``salts`` parts and its one row is copied to each.
     """
-    spread = df.withColumn("_part", salt(df, salts))
+    spread = df.withColumn("_part", salt(content_hash(df), salts))
     copies = per_key.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_part"))
     return spread.join(copies, [*by, "_part"], how).drop("_part")
 

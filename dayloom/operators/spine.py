@@ -37,7 +37,11 @@ def bounds_by_key(df: DataFrame, by: list[str], date: str) -> DataFrame:
 
 
 def date_spine(
-    bounds: DataFrame, by: list[str] | None = None, lo: str = "lo", hi: str = "hi", name: str = "date"
+    bounds: DataFrame,
+    by: list[str] | None = None,
+    lo: str = "lo",
+    hi: str = "hi",
+    name: str = "date",
 ) -> DataFrame:
     """All days from ``lo`` to ``hi`` per row of ``bounds``; none where ``lo`` is after ``hi``."""
     days = F.when(F.col(lo) <= F.col(hi), F.sequence(lo, hi, F.expr("interval 1 day")))

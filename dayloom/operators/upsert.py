@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayloom.operators.skew import DEFAULT_SALTS, salt, salted_join
+from dayloom.operators.skew import DEFAULT_SALTS, content_hash, salt, salted_join
 
 
 _SPREAD = "_spread"
@@ -16,7 +16,7 @@ def _spread(df: DataFrame, keys: list[str]) -> Column:
     complete = F.lit(True)
     for key in keys:
         complete = complete & F.col(key).isNotNull()
-    return F.when(complete, F.lit(0)).otherwise(salt(df, DEFAULT_SALTS))
+    return F.when(complete, F.lit(0)).otherwise(salt(content_hash(df), DEFAULT_SALTS))
 
 
 def upsert(
@@ -62,7 +62,9 @@ def upsert(
             return F.when(known, old).otherwise(new)
         if name not in columns:
             return old
-        return F.when(arrived, F.coalesce(new, old) if keep_existing_on_null else new).otherwise(old)
+        if keep_existing_on_null:
+            new = F.coalesce(new, old)
+        return F.when(arrived, new).otherwise(old)
 
     return both.select(*[merged(c).alias(c) for c in target.columns])
 

@@ -48,6 +48,27 @@ def test_whole_build(spark, tmp_path, stretch):
     assert spark.table("m_live").first().mape_40d > 0
 
 
+def test_keyed_build_equals_single_builds(spark, tmp_path):
+    """Two series built together give what each gives alone."""
+    keyed, alone = {}, feeds(spark, 120)
+    for name, feed in alone.items():
+        def both(df):
+            other = df.select(*[(F.col(c) * 2 + 1).alias(c) if c in feed.columns else F.col(c) for c in df.columns])  # noqa: B023
+            return df.withColumn("k", F.lit("one")).unionByName(other.withColumn("k", F.lit("two")))
+        keyed[name] = FeedInput(both(feed.staging), both(feed.curated), feed.columns)
+    cfg = DailyConfig(keyed, str(tmp_path / "k"), "price_a", AVERAGED, by=("k",), start=DAY0)
+    together = run_daily(spark, cfg)
+    single = run_daily(spark, DailyConfig(alone, str(tmp_path / "s"), "price_a", AVERAGED, start=DAY0))
+    for name in ("joined", "forecast", "metric"):
+        one = spark.read.parquet(together[name]).filter("k = 'one'").drop("k")
+        want = spark.read.parquet(single[name])
+        got = sorted(tuple(r) for r in one.select(want.columns).collect())
+        assert [pytest.approx(r, rel=1e-6) if name == "metric" else r[0] for r in got] == [
+            tuple(r) if name == "metric" else r[0] for r in sorted(tuple(r) for r in want.collect())]
+    assert spark.read.parquet(together["joined"]).count() == 240
+    assert spark.read.parquet(together["model"]).count() == 2
+
+
 def test_training_cut_off(spark, tmp_path):
     cut = DAY0 + dt.timedelta(days=99)
     paths = run(spark, tmp_path, 150, train_until=cut)

@@ -15,7 +15,7 @@ from dayloom.operators.spine import as_of_daily, bounds_by_key, date_spine, join
 DAY0 = dt.date(2024, 1, 1)
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 SPARSE = st.lists(
-    st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 60), st.one_of(st.none(), st.integers(0, 9))),
+    st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 60), st.one_of(st.none(), st.integers(0, 9))),
     max_size=30, unique_by=lambda r: r[:2],
 )
 
@@ -43,7 +43,7 @@ def test_spine_with_ends_the_wrong_way_round(spark):
 
 def reference_as_of(rows_v, rows_w, lo, hi):
     out = []
-    for k in sorted({r[0] for r in rows_v + rows_w}):
+    for k in {r[0] for r in rows_v + rows_w}:
         known = {"v": None, "w": None}
         for n in range(lo, hi + 1):
             for name, rows in (("v", rows_v), ("w", rows_w)):
@@ -96,7 +96,8 @@ def test_bucketed_fill_equals_plain(spark, rows, width):
     df = frame(spark, rows)
     bucket = F.floor(F.datediff(F.col("date"), F.lit(DAY0)) / width)
     plain = values(forward_fill(df, ["v"], "date", ["k"]))
-    assert values(forward_fill(df, ["v"], "date", ["k"], bucket=bucket)) == plain
+    cut = forward_fill(df, ["v"], "date", ["k"], bucket=bucket)
+    assert values(cut) == plain and "Join" not in plan_of(cut)
 
 
 def test_fill_without_key_by_ranges(spark):
@@ -108,6 +109,14 @@ def test_fill_without_key_by_ranges(spark):
         assert values(got) == plain and got.columns == df.columns
 
 
+def test_keyed_fill_by_ranges(spark):
+    random.seed(4)
+    rows = [(k, n, random.choice([None, None, n])) for n in range(150) for k in ("a", "b", None)]
+    df = frame(spark, rows).repartition(5)
+    assert values(forward_fill(df, ["v"], "date", ["k"], parts=9)) == values(
+        forward_fill(df, ["v"], "date", ["k"]))
+
+
 def dense(spark, keys="ab", days=200):
     random.seed(2)
     rows = [(k, n, None if random.random() < 0.1 else random.randint(0, 99)) for k in keys for n in range(days)]
