@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from dayloom.operators.quality import DUPLICATE_DATE, DUPLICATE_RECORD
 from dayloom.operators.skew import DEFAULT_SALTS, content_hash, salt
 from dayloom.session import scratch_path
 
@@ -75,8 +76,8 @@ def mark_duplicates(
 
 def _duplicate_reason(date: str | None) -> Column:
     if date is None:
-        return F.lit("Duplicate date")
-    return F.concat(F.lit("Duplicate record for date "), F.col(date).cast("string"))
+        return F.lit(DUPLICATE_DATE)
+    return F.concat(F.lit(DUPLICATE_RECORD), F.col(date).cast("string"))
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:

@@ -10,10 +10,19 @@ from pyspark.sql import functions as F
 
 from dayloom.functions import compute_once
 
-# Fixed separators of the texts that list fields and reasons.
+# The reasons, and the separators of listed fields and reasons.
+MALFORMED = "Malformed line"
+INVALID_DATE = "Invalid date format"
+DATE_OUT_OF_RANGE = "Date out of range"
+INVALID = "Invalid {}"
+NOT_POSITIVE = "{} must be positive"
+MISSING = "Missing {}"
+MISSING_FIELDS = "Missing fields: "
+NOT_A_NUMBER = "{} is not a float"
+DUPLICATE_RECORD = "Duplicate record for date "
+DUPLICATE_DATE = "Duplicate date"
 FIELD_SEPARATOR = ", "
 REASON_SEPARATOR = "; "
-MALFORMED = "Malformed line"
 
 
 def _no_reasons() -> Column:
@@ -39,39 +48,39 @@ def rule_malformed(record: str) -> Rule:
 
 def rule_date(raw: str, parsed: str, echo: bool = False) -> Rule:
     """The date could not be read; ``echo`` repeats the raw text."""
-    text = F.lit("Invalid date format")
+    text = F.lit(INVALID_DATE)
     if echo:
         text = F.concat(text, F.lit(": "), F.coalesce(F.col(raw), F.lit("")))
     return Rule(F.col(parsed).isNull(), text)
 
 
 def rule_number(parsed: str, label: str) -> Rule:
-    return Rule(F.col(parsed).isNull(), f"Invalid {label}")
+    return Rule(F.col(parsed).isNull(), INVALID.format(label))
 
 
 def rule_positive(parsed: str, label: str) -> Rule:
-    return Rule(F.col(parsed) <= 0, f"{label} must be positive")
+    return Rule(F.col(parsed) <= 0, NOT_POSITIVE.format(label))
 
 
 def rule_date_range(parsed: str, lo: dt.date, hi: dt.date, echo: bool = False) -> Rule:
     """Outside [lo, hi], both ends in; ``echo`` names the bounds."""
-    text = f"Date out of range ({lo} to {hi})" if echo else "Date out of range"
+    text = f"{DATE_OUT_OF_RANGE} ({lo} to {hi})" if echo else DATE_OUT_OF_RANGE
     return Rule(~F.col(parsed).between(F.lit(lo), F.lit(hi)), text)
 
 
 def rule_present(column: str, label: str) -> Rule:
-    return Rule(F.col(column).isNull(), f"Missing {label}")
+    return Rule(F.col(column).isNull(), MISSING.format(label))
 
 
 def rule_numeric(raw: str, parsed: str, label: str) -> Rule:
     """Something was given, but it is not a number."""
-    return Rule(F.col(raw).isNotNull() & F.col(parsed).isNull(), f"{label} is not a float")
+    return Rule(F.col(raw).isNotNull() & F.col(parsed).isNull(), NOT_A_NUMBER.format(label))
 
 
 def rule_fields(columns: list[str]) -> Rule:
     """Lists the required fields a record lacks."""
     absent = F.concat_ws(FIELD_SEPARATOR, *[F.when(F.col(c).isNull(), F.lit(c)) for c in columns])
-    return Rule(absent != "", F.concat(F.lit("Missing fields: "), absent))
+    return Rule(absent != "", F.concat(F.lit(MISSING_FIELDS), absent))
 
 
 def apply_rules(df: DataFrame, rules: list[Rule], errors: str = "errors") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from dayloom.operators.quality import INVALID_DATE
 from dayloom.schemas import FeedSpec
 from dayloom.sources.messages import decode_payload, to_staging_row
 from dayloom.sources.tables import VALID_FLAG, table_exists
@@ -57,7 +58,7 @@ def stage_messages(decoded: DataFrame, feed: FeedSpec, keep: tuple[str, ...] = (
     rows = to_staging_row(decoded, feed, keep=(*keep, "message", "decode_error"))
     error = F.coalesce(
         F.col("decode_error"),
-        F.when(F.col("date").isNull(), F.lit("Invalid date format")),
+        F.when(F.col("date").isNull(), F.lit(INVALID_DATE)),
     )
     return rows.withColumn("errors", error).drop("decode_error").withColumn(
         VALID_FLAG, F.col("errors").isNull()
