@@ -170,7 +170,9 @@ def json_map_pair_join(spark, folder):
       SELECT page_id, i, regexp_extract_all(items[i + 1], '(?s)<a[^>]*>(.*?)</a>', 1) AS c
       FROM listed)
     SELECT page_id, CAST(i AS INTEGER) AS row_no,
-           trim(regexp_replace(c[1], '<[^>]*>', '', 'g')) AS first_cell
+           trim(replace(replace(replace(replace(replace(replace(
+             regexp_replace(c[1], '<[^>]*>', '', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'),
+             '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&')) AS first_cell
     FROM cells WHERE len(c) >= 1
     """,
 )

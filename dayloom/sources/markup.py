@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayloom.functions import date_from_dmy, safe_double, strip_thousands
@@ -13,6 +13,24 @@ TABLE_ROW = r"(?s)<tr[^>]*\sid=[\"']?table_[^>]*>(.*?)</tr>"
 TABLE_CELL = r"(?s)<td[^>]*>(.*?)</td>"
 _TAG = r"<[^>]*>"
 
+# Entities that stand for a character; the ampersand's own comes last.
+ENTITIES = {
+    "&nbsp;": " ",
+    "&lt;": "<",
+    "&gt;": ">",
+    "&quot;": '"',
+    "&#39;": "'",
+    "&amp;": "&",
+}
+
+
+def cell_text(cell: Column) -> Column:
+    """Text of a cell: tags out, entities resolved, blanks at both ends trimmed."""
+    text = F.regexp_replace(cell, _TAG, "")
+    for entity, character in ENTITIES.items():
+        text = F.replace(text, F.lit(entity), F.lit(character))
+    return F.trim(text)
+
 
 def extract_markup_rows(
     df: DataFrame,
@@ -32,8 +50,7 @@ def extract_markup_rows(
     cells = rows.select(
         *keep, "row_no", F.regexp_extract_all("_row", F.lit(cell_re), 1).alias("_raw")
     ).filter(F.size("_raw") >= min_cells)
-    texts = F.transform("_raw", lambda c: F.trim(F.regexp_replace(c, _TAG, "")))
-    return cells.select(*keep, "row_no", texts.alias("cells"))
+    return cells.select(*keep, "row_no", F.transform("_raw", cell_text).alias("cells"))
 
 
 def require_rows(df: DataFrame, found: str) -> DataFrame:

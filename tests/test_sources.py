@@ -129,6 +129,12 @@ def test_markup(spark):
     assert values(newest, "date", "price") == [(DAY(2024, 1, 4), 10.0)]
 
 
+def test_cell_text_resolves_entities(spark):
+    html = '<tr id="table_1"><td>a &amp;lt; <b>b</b>&nbsp;</td><td>&#39;1&#39; &lt;</td></tr>'
+    page = spark.createDataFrame([(html,)], "html string")
+    assert extract_markup_rows(page, "html", min_cells=2).first().cells == ["a &lt; b", "'1' <"]
+
+
 def test_page_without_rows_fails(spark):
     none = spark.createDataFrame([(0,)], "found long")
     with pytest.raises(Exception, match="price rows not found"):
