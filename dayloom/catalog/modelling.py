@@ -12,6 +12,7 @@ from dayloom.catalog.series import (
     features_sql,
     money,
     order_measures,
+    rounded,
 )
 from dayloom.operators.evaluate import (
     backtest,
@@ -175,13 +176,74 @@ def ridge_by_key(spark, folder):
     )
 
 
-@query("ridge_full")
+# All features: the normal equations in long form, solved by elimination, one column per step.
+NUMERIC_LONG = " UNION ALL ".join(
+    f"SELECT series, id, '{c}' AS f, {c} AS x FROM train" for c in ALL
+)
+TEXT_LONG = " UNION ALL ".join(
+    f"""
+    SELECT t.series, t.id, '{c}=' || l.v AS f, CAST(t.{c} = l.v AS DOUBLE) AS x
+    FROM train t JOIN (SELECT DISTINCT series, {c} AS v FROM train) l ON l.series = t.series
+    """
+    for c in TEXT
+)
+
+
+@query(
+    "ridge_full",
+    f"""
+    WITH RECURSIVE {FEATURES},
+    train AS (
+      SELECT *, row_number() OVER (ORDER BY series, date) AS id
+      FROM features WHERE target_40 IS NOT NULL),
+    long AS ({NUMERIC_LONG} UNION ALL {TEXT_LONG}),
+    means AS (
+      SELECT series, f, avg(x) AS m, row_number() OVER (PARTITION BY series ORDER BY f) AS i
+      FROM long GROUP BY series, f),
+    label AS (
+      SELECT series, id, avg(target_40) OVER (PARTITION BY series) AS my,
+             target_40 - avg(target_40) OVER (PARTITION BY series) AS y FROM train),
+    centred AS (
+      SELECT series, id, i, coalesce(x, m) - m AS x FROM long JOIN means USING (series, f)),
+    matrix AS (
+      SELECT a.series, a.i, b.i AS j,
+             sum(a.x * b.x) + CASE WHEN a.i = b.i THEN 1.0 ELSE 0.0 END AS v
+      FROM centred a JOIN centred b ON a.series = b.series AND a.id = b.id
+      GROUP BY a.series, a.i, b.i
+      UNION ALL
+      SELECT series, i, 0 AS j, sum(x * y) AS v FROM centred JOIN label USING (series, id)
+      GROUP BY series, i),
+    steps AS (
+      SELECT CAST(0 AS BIGINT) AS step, series, i, j, v FROM matrix
+      UNION ALL
+      SELECT a.step + 1, a.series, a.i, a.j,
+             CASE WHEN a.i = a.step + 1 THEN a.v / p.v ELSE a.v - f.v * r.v / p.v END
+      FROM steps a
+      JOIN steps p ON p.series = a.series AND p.i = a.step + 1 AND p.j = a.step + 1
+      JOIN steps r ON r.series = a.series AND r.i = a.step + 1 AND r.j = a.j
+      JOIN steps f ON f.series = a.series AND f.i = a.i AND f.j = a.step + 1),
+    weights AS (
+      SELECT s.series, m.f, s.v AS w, m.m
+      FROM steps s JOIN means m ON m.series = s.series AND m.i = s.i
+      WHERE s.j = 0 AND s.step = (SELECT max(i) FROM means)),
+    totals AS (
+      SELECT w.series, (SELECT count(*) FROM train t WHERE t.series = w.series) AS n,
+             (SELECT any_value(my) FROM label l WHERE l.series = w.series)
+               - sum(w.w * w.m) AS intercept
+      FROM weights w GROUP BY w.series)
+    SELECT series, n, round(intercept, 2) AS intercept, f AS feature, round(w, 4) AS weight
+    FROM weights JOIN totals USING (series)
+    """,
+)
 def ridge_full(spark, folder):
     """All features, text columns as categories: one row per weight of every series."""
-    model = fit_ridge(features(spark, folder), ALL, "target_40", TEXT, by=BY)
+    model = fit_ridge(rounded(features(spark, folder)), ALL, "target_40", TEXT, by=BY)
     return model.select(
-        "series", "n", "intercept", F.explode("weights").alias("feature", "weight")
-    )
+        "series",
+        "n",
+        F.round("intercept", 2).alias("intercept"),
+        F.explode("weights").alias("feature", "weight"),
+    ).withColumn("weight", F.round("weight", 4))
 
 
 @query(

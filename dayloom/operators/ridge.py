@@ -78,7 +78,10 @@ def _solver(by, numeric, categorical, label, l2, schema):
         d = len(numeric)
         a = np.block([[gram[:d, :d], cross[:, :d].T], [cross[:, :d], indicator]])
         b = np.concatenate([gram[:d, d], cross[:, d]])
-        weights = np.linalg.lstsq(a + l2 * np.eye(len(b)), b, rcond=None)[0]
+        a += l2 * np.eye(len(b))
+        # Unit diagonal: features of very different size must not look degenerate.
+        size = np.sqrt(np.where(np.diag(a) > 0, np.diag(a), 1.0))
+        weights = np.linalg.lstsq(a / np.outer(size, size), b / size, rcond=None)[0] / size
         means = cells[[f"_m_{c}" for c in columns]].iloc[0].to_numpy(dtype=float) + total / n
         intercept = means[d] - weights @ np.concatenate([means[:d], share])
         row = {k: cells[k].iloc[0] for k in by}

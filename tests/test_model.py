@@ -104,6 +104,19 @@ def test_ridge_shuffles_once_for_gathered_series(spark):
     assert text.count("Exchange") == 1 and "Join" not in text
 
 
+def test_features_of_very_different_size(spark):
+    rng = random.Random(5)
+    data = []
+    for i in range(400):
+        big, small, c = rng.gauss(0, 1e12), rng.gauss(0, 1e-3), "rare" if i % 100 == 0 else "x"
+        data.append((big, small, c, 1e-12 * big + 500 * small + (3.0 if c == "rare" else 0.0)))
+    df = spark.createDataFrame(data, "big double, small double, c string, y double")
+    weights = fit_ridge(df, ["big", "small"], "y", ["c"], l2=1e-9).first().weights
+    assert weights["big"] == pytest.approx(1e-12, rel=1e-6)
+    assert weights["small"] == pytest.approx(500, rel=1e-3)
+    assert weights["c=rare"] - weights["c=x"] == pytest.approx(3.0, rel=1e-6)
+
+
 def test_all_null_feature(spark):
     df = spark.createDataFrame([(1.0, None, 2.0), (2.0, None, 4.0), (3.0, None, 6.0)], "a double, b double, y double")
     model = fit_ridge(df, ["a", "b"], "y").first()
