@@ -131,7 +131,6 @@ def stream_upsert_latest(spark, folder):
         ["ts", "event_id"],
         "date",
         checkpoint,
-        scratch_path(spark, "merge"),
     ).awaitTermination()
     merged = spark.read.schema(T.StructType([*rows.schema.fields])).parquet(target)
     return merged.select("event_type", "date", "event_id", "ts", "value")

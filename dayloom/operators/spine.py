@@ -73,7 +73,8 @@ def as_of_daily(
     (key, day) and one by key, whatever the number of sources, and no join.
 
     Without ``lo``/``hi`` each key runs from its own first to its own last day. Days before
-    the first observation hold nulls.
+    the first observation hold nulls. Without a key the observed days, one row each, are
+    filled in one task: the calendar bounds them.
     """
     by = list(by or [])
     names = [c for _, columns in sources for c in columns]

@@ -26,19 +26,12 @@ def merge_batch(
     """Rewrites the parts of the target that a batch touches.
 
     ``part`` must be a function of the keys. The merged parts go to ``staged`` first, so
-    nothing is overwritten while it is read, and a batch that is run again ends in the same
-    rows.
+    nothing is overwritten while it is read. A batch that is run again ends in the same
+    rows, also when it was cut off while parts of the target were being replaced: merged
+    parts that are complete are not made again from a target that may lack some.
     """
-    newest = latest_per_key(batch, keys, order).persist()
-    try:
-        merged = newest
-        if table_exists(spark, target):
-            merged = latest_per_key(
-                _touched(spark, newest, target, part).unionByName(newest), keys, order
-            )
-        write_curated(merged, staged, [part])
-    finally:
-        newest.unpersist()
+    if not table_exists(spark, f"{staged}/_SUCCESS"):
+        _merge(spark, batch, target, staged, keys, order, part)
     # Schemas are given throughout: part names must not be read back as another type.
     (
         spark.read.schema(batch.schema)
@@ -50,6 +43,28 @@ def merge_batch(
     )
 
 
+def _merge(
+    spark: SparkSession,
+    batch: DataFrame,
+    target: str,
+    staged: str,
+    keys: list[str],
+    order: list[str],
+    part: str,
+) -> None:
+    newest = latest_per_key(batch, keys, order).persist()
+    try:
+        merged = newest
+        if table_exists(spark, target):
+            merged = latest_per_key(
+                _touched(spark, newest, target, part).unionByName(newest), keys, order
+            )
+        # Few files per part; adaptive execution splits a part that holds very many rows.
+        write_curated(merged.hint("rebalance", part), staged, [part])
+    finally:
+        newest.unpersist()
+
+
 def _touched(spark: SparkSession, newest: DataFrame, target: str, part: str) -> DataFrame:
     """Rows of those parts of the target that the batch has rows for."""
     known = spark.read.schema(newest.schema).parquet(target).select(*newest.columns)
@@ -67,12 +82,14 @@ def upsert_stream(
     order: list[str],
     part: str,
     checkpoint: str,
-    staging_root: str,
 ) -> StreamingQuery:
-    """Keeps ``target`` at the newest row per key, batch by batch."""
+    """Keeps ``target`` at the newest row per key, batch by batch.
+
+    Merged parts are staged below the checkpoint, whose batch numbers they carry.
+    """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        staged = f"{staging_root}/batch_id={batch_id}"
+        staged = f"{checkpoint}/merged/batch_id={batch_id}"
         merge_batch(batch.sparkSession, batch, target, staged, keys, order, part)
 
     return (

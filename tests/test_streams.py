@@ -94,8 +94,8 @@ def test_upsert_stream_keeps_the_newest(spark, tmp_path):
     for rows in batches:
         arrivals(spark, rows).coalesce(1).write.mode("append").parquet(source)
     stream = read_feed_stream(spark, source, ARRIVALS, "parquet", 1)
-    upsert_stream(stream, target, ["date"], ["t"], "month", str(tmp_path / "cp"),
-                  str(tmp_path / "s")).awaitTermination()
+    upsert_stream(stream, target, ["date"], ["t"], "month",
+                  str(tmp_path / "cp")).awaitTermination()
     got = spark.read.schema(ARRIVALS).parquet(target).select(*ARRIVALS.fieldNames())
     whole = latest_per_key(spark.read.schema(ARRIVALS).parquet(source), ["date"], ["t"])
     assert values(got) == values(whole) and got.count() == 4
@@ -116,3 +116,19 @@ def test_merging_a_batch_twice_changes_nothing(spark, tmp_path, monkeypatch, lis
     assert once == [(dt.date(2024, 1, 1), 5.0, 2), (dt.date(2024, 1, 2), 6.0, 1), (dt.date(2024, 2, 1), 2.0, 1)]
     # A month without arrivals is not rewritten.
     assert sorted((tmp_path / "t" / "month=02").glob("*.parquet")) == before
+
+
+def test_merge_cut_off_half_way_loses_nothing(spark, tmp_path):
+    """The old part is gone, the new one not yet in place, and the batch is run again."""
+    import shutil
+
+    target, staged = tmp_path / "t", str(tmp_path / "s1")
+    run = lambda rows, path: merge_batch(
+        spark, arrivals(spark, rows), str(target), path, ["date"], ["t"], "month")
+    run([(1, 1, 1, 1), (1, 2, 2, 1)], str(tmp_path / "s0"))
+    run([(1, 1, 9, 2)], staged)
+    want = values(spark.read.schema(ARRIVALS).parquet(str(target)).select("date", "v", "t"))
+    shutil.rmtree(target / "month=01")
+    run([(1, 1, 9, 2)], staged)
+    assert values(spark.read.schema(ARRIVALS).parquet(str(target)).select("date", "v", "t")) == want
+    assert len(want) == 2
