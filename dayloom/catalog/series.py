@@ -258,8 +258,7 @@ def forward_fill_buckets(spark, folder):
         "ts",
         F.when(F.col("props").contains("9"), F.col("value")).alias("value"),
     )
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return forward_fill(events, ["value"], "ts", ["event_type"], parts=parts)
+    return forward_fill(events, ["value"], "ts", ["event_type"], ranges=True)
 
 
 @query(

@@ -17,7 +17,7 @@ def forward_fill(
     order: str,
     by: list[str] | None = None,
     bucket: Column | None = None,
-    parts: int | None = None,
+    ranges: int | bool = False,
     whole: bool = False,
 ) -> DataFrame:
     """The last non-null value up to each row, per key; leading nulls stay.
@@ -25,13 +25,13 @@ def forward_fill(
     A plain window needs the rows of a key in one task, which suits daily series, whose
     length the calendar bounds; keyed fills use it unless told otherwise, fills without a
     key only with ``whole``. With ``bucket`` (a column that never decreases along ``order``)
-    or ``parts`` (that many ranges of equal size, see ``range_buckets``; the default without
-    a key) no task needs more than a bucket: rows are filled within (key, bucket), the last
+    or ``ranges`` (of equal size, as many as given or as the data needs, see
+    ``range_buckets``; the default without a key) no task needs more than a bucket: rows are filled within (key, bucket), the last
     value of each bucket is carried over the bucket summary into the next. ``order`` must
     be unique within a key.
     """
     by = list(by or [])
-    if bucket is None and parts is None and (by or whole):
+    if bucket is None and not ranges and (by or whole):
         spec = Window.partitionBy(*by).orderBy(order).rowsBetween(
             Window.unboundedPreceding, Window.currentRow
         )
@@ -39,7 +39,8 @@ def forward_fill(
 
     if bucket is None:
         # The key breaks ties, so that rows of one moment need not share a range.
-        cut = range_buckets(df, [order, *by], _BUCKET, parts)
+        count = None if isinstance(ranges, bool) else ranges
+        cut = range_buckets(df, [order, *by], _BUCKET, count)
     else:
         cut = df.withColumn(_BUCKET, bucket)
     # One row per (key, bucket), combined before the shuffle: the last value it holds, and

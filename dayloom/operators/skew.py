@@ -45,11 +45,12 @@ def range_buckets(
 
     The ranges follow the data, so a busy hour is cut finer than a quiet one. They come from
     a sample and would differ in a second evaluation; the numbered rows are therefore
-    written to the scratch folder, and every later step reads the same numbers.
+    written to the scratch folder, and every later step reads the same numbers. Without
+    ``parts`` there are as many as shuffle partitions, fewer where those would be small.
     """
     spark = df.sparkSession
-    count = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "ranges")
-    ranged = df.repartitionByRange(count, *order).withColumn(name, F.spark_partition_id())
+    cut = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    ranged = cut.withColumn(name, F.spark_partition_id())
     ranged.write.parquet(path)
     return spark.read.schema(ranged.schema).parquet(path)

@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayloom.operators.dedup import latest_per_key
-from dayloom.operators.evaluate import backtest, forecast, has_labels, mape, score_history
+from dayloom.operators.evaluate import (
+    backtest,
+    forecast,
+    has_labels,
+    mape,
+    score_history,
+    split_rows,
+)
 from dayloom.operators.features import HORIZON, feature_matrix
 from dayloom.operators.ridge import DEFAULT_L2, fit_ridge
 from dayloom.operators.spine import as_of_daily, spine_bounds
@@ -34,7 +41,8 @@ class DailyConfig:
     """``out`` is a new folder for each run: no table is replaced while it is read.
 
     With ``train_until`` the model sees only days whose outcome was known by then, and the
-    backtest tells the two kinds of days apart; by default it is fitted on all of them.
+    backtest tells the two kinds of days apart; with ``hold_out`` one day in that many is
+    left out of training. By default the model is fitted on all days.
     """
 
     feeds: dict[str, FeedInput]
@@ -49,6 +57,7 @@ class DailyConfig:
     stretch_days: int | None = None
     categorical: tuple[str, ...] = ("dow", "mon")
     train_until: dt.date | None = None
+    hold_out: int | None = None
     views: dict[str, str] = field(default_factory=dict)
 
 
@@ -112,6 +121,8 @@ def _model_tables(
     training = features
     if cfg.train_until is not None:
         training = features.filter(F.date_add("date", cfg.horizon) <= F.lit(cfg.train_until))
+    if cfg.hold_out:
+        training, _ = split_rows(training, cfg.hold_out)
     if not has_labels(training, label):
         return paths
     categorical = list(cfg.categorical)

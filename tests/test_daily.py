@@ -75,6 +75,8 @@ def test_training_cut_off(spark, tmp_path):
     assert spark.read.parquet(paths["model"]).first().n == 60
     history = spark.read.parquet(paths["backtest"])
     assert history.filter("in_sample").count() == 60 and history.count() == 150
+    paths = run(spark, tmp_path / "held", 150, hold_out=11)
+    assert spark.read.parquet(paths["model"]).first().n == 100
 
 
 def test_without_labels_nothing_is_modelled(spark, tmp_path):

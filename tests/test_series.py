@@ -105,7 +105,7 @@ def test_fill_without_key_by_ranges(spark):
     rows = [("a", n, random.choice([None, None, None, n])) for n in range(400)]
     df = frame(spark, rows).drop("k").repartition(7)
     plain = values(forward_fill(df, ["v"], "date", whole=True))
-    for got in (forward_fill(df, ["v"], "date", parts=6), forward_fill(df, ["v"], "date")):
+    for got in (forward_fill(df, ["v"], "date", ranges=6), forward_fill(df, ["v"], "date")):
         assert values(got) == plain and got.columns == df.columns
 
 
@@ -113,7 +113,7 @@ def test_keyed_fill_by_ranges(spark):
     random.seed(4)
     rows = [(k, n, random.choice([None, None, n])) for n in range(150) for k in ("a", "b", None)]
     df = frame(spark, rows).repartition(5)
-    assert values(forward_fill(df, ["v"], "date", ["k"], parts=9)) == values(
+    assert values(forward_fill(df, ["v"], "date", ["k"], ranges=9)) == values(
         forward_fill(df, ["v"], "date", ["k"]))
 
 
