@@ -117,6 +117,29 @@ def test_upsert(spark, how):
     assert (None, None, 9.0) not in run(drop_null_keys=True)
 
 
+KEYED = st.dictionaries(st.integers(0, 9), st.one_of(st.none(), st.integers(0, 5)), max_size=8)
+
+
+@SLOW
+@given(
+    st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 3)), max_size=20),
+    KEYED, st.integers(0, 2), st.booleans(), st.sampled_from([{}, {"target_salts": 4}, {"broadcast_limit": 50}]),
+)
+def test_upsert_against_brute_force(spark, old, new, nulls, keep, how):
+    target = spark.createDataFrame(old, "k int, v int").repartition(3)
+    arrivals = [*new.items(), *[(None, 7)] * nulls]
+    source = spark.createDataFrame(arrivals, "k int, v int").repartition(2)
+
+    def merged(k, v):
+        if k not in new:
+            return k, v
+        return k, v if keep and new[k] is None else new[k]
+
+    known = {k for k, _ in old if k is not None}
+    want = Counter(merged(k, v) for k, v in old) + Counter((k, v) for k, v in arrivals if k not in known)
+    assert bag(upsert(target, source, ["k"], ["v"], keep_existing_on_null=keep, **how)) == want
+
+
 def test_small_source_does_not_shuffle_the_target(spark):
     target = spark.range(1000).select(F.col("id").alias("k"), F.col("id").cast("double").alias("v"))
     source = spark.createDataFrame([(1, -1.0), (2000, 5.0)], "k long, v double")
