@@ -54,7 +54,7 @@ def settle(
     policy: str,
     order: list[str] | None = None,
     reason_date: str | None = None,
-    rare_limit: int | None = None,
+    count_limit: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Duplicate handling by date: curated rows, and quarantine rows of both causes.
 
@@ -62,7 +62,7 @@ def settle(
     repair than a half-parsed value.
     """
     kept, repeated = dedup(
-        valid, ["date"], policy, list(order or []), reason_date, rare_limit=rare_limit
+        valid, ["date"], policy, list(order or []), reason_date, count_limit=count_limit
     )
     rejected = quarantine_union(invalid, repeated.select(invalid.columns))
     shown = [
@@ -84,7 +84,7 @@ def run_cleaner(
     write_marked(judged, staged)
     sides = [read_marked(spark, staged, flag) for flag in (True, False)]
     kept, rejected = settle(
-        sides[0].drop("errors"), sides[1], rare_limit=MAX_REPEATED_DATES, **settling
+        sides[0].drop("errors"), sides[1], count_limit=MAX_REPEATED_DATES, **settling
     )
     write_curated(kept, curated)
     write_curated(rejected, quarantine)

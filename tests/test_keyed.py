@@ -49,13 +49,17 @@ def test_reject_all_against_brute_force(spark, rows, salts):
 
 
 @pytest.mark.parametrize("policy", ["keep_first", "reject_all"])
-@pytest.mark.parametrize("limit", [1, 100])
-def test_rare_duplicates_by_list_or_not(spark, policy, limit):
-    rows = [(k % 9 if k < 20 else k, k, 0) for k in range(60)] + [(None, 1, 1), (None, 2, 1)]
+@pytest.mark.parametrize("limit, hot, joins", [(100, 99, 1), (4, 5, 2), (1, 5, 0), (2, 99, 0)])
+def test_rejects_after_a_count(spark, monkeypatch, policy, limit, hot, joins):
+    """Ten keys repeat; three of them have more than five rows."""
+    rows = [(k % 9 if k < 20 else k, k, 0) for k in range(60)] + [(None, n, 1) for n in range(9)]
+    rows += [(k, 99, 1) for k in (0, 1) for _ in range(6)]
     df = frame(spark, rows)
-    plain, listed = (dedup(df, ["k"], policy, ["o"], rare_limit=n)[1] for n in (None, limit))
-    assert bag(plain.drop("errors")) == bag(listed.drop("errors"))
-    assert ("BroadcastHashJoin" in plan_of(listed)) == (limit == 100)
+    plain = dedup(df, ["k"], policy, ["o"])[1]
+    monkeypatch.setattr("dayloom.operators.dedup.mark_after_count.__defaults__", (hot, 3, "is_first", "is_alone"))
+    counted = dedup(df, ["k"], policy, ["o"], count_limit=limit)[1]
+    assert bag(plain.drop("errors")) == bag(counted.drop("errors"))
+    assert plan_of(counted).count("BroadcastHashJoin") == joins
 
 
 def test_hot_key_and_copies_are_spread(spark):
