@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayloom.llm import chat_format, mixing, quality, token_counts, url_filter
+from dayloom.llm import bpe, chat_format, mixing, quality, substring_dedup, token_counts, token_files, topk, url_filter
 from dayloom.llm.common import table, written
 from dayloom.session import scratch_path
 
@@ -25,6 +26,17 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_byte_bpe")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(bpe.Vocabulary(ranks).decode(F.col("ids")), 256).alias("decoded_sha256"),
+    )
+
+
 @query("op2_quality_rules")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -156,3 +168,40 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
         F.col("n").cast("long").alias("formatted_chars"),
     )
+
+
+OP8_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op8_top_k", OP8_SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = written(topk.integer_vectors(table(spark, folder, "embeddings")), "vectors")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@query("op9_token_files")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(
+        table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end=2
+    )
+    return token_files.document_digests(spark, path)
+
+
+@query("op10_substring_dedup")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    left = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return left.select("doc_id", "dedup.n_words", "dedup.n_removed", F.sha2("dedup.kept", 256).alias("kept_sha256"))
