@@ -24,7 +24,7 @@ import zlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayloom.llm.common import written
+from dayloom.llm.common import named, written
 
 #: Pairs are keyed ``left * SIDE + right`` and dealt to a prime number of buckets.
 RANK_BUCKETS, SIDE = 65521, 1 << 20
@@ -159,4 +159,4 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
         ids = F.get(F.get(known, at), (place - 1).cast("int"))
         return F.coalesce(ids, vocabulary.fold(word.cast("binary")))
 
-    return docs.select(*keep, F.flatten(F.transform(text_words(F.col(text), pattern), look_up)).alias("ids"))
+    return docs.select(*map(named, keep), F.flatten(F.transform(text_words(F.col(text), pattern), look_up)).alias("ids"))

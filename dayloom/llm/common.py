@@ -21,6 +21,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def named(column: str) -> Column:
+    """A column by its exact name, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else, whatever the locale."""
     return F.translate(text, UPPER, LOWER)

@@ -15,7 +15,7 @@ for each source.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayloom.llm.common import words, written
@@ -110,6 +110,11 @@ def shuffled_offsets(sized: DataFrame) -> DataFrame:
     ).drop("bucket", "_running", "_offset")
 
 
+def place(doc_id: Column, source: Column, text: Column) -> Column:
+    """The hash by which documents are shuffled."""
+    return F.xxhash64(F.lit("mix"), doc_id, source, text)
+
+
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, slots: int = SLOTS,
                 doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """One row per document: doc_id, place, size, source, source_size, target, taken.
@@ -118,10 +123,9 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int
     words in the mix, at most ``most`` times its size: a source's slots beyond ``most`` rounds
     of its blocks are not used.
     """
-    row = F.when(F.col(doc_id).isNull(), F.monotonically_increasing_id())
     sized = written(docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("size"),
-        F.xxhash64(F.lit("mix"), F.col(doc_id), F.col(source), F.col(text), row).alias("place"),
+        place(F.col(doc_id), F.col(source), F.col(text)).alias("place"),
     ), "mix-sizes")
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
     plan = written(plan_targets(per_source, weights, most), "mix-plan")

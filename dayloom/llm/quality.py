@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dayloom.llm.common import SPACES, words, written
+from dayloom.llm.common import SPACES, named, words, written
 
 #: Pieces of n-grams: runs of letters, of digits, or of other marks.
 PIECE = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+"
@@ -95,7 +95,7 @@ def judge_quality(docs: DataFrame, weights: DataFrame, text: str = "text", keep:
                   threshold: float = THRESHOLD, bins: int = BINS) -> DataFrame:
     """``keep`` and a struct column ``quality`` of the base figures, the score and the verdict."""
     table = weights.select("weights").scalar()
-    rows = docs.select(*(F.col(c).alias(f"_keep_{i}") for i, c in enumerate(keep)), F.col(text).alias("_text"))
+    rows = docs.select(*(named(c).alias(f"_keep_{i}") for i, c in enumerate(keep)), F.col(text).alias("_text"))
     rows = rows.withColumn("_found", words(F.col("_text"))).withColumn("_grams", ngram_bins(F.col("_text"), bins))
     full = F.coalesce(F.col("_text"), F.lit(""))
     lines = F.filter(F.split(full, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)

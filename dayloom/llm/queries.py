@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayloom.llm import bpe, chat_format, mixing, quality, substring_dedup, token_counts, token_files, topk, url_filter
+from dayloom.llm import bpe, chat_format, jaccard_join, mixing, quality, substring_dedup, token_counts, token_files, topk, url_filter
 from dayloom.llm.common import table, written
 from dayloom.session import scratch_path
 
@@ -205,3 +205,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     left = substring_dedup.remove_repeats(table(spark, folder, "documents"))
     return left.select("doc_id", "dedup.n_words", "dedup.n_removed", F.sha2("dedup.kept", 256).alias("kept_sha256"))
+
+
+@query("op6_jaccard_join")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    linked = jaccard_join.near_duplicates(table(spark, folder, "documents"), size=3, percent=90)
+    return linked.select("doc_id", "n_shingles", "component_id")

@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayloom.llm.common import gram_hashes, id_filter, may_hold, mix, words, written
+from dayloom.llm.common import gram_hashes, id_filter, may_hold, mix, named, words, written
 
 WINDOW, GRAM = 20, 6
 #: Runs that a task gathers before it lets the first of each context go on.
@@ -316,7 +316,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         return pd.Series(may_hold(bitmap.value, ids.to_numpy(np.int64)))
 
     names = [f"_keep_{i}" for i in range(len(keep))]
-    rows = docs.select(*(F.col(c).alias(n) for n, c in zip(names, keep)), *_ids(docs, doc_id, text), F.col(text).alias("_text"))
+    rows = docs.select(*(named(c).alias(n) for n, c in zip(names, keep)), *_ids(docs, doc_id, text), F.col(text).alias("_text"))
     rows = rows.withColumn("_touched", touched("did"))
     none = F.array().cast("array<int>")
     whole = rows.where("not _touched").select(

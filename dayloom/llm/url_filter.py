@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayloom.llm.common import ascii_lower
+from dayloom.llm.common import ascii_lower, named
 
 RULE_SCHEMA = "array<struct<rule_host:string,rule_path:string,rule_verdict:string>>"
 
@@ -61,13 +61,14 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", keep: tuple
     labels = F.array(*map(F.lit, shapes["labels"])).cast("array<int>")
     lengths = F.array(*map(F.lit, shapes["lengths"])).cast("array<int>")
 
+    names = [f"_keep_{i}" for i in range(len(keep))]
     rows = pages.select(
-        *keep, url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"),
+        *(named(c).alias(n) for n, c in zip(names, keep)), url_host(named(url)).alias("host"), url_path(named(url)).alias("path"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    names = F.split("host", r"\.")
+    parts = F.split("host", r"\.")
     suffixes = F.transform(
-        F.filter(labels, lambda k: k <= F.size(names)), lambda k: F.array_join(F.slice(names, -k, k), ".")
+        F.filter(labels, lambda k: k <= F.size(parts)), lambda k: F.array_join(F.slice(parts, -k, k), ".")
     )
     prefixes = F.transform(
         F.filter(lengths, lambda n: n <= F.length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n)
@@ -88,6 +89,6 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", keep: tuple
         F.col("rule_verdict").alias("verdict"),
     )
     best = F.max(F.when(F.col("_digest") == F.col("_rule_digest"), rank)).alias("_best")
-    return met.groupBy("_row", *keep, "host", "path").agg(best).select(
-        *keep, "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict")
+    return met.groupBy("_row", *names, "host", "path").agg(best).select(
+        *(F.col(n).alias(c) for n, c in zip(names, keep)), "host", "path", F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict")
     )
