@@ -26,8 +26,8 @@ SHINGLE_WORDS, PERCENT = 5, 80
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base checks and the likelihood ratio."""
     judged = quality.quality_rules(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
-    named = judged.toDF(*(f"_{i}" for i in range(len(docs.columns))), "verdict")
-    return named.where("verdict.kept").drop("verdict").toDF(*docs.columns)
+    rows = judged.toDF(*(f"_{i}" for i in range(len(docs.columns))), "verdict")
+    return rows.where("verdict.kept").drop("verdict").toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,10 +73,10 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids and the digest of what the ids decode to."""
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep=tuple(docs.columns))
-    named = encoded.toDF(*(f"_{i}" for i in range(len(docs.columns))), "ids")
-    return named.select(
+    rows = encoded.toDF(*(f"_{i}" for i in range(len(docs.columns))), "ids")
+    return bpe.decode(rows, ranks).select(
         *(F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)), "ids", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(bpe.Vocabulary(ranks).decode(F.col("ids")), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

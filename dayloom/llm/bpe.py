@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import json
 import zlib
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from dayloom.llm.common import named, written
 
 #: Pairs are keyed ``left * SIDE + right`` and dealt to a prime number of buckets.
-RANK_BUCKETS, SIDE = 65521, 1 << 20
+RANK_BUCKETS, SIDE = 262139, 1 << 20
 #: Rank of a pair that no token joins.
 NEVER = 1 << 30
 #: Most words whose ids are folded ahead, and the longest of them in bytes: a few MB per task.
@@ -49,11 +50,6 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
-def _literal(value, kind: str) -> Column:
-    """A constant array, parsed once while the query is planned."""
-    return F.from_json(F.lit(json.dumps(value, separators=(",", ":"))), kind)
-
-
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is computed once for each row."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -68,6 +64,8 @@ class Vocabulary:
 
     A token's rank is its id. The rank map is keyed by pairs of ids: each way to cut a token
     into two tokens is an entry, so that the pair's joined bytes need not be built to be ranked.
+    The tables are fields of one struct, ``t`` below, which a scalar subquery makes once; tasks
+    get it as one block of bytes.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -80,52 +78,83 @@ class Vocabulary:
                     key = left * SIDE + right
                     pairs[key % RANK_BUCKETS].append(key)
                     merged[key % RANK_BUCKETS].append(rank)
-        self._pairs, self._merged = _literal(pairs, "array<array<bigint>>"), _literal(merged, "array<array<int>>")
-        self._bytes = _literal([ranks[bytes([b])] for b in range(256)], "array<int>")
         pieces: list[str | None] = [None] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             pieces[rank] = token.hex()
-        self._pieces = _literal(pieces, "array<string>")
-
-    def rank(self, left: Column, right: Column) -> Column:
+        self._fields = {
+            "pairs": (pairs, "array<array<bigint>>"),
+            "merged": (merged, "array<array<int>>"),
+            "bytes": ([ranks[bytes([b])] for b in range(256)], "array<int>"),
+            "pieces": (pieces, "array<string>"),
+            "names": ([], "array<array<string>>"),
+            "known": ([], "array<array<array<int>>>"),
+        }
+
+    def know(self, words: Iterable[tuple[str, list[int]]]) -> None:
+        """Adds the ids of words folded before."""
+        names: list[list[str]] = [[] for _ in range(WORD_BUCKETS)]
+        known: list[list[list[int]]] = [[] for _ in range(WORD_BUCKETS)]
+        for word, ids in words:
+            at = zlib.crc32(word.encode()) % WORD_BUCKETS
+            names[at].append(word)
+            known[at].append(ids)
+        self._fields |= {"names": (names, "array<array<string>>"), "known": (known, "array<array<array<int>>>")}
+
+    def applied(self, df: DataFrame, body, *fields: str) -> DataFrame:
+        """``df`` with the column ``_told``: what ``body`` makes of the tables."""
+        tables = F.struct(*(
+            F.from_json(F.lit(json.dumps(self._fields[f][0], separators=(",", ":"))), self._fields[f][1]).alias(f) for f in fields))
+        scalar = df.sparkSession.range(1).select(tables.alias("t")).scalar()
+        return df.withColumn("_tables", scalar).select(*map(named, df.columns), _let(F.col("_tables"), body).alias("_told"))
+
+    @staticmethod
+    def rank(t: Column, left: Column, right: Column) -> Column:
         """The rank of two neighbours joined, or ``NEVER``."""
 
         def found(key):
             at = F.pmod(key, F.lit(RANK_BUCKETS)).cast("int")
-            return F.get(F.get(self._merged, at), (F.array_position(F.get(self._pairs, at), key) - 1).cast("int"))
+            return F.get(F.get(t["merged"], at), (F.array_position(F.get(t["pairs"], at), key) - 1).cast("int"))
 
         return F.coalesce(_let(left.cast("long") * SIDE + right, found), F.lit(NEVER))
 
-    def fold(self, word: Column) -> Column:
+    @classmethod
+    def fold(cls, t: Column, word: Column) -> Column:
         """Ids of one word given as bytes."""
         size = F.octet_length(word)
         letters = F.transform(F.sequence(F.lit(1), size), lambda i: F.get(
-            self._bytes, F.conv(F.hex(F.substring(word, i, F.lit(1))), 16, 10).cast("int")))
-        # A state: the ids so far, the rank of each with its right neighbour, the least of these.
+            t["bytes"], F.conv(F.hex(F.substring(word, i, F.lit(1))), 16, 10).cast("int")))
+        # A state: the ids so far, the rank of each with its right neighbour, and the least of these.
         state = lambda p, r: F.struct(p.alias("p"), r.alias("r"), F.coalesce(F.array_min(r), F.lit(NEVER)).alias("least"))
         start = _let(letters, lambda p: _let(
-            F.transform(F.slice(p, F.lit(2), F.greatest(F.size(p) - 1, F.lit(0))), lambda x, i: self.rank(F.get(p, i), x)),
-            lambda r: state(p, r)))
+            F.transform(F.slice(p, F.lit(2), F.size(p)), lambda x, i: cls.rank(t, F.get(p, i), x)), lambda r: state(p, r)))
+        none = F.array().cast("array<int>")
 
         def merge(s, _):
             p, r, new = s["p"], s["r"], s["least"]
 
             def at(m):
-                after = F.greatest(F.size(r) - m - 1, F.lit(0))
                 ids = F.concat(F.slice(p, F.lit(1), m - 1), F.array(new), F.slice(p, m + 2, F.size(p)))
-                left = F.when(m > 1, F.concat(F.slice(r, F.lit(1), m - 2), F.array(self.rank(F.get(p, m - 2), new))))
-                right = F.when(m < F.size(r), F.concat(F.array(self.rank(new, F.get(p, m + 1))), F.slice(r, m + 2, after)))
-                none = F.array().cast("array<int>")
-                return _let(F.concat(F.coalesce(left, none), F.coalesce(right, none)), lambda ranks: state(ids, ranks))
+                left = F.when(m > 1, F.concat(F.slice(r, F.lit(1), m - 2), F.array(cls.rank(t, F.get(p, m - 2), new)))).otherwise(none)
+                right = F.when(m < F.size(r), F.concat(F.array(cls.rank(t, new, F.get(p, m + 1))), F.slice(r, m + 2, F.size(r)))).otherwise(none)
+                return _let(F.concat(left, right), lambda ranks: state(ids, ranks))
 
             return F.when(new == NEVER, s).otherwise(_let(F.array_position(r, new).cast("int"), at))
 
         folded = F.aggregate(F.sequence(F.lit(2), size), start, merge, lambda s: s["p"])
-        return F.when(size == 0, F.array().cast("array<int>")).when(size == 1, letters).otherwise(folded)
+        return F.when(size == 0, none).when(size == 1, letters).otherwise(folded)
+
+    @classmethod
+    def look_up(cls, t: Column, word: Column) -> Column:
+        """Ids of a word: known ones, or else its fold."""
+        at = _bucket(word.cast("binary"), WORD_BUCKETS)
+        ids = F.get(F.get(t["known"], at), (F.array_position(F.get(t["names"], at), word) - 1).cast("int"))
+        return F.coalesce(ids, cls.fold(t, word.cast("binary")))
 
-    def decode(self, ids: Column) -> Column:
-        """The bytes of an array of ids."""
-        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self._pieces, i)), ""))
+
+def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", name: str = "decoded") -> DataFrame:
+    """``df`` with the bytes of its ids, each id's piece after the other."""
+    joined = lambda t: F.unhex(F.array_join(F.transform(named(ids), lambda i: F.get(t["pieces"], i)), ""))
+    return Vocabulary(ranks).applied(df, joined, "pieces").withColumnRenamed("_told", name)
 
 
 def text_words(text: Column, pattern: str) -> Column:
@@ -135,28 +164,23 @@ def text_words(text: Column, pattern: str) -> Column:
 def known_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "text",
                 rows: int = KNOWN_WORDS) -> DataFrame:
     """word and ids of the words that most documents hold, at most ``rows``, folded once each."""
-    found = docs.select(F.explode(F.array_distinct(text_words(F.col(text), pattern))).alias("word"))
+    found = docs.select(F.explode(F.array_distinct(text_words(named(text), pattern))).alias("word"))
     counts = found.where(F.octet_length("word") <= KNOWN_BYTES).groupBy("word").agg(F.count("*").alias("n"))
-    top = counts.where("n > 1").orderBy(F.desc("n"), "word").limit(rows)
-    # Folded after a shuffle, so that all cores take part.
-    spread = top.select("word").repartition(F.xxhash64("word"))
-    return written(spread.select("word", vocabulary.fold(F.col("word").cast("binary")).alias("ids")), "bpe-words")
+    top = written(counts.where("n > 1").orderBy(F.desc("n"), "word").limit(rows).select("word"), "bpe-top")
+    # Dealt anew after the limit, so that all cores fold.
+    folded = vocabulary.applied(
+        top.repartition(F.xxhash64("word")), lambda t: vocabulary.fold(t, F.col("word").cast("binary")), "pairs", "merged", "bytes")
+    return written(folded.select("word", F.col("_told").alias("ids")), "bpe-words")
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text",
            keep: tuple[str, ...] = ("doc_id",), rows: int = KNOWN_WORDS) -> DataFrame:
     """``keep`` and ``ids``, the whole text's ids in order."""
     vocabulary = Vocabulary(ranks)
-    table: list[list[tuple[str, list[int]]]] = [[] for _ in range(WORD_BUCKETS)]
-    for word, ids in known_words(docs, vocabulary, pattern, text, rows).toLocalIterator():
-        table[zlib.crc32(word.encode()) % WORD_BUCKETS].append((word, ids))
-    names = _literal([[w for w, _ in b] for b in table], "array<array<string>>")
-    known = _literal([[i for _, i in b] for b in table], "array<array<array<int>>>")
-
-    def look_up(word):
-        at = _bucket(word.cast("binary"), WORD_BUCKETS)
-        place = F.array_position(F.get(names, at), word)
-        ids = F.get(F.get(known, at), (place - 1).cast("int"))
-        return F.coalesce(ids, vocabulary.fold(word.cast("binary")))
-
-    return docs.select(*map(named, keep), F.flatten(F.transform(text_words(F.col(text), pattern), look_up)).alias("ids"))
+    vocabulary.know((r["word"], r["ids"]) for r in known_words(docs, vocabulary, pattern, text, rows).toLocalIterator())
+    names = [f"_keep_{i}" for i in range(len(keep))]
+    ready = docs.select(*(named(c).alias(n) for n, c in zip(names, keep)), named(text).alias("_text"))
+    told = vocabulary.applied(
+        ready, lambda t: F.flatten(F.transform(text_words(F.col("_text"), pattern), lambda w: vocabulary.look_up(t, w))),
+        "pairs", "merged", "bytes", "names", "known")
+    return told.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), F.col("_told").alias("ids"))
