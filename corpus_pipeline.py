@@ -73,10 +73,10 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids and the digest of what the ids decode to."""
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep=tuple(docs.columns))
-    rows = encoded.toDF(*(f"_{i}" for i in range(len(docs.columns))), "ids")
-    return bpe.decode(rows, ranks).select(
-        *(F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)), "ids", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+    rows = encoded.toDF(*(f"_{i}" for i in range(len(docs.columns))), "bpe")
+    return rows.select(
+        *(F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)), F.col("bpe.ids").alias("ids"),
+        F.size("bpe.ids").cast("long").alias("n_tokens"), F.sha2("bpe.decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import zlib
 from collections.abc import Iterable
 
@@ -34,14 +35,46 @@ NEVER = 1 << 30
 #: Most words whose ids are folded ahead, and the longest of them in bytes: a few MB per task.
 KNOWN_WORDS, KNOWN_BYTES, WORD_BUCKETS = 1 << 17, 32, 1 << 17
 
-#: Unicode white space, as the pattern's ``\s`` means it; Java's own ``\s`` is ASCII only.
+# Unicode white space, and the letters and numbers that the public tokenizer library
+# knows (Unicode 16) and Java 17 does not (Unicode 13), as ranges of code points.
 SPACE = r"\t\n\x0B\f\r \x85\xA0  -     　"
+NEWER_LETTERS = """
+870-887 889-88E 8B5 8C8-8C9 C5D CDD 170D 171F 1B4C 1C89-1C8A 2C2F 2C5F 9FFD-9FFF A7C0-A7C1
+A7CB-A7CD A7D0-A7D1 A7D3 A7D5-A7DC A7F2-A7F4 10570-1057A 1057C-1058A 1058C-10592 10594-10595
+10597-105A1 105A3-105B1 105B3-105B9 105BB-105BC 105C0-105F3 10780-10785 10787-107B0 107B2-107BA
+10D4A-10D65 10D6F-10D85 10EC2-10EC4 10F70-10F81 11071-11072 11075 1123F-11240 11380-11389 1138B
+1138E 11390-113B5 113B7 113D1 113D3 11740-11746 11AB0-11ABF 11BC0-11BE0 11F02 11F04-11F10
+11F12-11F33 12F90-12FF0 1342F 13441-13446 13460-143FA 16100-1611D 16A70-16ABE 16D40-16D6C 18CFF
+1AFF0-1AFF3 1AFF5-1AFFB 1AFFD-1AFFE 1B11F-1B122 1B132 1B155 1DF00-1DF1E 1DF25-1DF2A 1E030-1E06D
+1E290-1E2AD 1E4D0-1E4EB 1E5D0-1E5ED 1E5F0 1E7E0-1E7E6 1E7E8-1E7EB 1E7ED-1E7EE 1E7F0-1E7FE
+2A6DE-2A6DF 2B735-2B739 2EBF0-2EE5D 31350-323AF
+"""
+NEWER_NUMBERS = """
+10D40-10D49 116D0-116E3 11BF0-11BF9 11F50-11F59 16130-16139 16AC0-16AC9 16D70-16D79
+1CCF0-1CCF9 1D2C0-1D2D3 1E4F0-1E4F9 1E5F1-1E5FA
+"""
+#: Texts without a character from here on have none of the newer ones.
+NEWER_FROM = 0x870
+
 
+def _ranges(listed: str) -> str:
+    return "".join("-".join(rf"\x{{{end}}}" for end in entry.split("-")) for entry in listed.split())
 
-def java_pattern(pattern: str) -> str:
-    """The pattern with white space spelled out for Java, outside and inside of classes."""
-    inside = pattern.replace(r"[^\s", f"[^{SPACE}")
-    return inside.replace(r"\s", f"[{SPACE}]").replace(r"\S", f"[^{SPACE}]")
+
+def java_pattern(pattern: str, newer: bool = True) -> str:
+    """The pattern with white space spelled out, and with newer letters and numbers, for Java."""
+    more = {r"\p{L}": _ranges(NEWER_LETTERS) if newer else "", r"\p{N}": _ranges(NEWER_NUMBERS) if newer else ""}
+    out, inside = [], False
+    for part in re.split(r"(\\p\{[LN]\}|\\.|\[|\])", pattern):
+        if part in more and more[part]:
+            part = part + more[part] if inside else f"[{part}{more[part]}]"
+        elif part == r"\s":
+            part = SPACE if inside else f"[{SPACE}]"
+        elif part == r"\S":
+            part = f"[^{SPACE}]"
+        inside = part == "[" or inside and part != "]"
+        out.append(part)
+    return "".join(out)
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -105,6 +138,7 @@ class Vocabulary:
         tables = F.struct(*(
             F.from_json(F.lit(json.dumps(self._fields[f][0], separators=(",", ":"))), self._fields[f][1]).alias(f) for f in fields))
         scalar = df.sparkSession.range(1).select(tables.alias("t")).scalar()
+        # Used once, the subquery's value goes into the expression and not through a row of its own.
         return df.withColumn("_tables", scalar).select(*map(named, df.columns), _let(F.col("_tables"), body).alias("_told"))
 
     @staticmethod
@@ -151,14 +185,23 @@ class Vocabulary:
         return F.coalesce(ids, cls.fold(t, word.cast("binary")))
 
 
+    @staticmethod
+    def decode(t: Column, ids: Column) -> Column:
+        """The bytes of ids, each id's piece after the other."""
+        return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(t["pieces"], i)), ""))
+
+
 def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", name: str = "decoded") -> DataFrame:
-    """``df`` with the bytes of its ids, each id's piece after the other."""
-    joined = lambda t: F.unhex(F.array_join(F.transform(named(ids), lambda i: F.get(t["pieces"], i)), ""))
-    return Vocabulary(ranks).applied(df, joined, "pieces").withColumnRenamed("_told", name)
+    """``df`` with the bytes that an array of ids stands for; a null array gives null."""
+    vocabulary = Vocabulary(ranks)
+    return vocabulary.applied(df, lambda t: vocabulary.decode(t, named(ids)), "pieces").withColumnRenamed("_told", name)
 
 
 def text_words(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
+    """All matches of the pattern; only texts that may need it pay for the long one."""
+    full = F.coalesce(text, F.lit(""))
+    found = lambda newer: F.regexp_extract_all(full, F.lit(java_pattern(pattern, newer)), F.lit(0))
+    return F.when(full.rlike(rf"[\x{{{NEWER_FROM:X}}}-\x{{10FFFF}}]"), found(True)).otherwise(found(False))
 
 
 def known_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "text",
@@ -175,12 +218,15 @@ def known_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text",
            keep: tuple[str, ...] = ("doc_id",), rows: int = KNOWN_WORDS) -> DataFrame:
-    """``keep`` and ``ids``, the whole text's ids in order."""
+    """``keep`` and a struct ``bpe`` of ``ids``, the whole text's ids in order, and ``decoded``, their bytes."""
     vocabulary = Vocabulary(ranks)
     vocabulary.know((r["word"], r["ids"]) for r in known_words(docs, vocabulary, pattern, text, rows).toLocalIterator())
     names = [f"_keep_{i}" for i in range(len(keep))]
     ready = docs.select(*(named(c).alias(n) for n, c in zip(names, keep)), named(text).alias("_text"))
-    told = vocabulary.applied(
-        ready, lambda t: F.flatten(F.transform(text_words(F.col("_text"), pattern), lambda w: vocabulary.look_up(t, w))),
-        "pairs", "merged", "bytes", "names", "known")
-    return told.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), F.col("_told").alias("ids"))
+
+    def told(t):
+        ids = F.flatten(F.transform(text_words(F.col("_text"), pattern), lambda w: vocabulary.look_up(t, w)))
+        return _let(ids, lambda i: F.struct(i.alias("ids"), vocabulary.decode(t, i).alias("decoded")))
+
+    encoded = vocabulary.applied(ready, told, "pairs", "merged", "bytes", "names", "known", "pieces")
+    return encoded.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), F.col("_told").alias("bpe"))

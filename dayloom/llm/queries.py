@@ -30,10 +30,10 @@ def query(name: str, sql: str | None = None):
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     encoded = bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, ranks).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+    return encoded.select(
+        "doc_id", F.size("bpe.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("bpe.ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("bpe.decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -1,0 +1,11 @@
+import os
+
+import pytest
+
+
+@pytest.fixture(scope="session")
+def small_folder():
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("test tables are absent")
+    return folder
