@@ -46,6 +46,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lists(values) -> pd.Series:
+    """A column of arrays, also where there are none or all are of one length."""
+    out = np.empty(len(values), object)
+    for i, v in enumerate(values):
+        out[i] = v
+    return pd.Series(out)
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijective scramble of unsigned 64-bit integers."""
     x = values.astype(np.uint64, copy=True)

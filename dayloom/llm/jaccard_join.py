@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayloom.llm.common import ascii_lower, gram_hashes, id_filter, may_hold, words, written
+from dayloom.llm.common import ascii_lower, gram_hashes, id_filter, lists, may_hold, words, written
 from dayloom.llm.components import components
 
 #: Counters of the sketch that orders tokens: 2 MB.
@@ -106,8 +106,8 @@ def signatures(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id",
                 prefix = tokens[ranked[: n - least + min(MOST_MATCHES, least)]].view(np.int64)
                 rows.append((*_sign(tokens), n, prefix))
             s1, s2, n, prefix = zip(*rows) if rows else ((), (), (), ())
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64"), "place": frame["place"], "s1": np.array(s1, np.int64),
-                                "s2": np.array(s2, np.int64), "n": np.array(n, np.int64), "prefix": list(prefix)})
+            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64").array, "place": frame["place"].to_numpy(), "s1": np.array(s1, np.int64),
+                                "s2": np.array(s2, np.int64), "n": np.array(n, np.int64), "prefix": lists(prefix)})
 
     return _hashed(docs, doc_id, text).mapInPandas(
         sign, "doc_id long, place long, s1 long, s2 long, n long, prefix array<long>")
@@ -200,7 +200,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int,
             hit = frame[may_hold(bitmap.value, frame["place"].to_numpy(np.int64))]
             found = [shingles(h, size) for h in hit["h"]]
             signs = np.array([_sign(t) for t in found], np.int64).reshape(-1, 2)
-            yield pd.DataFrame({"s1": signs[:, 0], "s2": signs[:, 1], "tokens": [t.view(np.int64) for t in found]})
+            yield pd.DataFrame({"s1": signs[:, 0], "s2": signs[:, 1], "tokens": lists([t.view(np.int64) for t in found])})
 
     texts = _hashed(docs, doc_id, text).select("h", "place").mapInPandas(sets, "s1 long, s2 long, tokens array<long>")
     full = written(texts.join(wanted, ["s1", "s2"]).groupBy("cid").agg(F.first("tokens").alias("tokens")), "sets")
