@@ -46,6 +46,12 @@ def create_table(spark: SparkSession, path: str, schema) -> None:
     spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this library has written and no longer needs."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)

@@ -37,7 +37,13 @@ def _require_table(spark: SparkSession, path: str) -> None:
         raise FileNotFoundError(f"staging table does not exist: {path}")
 
 
-def append_staging(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+# Ends with what the source holds; ``trigger`` takes the arguments of Spark's trigger instead.
+BACKLOG = {"availableNow": True}
+
+
+def append_staging(
+    stream: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
     """Appends to an existing table; the file sink commits each batch exactly once."""
     _require_table(stream.sparkSession, path)
     return (
@@ -45,7 +51,7 @@ def append_staging(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .option("path", path)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or BACKLOG))
         .start()
     )
 
@@ -72,6 +78,7 @@ def ingest_feed(
     path: str,
     checkpoint: str,
     keep: tuple[str, ...] = (),
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Message stream (column ``value``) to a staging table with a quarantine side.
 
@@ -93,7 +100,7 @@ def ingest_feed(
     return (
         staged.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or BACKLOG))
         .start()
     )
 

@@ -7,11 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dayloom.operators.dedup import latest_per_key
-from dayloom.sources.tables import table_exists, write_curated
-
-# A batch that touches more parts of the table than this is compared by join instead of
-# by a list of part names.
-MAX_LISTED_PARTS = 1_000
+from dayloom.sources.tables import remove_path, table_exists, write_curated
 
 
 def merge_batch(
@@ -28,7 +24,8 @@ def merge_batch(
     ``part`` must be a function of the keys. The merged parts go to ``staged`` first, so
     nothing is overwritten while it is read. A batch that is run again ends in the same
     rows, also when it was cut off while parts of the target were being replaced: merged
-    parts that are complete are not made again from a target that may lack some.
+    parts that are complete are not made again from a target that may lack some. Readers
+    may see some parts replaced before others; the staged copy goes once all are in place.
     """
     if not table_exists(spark, f"{staged}/_SUCCESS"):
         _merge(spark, batch, target, staged, keys, order, part)
@@ -41,6 +38,9 @@ def merge_batch(
         .partitionBy(part)
         .parquet(target)
     )
+    # The mark goes first: a copy that is removed in part must not be taken for a whole one.
+    remove_path(spark, f"{staged}/_SUCCESS")
+    remove_path(spark, staged)
 
 
 def _merge(
@@ -69,10 +69,11 @@ def _touched(spark: SparkSession, newest: DataFrame, target: str, part: str) ->
     """Rows of those parts of the target that the batch has rows for."""
     known = spark.read.schema(newest.schema).parquet(target).select(*newest.columns)
     parts = newest.select(part).distinct()
-    listed = [row[0] for row in parts.limit(MAX_LISTED_PARTS + 1).collect()]
-    if len(listed) <= MAX_LISTED_PARTS:
-        return known.filter(F.col(part).isin(*listed))
-    return known.join(parts, part, "left_semi").select(*newest.columns)
+    named = known.join(parts, part, "left_semi").select(*newest.columns)
+    # An equality never meets the part without a name, so that one is matched on its own.
+    unnamed = parts.where(F.col(part).isNull()).select(F.lit(True).alias("_unnamed"))
+    rest = known.where(F.col(part).isNull()).withColumn("_unnamed", F.lit(True))
+    return named.unionByName(rest.join(unnamed, "_unnamed", "left_semi").select(*newest.columns))
 
 
 def upsert_stream(
@@ -82,10 +83,13 @@ def upsert_stream(
     order: list[str],
     part: str,
     checkpoint: str,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Keeps ``target`` at the newest row per key, batch by batch.
 
-    Merged parts are staged below the checkpoint, whose batch numbers they carry.
+    Merged parts are staged below the checkpoint, whose batch numbers they carry. By default
+    the query ends with what the source holds; ``trigger`` takes the arguments of Spark's
+    trigger, such as ``{"processingTime": "1 minute"}``, for one that runs on.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -95,6 +99,6 @@ def upsert_stream(
     return (
         stream.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -101,9 +101,7 @@ def test_upsert_stream_keeps_the_newest(spark, tmp_path):
     assert values(got) == values(whole) and got.count() == 4
 
 
-@pytest.mark.parametrize("listed", [1000, 0])
-def test_merging_a_batch_twice_changes_nothing(spark, tmp_path, monkeypatch, listed):
-    monkeypatch.setattr("dayloom.streaming.merge.MAX_LISTED_PARTS", listed)
+def test_merging_a_batch_twice_changes_nothing(spark, tmp_path):
     target = str(tmp_path / "t")
     run = lambda rows, n: merge_batch(
         spark, arrivals(spark, rows), target, str(tmp_path / f"s{n}"), ["date"], ["t"], "month")
@@ -118,10 +116,11 @@ def test_merging_a_batch_twice_changes_nothing(spark, tmp_path, monkeypatch, lis
     assert sorted((tmp_path / "t" / "month=02").glob("*.parquet")) == before
 
 
-def test_merge_cut_off_half_way_loses_nothing(spark, tmp_path):
+def test_merge_cut_off_half_way_loses_nothing(spark, tmp_path, monkeypatch):
     """The old part is gone, the new one not yet in place, and the batch is run again."""
     import shutil
 
+    monkeypatch.setattr("dayloom.streaming.merge.remove_path", lambda *_: None)
     target, staged = tmp_path / "t", str(tmp_path / "s1")
     run = lambda rows, path: merge_batch(
         spark, arrivals(spark, rows), str(target), path, ["date"], ["t"], "month")
@@ -132,3 +131,35 @@ def test_merge_cut_off_half_way_loses_nothing(spark, tmp_path):
     run([(1, 1, 9, 2)], staged)
     assert values(spark.read.schema(ARRIVALS).parquet(str(target)).select("date", "v", "t")) == want
     assert len(want) == 2
+
+
+NAMED = "k int, part string, t int"
+
+
+def test_parts_without_a_name_keep_their_rows(spark, tmp_path):
+    """A batch that touches the part without a name must not lose what it held before."""
+    target = str(tmp_path / "t")
+    run = lambda rows, n: merge_batch(
+        spark, spark.createDataFrame(rows, NAMED), target, str(tmp_path / f"s{n}"), ["k", "part"], ["t"], "part")
+    run([(1, None, 1), (2, "a", 1), (3, "b", 1), (None, None, 1)], 0)
+    run([(4, None, 2), (2, "a", 2), (None, None, 3)], 1)
+    got = values(spark.read.schema(NAMED).parquet(target).select("k", "part", "t"))
+    assert got == sorted([(1, None, 1), (4, None, 2), (None, None, 3), (2, "a", 2), (3, "b", 1)], key=repr)
+    # Nothing staged is left behind.
+    assert not (tmp_path / "s0").exists() and not (tmp_path / "s1").exists()
+
+
+def test_a_stream_may_run_on(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = lambda *ks: spark.createDataFrame([(k, "a", k) for k in ks], NAMED).coalesce(1).write.mode("append").parquet(source)
+    rows(1)
+    stream = read_feed_stream(spark, source, spark.createDataFrame([], NAMED).schema, "parquet", 1)
+    query = upsert_stream(stream, target, ["k"], ["t"], "part", str(tmp_path / "cp"), {"processingTime": "100 milliseconds"})
+    try:
+        query.processAllAvailable()
+        rows(2)
+        query.processAllAvailable()
+        assert query.isActive
+    finally:
+        query.stop()
+    assert spark.read.schema(NAMED).parquet(target).count() == 2
