@@ -12,18 +12,20 @@ from dayloom.catalog.series import (
     features_sql,
     money,
     order_measures,
+    order_top,
     rounded,
 )
 from dayloom.operators.evaluate import (
     backtest,
     forecast,
+    held_out,
     mape,
     score_history,
-    split_rows,
 )
 from dayloom.operators.features import feature_matrix
 from dayloom.operators.ridge import fit_ridge, predict
-from dayloom.operators.spine import as_of_daily, spine_bounds
+from dayloom.operators.spine import as_of_daily
+from dayloom.session import scratch_path
 
 BY = ["series"]
 ONE = ["y_lag1"]
@@ -51,10 +53,13 @@ ONE_MODEL = f"""
 
 
 def features(spark, folder):
-    sources = order_measures(spark, folder)
-    top = spine_bounds([(df, "date") for df, _ in sources], START).select("hi").scalar()
-    dense = as_of_daily(sources, "date", BY, START, top)
-    return feature_matrix(dense, "price_a", AVERAGED, by=BY)
+    """The features, built once and written: models, scores and outcomes read the same rows."""
+    top = order_top(spark, folder).select("hi").scalar()
+    dense = as_of_daily(order_measures(spark, folder), "date", BY, START, top)
+    built = feature_matrix(dense, "price_a", AVERAGED, by=BY)
+    path = scratch_path(spark, "features")
+    built.write.parquet(path)
+    return spark.read.schema(built.schema).parquet(path)
 
 
 @query(
@@ -257,15 +262,9 @@ def ridge_full(spark, folder):
 )
 def holdout_split(spark, folder):
     rows = features(spark, folder)
-    parts = [
-        part.groupBy("series").agg(
-            F.lit(flag).alias("held_out"),
-            F.count(F.lit(1)).alias("n"),
-            F.count("target_40").alias("labelled"),
-        )
-        for flag, part in zip((False, True), split_rows(rows, 10))
-    ]
-    return parts[0].unionByName(parts[1])
+    return rows.groupBy("series", held_out("date", 10).alias("held_out")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("target_40").alias("labelled")
+    )
 
 
 @query(

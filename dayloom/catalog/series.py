@@ -28,6 +28,12 @@ from dayloom.sources.tables import register_view
 START = dt.date(1995, 1, 1)
 AVERAGED = {"b_ma7": "price_b", "precip_ma7": "precipitation", "soil_ma7": "soil_moisture"}
 VALUES = ["price_a", "price_b", "precipitation", "soil_moisture"]
+PRIORITIES = {
+    "price_a": ["1-URGENT"],
+    "price_b": ["5-LOW", "4-NOT SPECIFIED"],
+    "precipitation": ["2-HIGH"],
+    "soil_moisture": ["3-MEDIUM"],
+}
 
 
 def money(condition, amount="o_totalprice"):
@@ -41,7 +47,7 @@ def money(condition, amount="o_totalprice"):
 
 
 def order_measures(spark, folder):
-    """Three sources of daily measures per order status, each with gaps of its own."""
+    """Daily measures per order status, each with gaps of its own, summed in one pass."""
     orders = table(spark, folder, "orders").select(
         F.col("o_orderstatus").alias("series"),
         F.to_date("o_orderdate").alias("date"),
@@ -50,18 +56,15 @@ def order_measures(spark, folder):
     )
     priority = F.col("o_orderpriority")
 
-    def of(**measures):
-        daily = orders.filter(priority.isin(list(measures.values()))).groupBy("series", "date")
-        return daily.agg(*[money(priority == p).alias(c) for c, p in measures.items()])
+    daily = orders.groupBy("series", "date").agg(
+        *[money(priority.isin(wanted)).alias(c) for c, wanted in PRIORITIES.items()]
+    )
+    return [(daily, VALUES)]
+
 
-    return [
-        (of(price_a="1-URGENT"), ["price_a"]),
-        (of(price_b="5-LOW"), ["price_b"]),
-        (
-            of(precipitation="2-HIGH", soil_moisture="3-MEDIUM"),
-            ["precipitation", "soil_moisture"],
-        ),
-    ]
+def order_top(spark, folder):
+    """Last day of the calendar, from the raw column alone."""
+    return spine_bounds([(table(spark, folder, "orders"), "o_orderdate")], START)
 
 
 def _sum_sql(condition, amount="o_totalprice"):
@@ -80,10 +83,10 @@ ORDER_SPINE = f"""
     daily AS (
       SELECT o_orderstatus AS series, CAST(o_orderdate AS DATE) AS date,
              {_sum_sql("o_orderpriority = '1-URGENT'")} AS price_a,
-             {_sum_sql("o_orderpriority = '5-LOW'")} AS price_b,
+             {_sum_sql("o_orderpriority IN ('5-LOW', '4-NOT SPECIFIED')")} AS price_b,
              {_sum_sql("o_orderpriority = '2-HIGH'")} AS precipitation,
              {_sum_sql("o_orderpriority = '3-MEDIUM'")} AS soil_moisture
-      FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED' GROUP BY ALL),
+      FROM orders GROUP BY ALL),
     days AS (
       SELECT CAST(unnest(generate_series(TIMESTAMP '1995-01-01',
                CAST((SELECT max(date) FROM daily) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date),
@@ -155,7 +158,7 @@ def spine_left_join(spark, folder):
 def _sparse(spark, folder):
     """Spine of each status from the first calendar day on, with what the sources hold."""
     sources = order_measures(spark, folder)
-    top = spine_bounds([(df, "date") for df, _ in sources], START)
+    top = order_top(spark, folder)
     statuses = table(spark, folder, "orders").select(F.col("o_orderstatus").alias("series"))
     bounds = statuses.distinct().select(
         "series", F.lit(START).alias("lo"), top.select("hi").scalar().alias("hi")
@@ -165,7 +168,7 @@ def _sparse(spark, folder):
 
 def _as_of(spark, folder):
     sources = order_measures(spark, folder)
-    top = spine_bounds([(df, "date") for df, _ in sources], START)
+    top = order_top(spark, folder)
     return as_of_daily(sources, "date", ["series"], START, top.select("hi").scalar())
 
 
@@ -343,7 +346,7 @@ def feature_matrix_query(spark, folder):
     WITH daily AS (
       SELECT CAST(o_orderdate AS DATE) AS date,
              {_sum_sql("o_orderpriority = '1-URGENT'")} AS price_a,
-             {_sum_sql("o_orderpriority = '5-LOW'")} AS price_b,
+             {_sum_sql("o_orderpriority IN ('5-LOW', '4-NOT SPECIFIED')")} AS price_b,
              {_sum_sql("o_orderpriority = '2-HIGH'")} AS precipitation,
              {_sum_sql("o_orderpriority = '3-MEDIUM'")} AS soil_moisture, 1 AS one
       FROM orders GROUP BY ALL),

@@ -10,12 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from dayloom.functions.numbers import finite
 from dayloom.operators.quality import DUPLICATE_DATE, DUPLICATE_RECORD
 from dayloom.operators.skew import DEFAULT_SALTS, content_hash, salt
-from dayloom.session import scratch_path
-
-# A key with more rows than this is hot.
-HOT_ROWS = 1_000_000
 
 _HASH, _SALT, _PLACE, _MORE, _MEET = "_hash", "_salt", "_place", "_more", "_meet"
 
@@ -37,9 +34,17 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) ->
 def any_value_by_key(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """One non-null value per key and column, each column for itself.
 
-    Any value will do; the greatest is taken, so that a rerun gives the same rows.
+    Any value will do; the greatest is taken, so that a rerun gives the same rows. A finite
+    number goes before NaN and the infinities, which stand only where there is no other.
     """
-    return df.groupBy(*keys).agg(*[F.max(c).alias(c) for c in columns])
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+
+    def best(c: str) -> Column:
+        if kinds[c] in ("double", "float"):
+            return F.coalesce(F.max(finite(c)), F.max(c)).alias(c)
+        return F.max(c).alias(c)
+
+    return df.groupBy(*keys).agg(*[best(c) for c in columns])
 
 
 def mark_duplicates(
@@ -105,70 +110,18 @@ def keep_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _mark_whole_keys(
-    df: DataFrame, keys: list[str], order: list[Column | str], first: str, alone: str
-) -> DataFrame:
-    """As ``mark_duplicates`` in one round, for keys that are known to have few rows."""
-    spec = Window.partitionBy(*keys).orderBy(*order, _HASH)
-    hashed = df.withColumn(_HASH, content_hash(df))
-    ranked = hashed.withColumns(
-        {_PLACE: F.row_number().over(spec), _MORE: F.lead(F.lit(True)).over(spec)}
-    )
-    is_first = F.col(_PLACE) == 1
-    return ranked.select(
-        *df.columns, is_first.alias(first), (is_first & F.col(_MORE).isNull()).alias(alone)
-    )
-
+def _of_repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key occurs more than once; nulls match nulls.
 
-def _with_listed_keys(df: DataFrame, listed: DataFrame, keys: list[str], how: str) -> DataFrame:
-    """Rows with (or without) a key of a list that every task receives; nulls match nulls."""
-    renamed = listed.select(*[F.col(k).alias(f"_l_{k}") for k in keys])
+    Counts are partial, so a hot key collapses before the shuffle; rows meet one row per
+    repeated key, and adaptive execution splits a key that holds very many of them.
+    """
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_MORE)).filter(F.col(_MORE) > 1)
+    listed = counted.select(*[F.col(k).alias(f"_l_{k}") for k in keys])
     same = F.lit(True)
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"_l_{key}"))
-    return df.join(F.broadcast(renamed), same, how)
-
-
-def mark_after_count(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column | str],
-    limit: int,
-    hot_rows: int = HOT_ROWS,
-    salts: int = DEFAULT_SALTS,
-    first: str = "is_first",
-    alone: str = "is_alone",
-) -> DataFrame:
-    """As ``mark_duplicates``, after a look at how often keys repeat; runs one job at once.
-
-    The look reads the key columns alone, counts before the shuffle and writes the keys that
-    repeat to the scratch folder. Lists of up to ``limit`` keys are sent to every task:
-
-    * few keys repeat: rows with a key of their own are dropped where they are read, as they
-      are neither duplicates nor have any; only the rest is moved;
-    * many repeat but few are hot (more than ``hot_rows`` rows): hot keys take two rounds,
-      all others one, in which no key has more rows than that;
-    * otherwise every key takes two rounds.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, "repeated")
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_MORE)).filter(F.col(_MORE) > 1)
-    counted.write.parquet(path)
-    repeated = spark.read.schema(counted.schema).parquet(path)
-    if repeated.count() <= limit:
-        suspects = _with_listed_keys(df, repeated, keys, "left_semi")
-        return mark_duplicates(suspects, keys, order, salts, first, alone)
-    hot = repeated.filter(F.col(_MORE) > hot_rows)
-    hot_keys = hot.count()
-    if hot_keys == 0:
-        return _mark_whole_keys(df, keys, order, first, alone)
-    if hot_keys <= limit:
-        cold = _with_listed_keys(df, hot, keys, "left_anti")
-        spread = _with_listed_keys(df, hot, keys, "left_semi")
-        return _mark_whole_keys(cold, keys, order, first, alone).unionByName(
-            mark_duplicates(spread, keys, order, salts, first, alone)
-        )
-    return mark_duplicates(df, keys, order, salts, first, alone)
+    return df.join(listed, same, "left_semi")
 
 
 def dedup(
@@ -179,23 +132,18 @@ def dedup(
     reason_date: str | None = None,
     errors: str = "errors",
     salts: int = DEFAULT_SALTS,
-    count_limit: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Kept rows, and rejected rows with their reason.
 
     ``keep_first`` keeps one row per key and rejects the rest; ``reject_all`` rejects every
     row of a key that occurs more than once. The two frames are planned apart, because the
-    kept side needs far less data moved than the rejected side. On wide rows
-    give ``count_limit``: the rejected side then counts the keys first and moves most rows
-    once or not at all (see ``mark_after_count``).
+    kept side needs far less data moved than the rejected side: for that, keys are counted
+    before the shuffle and only rows of keys that repeat are ranked.
     """
     if policy not in ("keep_first", "reject_all"):
         raise ValueError(f"unknown policy: {policy}")
     order = list(order or [])
-    if count_limit:
-        marked = mark_after_count(df, keys, order, count_limit, salts=salts)
-    else:
-        marked = mark_duplicates(df, keys, order, salts)
+    marked = mark_duplicates(_of_repeated_keys(df, keys), keys, order, salts)
     if policy == "keep_first":
         kept, bad = keep_first(df, keys, order), marked.filter(~F.col("is_first"))
     else:

@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A feed registry is configuration; more feeds than this are not one.
-MAX_FEEDS = 1_000
-
 # Rows that count as progress, and the names of the two states.
 MIN_NEW_ROWS = 1
 PASSED, WAITING = "success", "skipped"
@@ -44,31 +41,19 @@ def new_rows(df: DataFrame, baseline: Column, stamp: str = "ingestion_time") ->
     return df.agg(F.count_if(newer).alias("new_rows"))
 
 
-def _baseline_map(baselines: DataFrame) -> Column:
-    """All baselines as one map value; fails when there are more than a registry holds."""
-    entries = F.map_from_entries(F.collect_list(F.struct("feed", "baseline")))
-    map_type = T.MapType(T.StringType(), baselines.schema["baseline"].dataType)
-    too_many = F.raise_error(F.lit("too many feeds for a registry")).cast(map_type)
-    checked = F.when(F.count(F.lit(1)) > MAX_FEEDS, too_many).otherwise(entries)
-    return baselines.limit(MAX_FEEDS + 1).agg(checked.alias("m")).scalar()
-
-
 def new_rows_by(df: DataFrame, feed: str, stamp: str, baselines: DataFrame) -> DataFrame:
     """New rows per feed of a table that holds several feeds.
 
-    The baselines, one per registered feed, reach every task as one map value, so the rows
-    are not joined: they are counted where they are read and only the counts are shuffled,
-    however large one feed is. Feeds without rows count zero.
+    Rows meet the baselines, one per registered feed, and are counted in the same task;
+    only counts are shuffled after that. Spark sends a small registry to every task; beyond
+    its own limit adaptive execution splits a feed with very many rows. Feeds without rows
+    count zero, and a null feed is a feed of its own.
     """
-    rows = df.select(F.col(feed).alias("feed"), F.col(stamp).alias("_stamp"))
-    marked = rows.withColumn("_known", _baseline_map(baselines)).filter(
-        F.map_contains_key("_known", F.col("feed"))
-    )
-    since = F.try_element_at("_known", F.col("feed"))
-    counted = marked.groupBy("feed").agg(
-        F.count_if(since.isNull() | (F.col("_stamp") > since)).alias("new_rows")
-    )
-    return baselines.join(counted, "feed", "left").select(
+    rows = df.select(F.col(feed).alias("_feed"), F.col(stamp).alias("_stamp"))
+    met = rows.join(baselines, F.col("_feed").eqNullSafe(F.col("feed")))
+    newer = F.col("baseline").isNull() | (F.col("_stamp") > F.col("baseline"))
+    counted = met.groupBy(F.col("feed").alias("_feed")).agg(F.count_if(newer).alias("new_rows"))
+    return baselines.join(counted, F.col("feed").eqNullSafe(F.col("_feed")), "left").select(
         "feed", "baseline", F.coalesce("new_rows", F.lit(0)).cast("bigint").alias("new_rows")
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dayloom.functions import compute_once
+from dayloom.functions.numbers import finite
 
 # The reasons, and the separators of listed fields and reasons.
 MALFORMED = "Malformed line"
@@ -58,6 +59,11 @@ def rule_number(parsed: str, label: str) -> Rule:
     return Rule(F.col(parsed).isNull(), INVALID.format(label))
 
 
+def rule_finite(parsed: str, label: str) -> Rule:
+    """A number was read, but it is NaN or infinite."""
+    return Rule(F.col(parsed).isNotNull() & finite(parsed).isNull(), INVALID.format(label))
+
+
 def rule_positive(parsed: str, label: str) -> Rule:
     return Rule(F.col(parsed) <= 0, NOT_POSITIVE.format(label))
 
@@ -124,14 +130,18 @@ def require_text(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).cast("string") != "")
 
 
+def failing(df: DataFrame, bad: Column, message: Column | str) -> DataFrame:
+    """Fails the job on the first row for which ``bad`` is true.
+
+    The check is a filter, so it runs whichever columns are read afterwards.
+    """
+    text = F.lit(message) if isinstance(message, str) else message
+    fail = F.raise_error(text).cast("boolean")
+    return df.filter(F.when(bad, fail).otherwise(F.lit(True)))
+
+
 def assert_complete(df: DataFrame, columns: list[str]) -> DataFrame:
     """Fails the job on the first row with a null in any of the columns."""
-    checked = {
-        c: F.when(
-            F.col(c).isNull(), F.raise_error(F.lit(f"Invalid record: {c} is null")).cast(
-                df.schema[c].dataType
-            )
-        ).otherwise(F.col(c))
-        for c in columns
-    }
-    return df.withColumns(checked)
+    absent = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]))
+    message = F.concat(F.lit("Invalid record: "), F.get(absent, F.lit(0)), F.lit(" is null"))
+    return failing(df, F.size(absent) > 0, message)

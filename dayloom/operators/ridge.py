@@ -14,14 +14,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from dayloom.functions.numbers import finite
 from dayloom.operators.skew import salted_join
 
 DEFAULT_L2 = 1.0
-# A key's models are solved from one row per combination of category values. More than
-# this many means that a column is not a category; the job fails rather than cutting it.
-MAX_COMBINATIONS = 20_000
+_N, _KIND, _LEFT, _RIGHT, _ALL = "_n", "_kind", "_left", "_right", ""
 
-_N = "_n"
+
+def _pairs(categorical: list[str]) -> list[tuple[str, str]]:
+    return [(a, b) for i, a in enumerate(categorical) for b in categorical[i + 1 :]]
+
+
+def _pair_name(a: str, b: str) -> str:
+    return f"{a}\n{b}"
+
+
+def _entries(categorical: list[str]) -> Column:
+    """What a row is summed into: the key, each of its category values, each pair of them."""
+    def entry(kind: str, left: Column, right: Column) -> Column:
+        return F.struct(F.lit(kind).alias(_KIND), left.cast("string").alias(_LEFT), right.cast("string").alias(_RIGHT))
+
+    none = F.lit(None)
+    found = [entry(_ALL, none, none)]
+    found += [F.when(F.col(c).isNotNull(), entry(c, F.col(c), none)) for c in categorical]
+    found += [
+        F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), entry(_pair_name(a, b), F.col(a), F.col(b)))
+        for a, b in _pairs(categorical)
+    ]
+    return F.array_compact(F.array(*found))
 
 
 def _name(i: int) -> str:
@@ -56,25 +76,36 @@ def _solver(by, numeric, categorical, label, l2, schema):
     width = len(columns)
 
     def solve(cells: pd.DataFrame) -> pd.DataFrame:
-        count = cells[_N].to_numpy(dtype=float)
-        n = count.sum()
-        sums = cells[[f"_s{i}" for i in range(width)]].to_numpy(dtype=float)
+        """``cells``: the sums of the key, of each category value, and counts of pairs of values."""
+        kind = cells[_KIND].to_numpy()
+        whole = cells[kind == _ALL]
+        n = float(whole[_N].iloc[0])
+        sums = whole[[f"_s{i}" for i in range(width)]].to_numpy(dtype=float)
         gram = np.zeros((width, width))
         for i in range(width):
             for j in range(i, width):
-                gram[i, j] = gram[j, i] = cells[f"_p{i}_{j}"].sum()
-        names, flags = list(numeric), []
+                gram[i, j] = gram[j, i] = whole[f"_p{i}_{j}"].iloc[0]
+        names, place = list(numeric), {}
+        count, level_sums = [], []
         for c in categorical:
-            values = cells[c]
-            for level in sorted(values.dropna().unique()):
+            own = cells[kind == c].sort_values(_LEFT)
+            for level, m, s in zip(own[_LEFT], own[_N], own[[f"_s{i}" for i in range(width)]].to_numpy(dtype=float)):
+                place[c, level] = len(count)
                 names.append(f"{c}={level}")
-                flags.append((values == level).to_numpy(dtype=float))
-        flags = np.array(flags).reshape(len(flags), len(cells))
+                count.append(float(m))
+                level_sums.append(s)
+        count = np.array(count)
+        both = np.diag(count) if len(count) else np.zeros((0, 0))
+        for a, b in _pairs(categorical):
+            met = cells[kind == _pair_name(a, b)]
+            for x, y, m in zip(met[_LEFT], met[_RIGHT], met[_N]):
+                both[place[a, x], place[b, y]] = both[place[b, y], place[a, x]] = float(m)
+        level_sums = np.array(level_sums).reshape(len(count), width)
         total = sums.sum(axis=0)
         gram -= np.outer(total, total) / n
-        share = flags @ count / n
-        cross = flags @ sums - np.outer(share, total)
-        indicator = (flags * count) @ flags.T - n * np.outer(share, share)
+        share = count / n
+        cross = level_sums - np.outer(share, total)
+        indicator = both - n * np.outer(share, share)
         d = len(numeric)
         a = np.block([[gram[:d, :d], cross[:, :d].T], [cross[:, :d], indicator]])
         b = np.concatenate([gram[:d, d], cross[:, d]])
@@ -82,9 +113,9 @@ def _solver(by, numeric, categorical, label, l2, schema):
         # Unit diagonal: features of very different size must not look degenerate.
         size = np.sqrt(np.where(np.diag(a) > 0, np.diag(a), 1.0))
         weights = np.linalg.lstsq(a / np.outer(size, size), b / size, rcond=None)[0] / size
-        means = cells[[f"_m_{c}" for c in columns]].iloc[0].to_numpy(dtype=float) + total / n
+        means = whole[[f"_m_{c}" for c in columns]].iloc[0].to_numpy(dtype=float) + total / n
         intercept = means[d] - weights @ np.concatenate([means[:d], share])
-        row = {k: cells[k].iloc[0] for k in by}
+        row = {k: whole[k].iloc[0] for k in by}
         row["n"] = int(n)
         row["intercept"] = float(intercept)
         row["names"] = names
@@ -107,15 +138,17 @@ def fit_ridge(
     """One model row (per key): n, intercept, weights and means. Rows without label are unused.
 
     Numbers are centred first, because sums of raw squares lose digits, and then summed as
-    cross products per (key, category values) before anything is shuffled. The solve step
-    sees those few sums, never the rows. Keyed fits take the means by a window over the key,
+    cross products per key, as sums per category value, and as counts per pair of values of
+    two categories, before anything is shuffled. The solve step sees those sums, never the
+    rows: as many as its matrix has entries, however many categories there are. NaN and the
+    infinities count as missing. Keyed fits take the means by a window over the key,
     which needs no shuffle when the rows are series already gathered by key; for keys with
     unbounded rows give ``salts``, and the means are joined back over that many parts.
     """
     by, categorical = list(by or []), list(categorical or [])
     columns = [*numeric, label]
-    train = df.filter(F.col(label).isNotNull()).select(
-        *by, *categorical, *[F.col(c).cast("double").alias(c) for c in columns]
+    train = df.filter(finite(F.col(label).cast("double")).isNotNull()).select(
+        *by, *categorical, *[finite(F.col(c).cast("double")).alias(c) for c in columns]
     )
     x = {c: F.coalesce(F.col(c) - F.col(f"_m_{c}"), F.lit(0.0)) for c in columns}
     centred = _centred(train, numeric, label, by, salts).select(
@@ -125,23 +158,22 @@ def fit_ridge(
         *[x[c].alias(_name(i)) for i, c in enumerate(columns)],
     )
     width = range(len(columns))
-    cells = centred.groupBy(*by, *categorical).agg(
+    # Sums of a value are needed for the key and for single values, products for the key alone.
+    single, whole = F.col(_RIGHT).isNull(), F.col(_KIND) == _ALL
+    spread = centred.select("*", F.inline(_entries(categorical))) if categorical else centred.select(
+        "*", F.lit(_ALL).alias(_KIND), *(F.lit(None).cast("string").alias(c) for c in (_LEFT, _RIGHT))
+    )
+    cells = spread.groupBy(*by, _KIND, _LEFT, _RIGHT).agg(
         F.count(F.lit(1)).alias(_N),
         *[F.max(f"_m_{c}").alias(f"_m_{c}") for c in columns],
-        *[F.sum(_name(i)).alias(f"_s{i}") for i in width],
+        *[F.sum(F.when(single, F.col(_name(i)))).alias(f"_s{i}") for i in width],
         *[
-            F.sum(F.col(_name(i)) * F.col(_name(j))).alias(f"_p{i}_{j}")
+            F.sum(F.when(whole, F.col(_name(i)) * F.col(_name(j)))).alias(f"_p{i}_{j}")
             for i in width
             for j in width
             if i <= j
         ],
     ).filter(F.col(_N) > 0)
-    if categorical:
-        combinations = F.count(F.lit(1)).over(Window.partitionBy(*by))
-        too_many = F.raise_error(F.lit("a categorical column has too many values")).cast("bigint")
-        cells = cells.withColumn("_combinations", combinations).withColumn(
-            _N, F.when(F.col("_combinations") > MAX_COMBINATIONS, too_many).otherwise(F.col(_N))
-        ).drop("_combinations")
     numbers = T.ArrayType(T.DoubleType())
     schema = T.StructType(
         [
@@ -185,7 +217,7 @@ def predict(
     estimate = F.col("_model.intercept")
     for c in numeric:
         mean = F.try_element_at("_model.means", F.lit(c))
-        estimate = estimate + weight(F.lit(c)) * F.coalesce(F.col(c).cast("double"), mean)
+        estimate = estimate + weight(F.lit(c)) * F.coalesce(finite(F.col(c).cast("double")), mean)
     for c in categorical:
         level = F.concat(F.lit(f"{c}="), F.col(c))
         estimate = estimate + F.coalesce(weight(level), F.lit(0.0))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
+from dayloom.operators.quality import failing
+
 _STRETCH, _COPY = "_stretch", "_copy"
 
 
@@ -18,10 +20,8 @@ def series_window(by: list[str], order: str) -> WindowSpec:
 def assert_dense(df: DataFrame, order: str, by: list[str]) -> DataFrame:
     """Fails the job when a series skips or repeats a day."""
     step = F.datediff(F.col(order), F.lag(order).over(series_window(by, order)))
-    bad = F.raise_error(F.lit("series is not one row per day")).cast("date")
-    return df.withColumn("_step", step).withColumn(
-        order, F.when(F.col("_step") != 1, bad).otherwise(F.col(order))
-    ).drop("_step")
+    stepped = df.withColumn("_step", step)
+    return failing(stepped, F.col("_step") != 1, "series is not one row per day").drop("_step")
 
 
 def over_series(

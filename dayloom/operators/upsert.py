@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from dayloom.operators.quality import failing
 from dayloom.operators.skew import DEFAULT_SALTS, content_hash, salt, salted_join
 
 
@@ -19,6 +21,16 @@ def _spread(df: DataFrame, keys: list[str]) -> Column:
     return F.when(complete, F.lit(0)).otherwise(salt(content_hash(df), DEFAULT_SALTS))
 
 
+def _one_row_per_key(source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Fails on a key that occurs twice: which of its rows should win is not for a merge to say."""
+    rows = source.select(*keys, *columns)
+    counted = rows.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys, _spread(rows, keys))))
+    complete = F.lit(True)
+    for key in keys:
+        complete = complete & F.col(key).isNotNull()
+    return failing(counted, complete & (F.col("_rows") > 1), "a key of the source occurs twice").drop("_rows")
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -27,25 +39,20 @@ def upsert(
     keep_existing_on_null: bool = False,
     drop_null_keys: bool = False,
     target_salts: int | None = None,
-    broadcast_limit: int | None = None,
 ) -> DataFrame:
     """Matched rows take the source's columns, unmatched source rows are added.
 
-    ``source`` holds one row per key. By default a null in the source replaces a value, and
+    ``source`` holds one row per key; a key that occurs twice ends the job. By default a null in the source replaces a value, and
     a null key never matches, so such a row is added on every run; both can be switched off.
     Target columns outside ``keys`` and ``columns`` keep their value, and are null in added
     rows. A target holds a key once; where one key may hold very many target rows, give
-    ``target_salts`` and they are spread over that many parts. For a small source and a
-    large target give ``broadcast_limit``: the source is counted at once, and up to that
-    many rows it is sent to the target's tasks, so that the target is not shuffled at all.
+    ``target_salts`` and they are spread over that many parts.
     """
     if drop_null_keys:
         source = source.dropna(subset=keys)
-    if broadcast_limit and source.limit(broadcast_limit + 1).count() <= broadcast_limit:
-        return _upsert_small(target, source, keys, columns, keep_existing_on_null)
+    source = _one_row_per_key(source, keys, columns)
     if target_salts:
         return _upsert_spread(target, source, keys, columns, keep_existing_on_null, target_salts)
-    source = source.select(*keys, *columns)
     incoming = source.withColumns({"_incoming": F.lit(True), _SPREAD: _spread(source, keys)})
     existing = target.withColumns({"_existing": F.lit(True), _SPREAD: _spread(target, keys)})
     incoming, existing = incoming.alias("s"), existing.alias("t")
@@ -86,23 +93,6 @@ def _upsert_spread(
     )
 
 
-def _upsert_small(
-    target: DataFrame,
-    source: DataFrame,
-    keys: list[str],
-    columns: list[str],
-    keep_existing_on_null: bool,
-) -> DataFrame:
-    """The same with a source that fits into every task."""
-    both = target.join(F.broadcast(_renamed(source, keys, columns)), keys, "left")
-    # Keys of the source that the target has: at most as many as the source has rows.
-    known = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
-    added = source.select(*keys, *columns).join(known.distinct(), keys, "left_anti")
-    return _updated(both, target, columns, keep_existing_on_null).unionByName(
-        added, allowMissingColumns=True
-    )
-
-
 def _renamed(source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     new = [F.col(c).alias(f"_new_{c}") for c in columns]
     return source.select(*keys, *new, F.lit(True).alias("_incoming"))

@@ -18,6 +18,7 @@ from dayloom.functions import (
     safe_double,
     strip_thousands,
 )
+from dayloom.functions.numbers import finite
 from dayloom.operators.dedup import dedup
 from dayloom.operators.quality import (
     Rule,
@@ -28,6 +29,7 @@ from dayloom.operators.quality import (
     rule_date,
     rule_date_range,
     rule_malformed,
+    rule_finite,
     rule_number,
     rule_positive,
     rule_present,
@@ -38,10 +40,7 @@ from dayloom.schemas import FIRST_VALID_DAY, LAST_VALID_DAY
 from dayloom.session import scratch_path
 from dayloom.sources.documents import explode_records
 from dayloom.sources.lines import parse_csv_line, parse_plain_line
-from dayloom.sources.tables import read_marked, write_curated, write_marked
-
-# Dates that repeat in one feed; a calendar does not hold more.
-MAX_REPEATED_DATES = 100_000
+from dayloom.sources.tables import read_marked, remove_path, write_curated, write_marked
 
 # Columns with this prefix hold the text a value was read from.
 RAW = "_raw_"
@@ -54,16 +53,13 @@ def settle(
     policy: str,
     order: list[str] | None = None,
     reason_date: str | None = None,
-    count_limit: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Duplicate handling by date: curated rows, and quarantine rows of both causes.
 
     Quarantine rows show the raw text where the frame has it, since that is easier to
     repair than a half-parsed value.
     """
-    kept, repeated = dedup(
-        valid, ["date"], policy, list(order or []), reason_date, count_limit=count_limit
-    )
+    kept, repeated = dedup(valid, ["date"], policy, list(order or []), reason_date)
     rejected = quarantine_union(invalid, repeated.select(invalid.columns))
     shown = [
         F.col(f"{RAW}{c}" if f"{RAW}{c}" in rejected.columns else c).alias(c)
@@ -78,16 +74,22 @@ def run_cleaner(
     """Replaces the curated and the quarantine table of a feed.
 
     The judged rows are written once, split by the flag; both tables are made from that
-    copy, so the raw text is read and parsed a single time.
+    copy, so the raw text is read and parsed a single time. A kept row without a date or a
+    value ends the job before anything is replaced. The copy is removed at the end.
     """
     staged = scratch_path(spark, "judged")
     write_marked(judged, staged)
     sides = [read_marked(spark, staged, flag) for flag in (True, False)]
-    kept, rejected = settle(
-        sides[0].drop("errors"), sides[1], count_limit=MAX_REPEATED_DATES, **settling
-    )
-    write_curated(kept, curated)
-    write_curated(rejected, quarantine)
+    kept, rejected = settle(sides[0].drop("errors"), sides[1], **settling)
+    checked = scratch_path(spark, "checked")
+    try:
+        # Written aside first: a failed check leaves the curated table as it is.
+        write_curated(assert_complete(kept, ["date", *settling["values"]]), checked)
+        write_curated(spark.read.schema(kept.schema).parquet(checked), curated)
+        write_curated(rejected, quarantine)
+    finally:
+        remove_path(spark, staged)
+        remove_path(spark, checked)
 
 
 def judge_price_lines(
@@ -147,8 +149,12 @@ def judge_observations(
     label: str = "Brent_Price",
     lo: dt.date = FIRST_VALID_DAY,
     hi: dt.date = LAST_VALID_DAY,
+    allow_non_finite: bool = False,
 ) -> DataFrame:
-    """Documents of observations to rows, with the reasons against each row."""
+    """Documents of observations to rows, with the reasons against each row.
+
+    NaN and the infinities are numbers that no price has; they are rejected as invalid.
+    """
     raw = explode_records(documents, records)
     typed = compute_once(
         raw.select(F.col("date").alias(f"{RAW}date"), F.col("value").alias(f"{RAW}{value}")),
@@ -162,6 +168,8 @@ def judge_observations(
         rule_date(f"{RAW}date", "date"),
         rule_present(value, label),
     ]
+    if not allow_non_finite:
+        rules.append(rule_finite(value, label))
     return apply_rules(typed, rules)
 
 
@@ -198,22 +206,26 @@ def judge_weather_lines(
 ) -> DataFrame:
     """Plain CSV readings by year and day of year, with the reasons against each row.
 
-    Incomplete rows are left out, or judged with ``quarantine_incomplete``. With
+    Incomplete rows are left out, or judged with ``quarantine_incomplete``; readings that are
+    NaN or infinite are rejected. With
     ``threshold`` every value at or below the missing marker is missing, not only its exact
     spelling.
     """
-    parsed = parse_plain_line(
-        lines.select(line), line, numbers=values, allow_non_finite=allow_non_finite
-    )
+    parsed = parse_plain_line(lines.select(line), line, numbers=values, allow_non_finite=True)
     dated = to_dated_rows(parsed, values=values, strict_doy=strict_doy)
     if threshold:
-        dated = dated.withColumns({v: null_if_at_or_below(v) for v in values})
+        # The marker is a number; what is none is judged below.
+        dated = dated.withColumns(
+            {v: F.when(finite(v).isNull(), F.col(v)).otherwise(null_if_at_or_below(v)) for v in values}
+        )
     if not quarantine_incomplete:
         dated = require_complete(dated, list(values))
     rules = [
         rule_date_range("date", lo, hi, echo=True),
         *[rule_present(v, f"{v} value") for v in values],
     ]
+    if not allow_non_finite:
+        rules += [rule_finite(v, f"{v} value") for v in values]
     return apply_rules(dated, rules)
 
 

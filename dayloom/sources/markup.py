@@ -56,7 +56,7 @@ def extract_markup_rows(
 def require_rows(df: DataFrame, found: str) -> DataFrame:
     """Fails the job on a page in which no row was found (``found`` is the count column)."""
     checked = F.when(
-        F.col(found) == 0, F.raise_error(F.lit("price rows not found")).cast("bigint")
+        F.col(found) == 0, F.raise_error(F.lit("no row of the wanted shape in the page")).cast("bigint")
     ).otherwise(F.col(found))
     return df.withColumn(found, checked)
 

@@ -49,17 +49,14 @@ def test_reject_all_against_brute_force(spark, rows, salts):
 
 
 @pytest.mark.parametrize("policy", ["keep_first", "reject_all"])
-@pytest.mark.parametrize("limit, hot, joins", [(100, 99, 1), (4, 5, 2), (1, 5, 0), (2, 99, 0)])
-def test_rejects_after_a_count(spark, monkeypatch, policy, limit, hot, joins):
-    """Ten keys repeat; three of them have more than five rows."""
+def test_rejects_are_ranked_among_repeated_keys_only(spark, policy):
     rows = [(k % 9 if k < 20 else k, k, 0) for k in range(60)] + [(None, n, 1) for n in range(9)]
     rows += [(k, 99, 1) for k in (0, 1) for _ in range(6)]
-    df = frame(spark, rows)
-    plain = dedup(df, ["k"], policy, ["o"])[1]
-    monkeypatch.setattr("dayloom.operators.dedup.mark_after_count.__defaults__", (hot, 3, "is_first", "is_alone"))
-    counted = dedup(df, ["k"], policy, ["o"], count_limit=limit)[1]
-    assert bag(plain.drop("errors")) == bag(counted.drop("errors"))
-    assert plan_of(counted).count("BroadcastHashJoin") == joins
+    rejected = dedup(frame(spark, rows), ["k"], policy, ["o"])[1]
+    count = Counter(r[0] for r in rows)
+    per_key = Counter(r[0] for r in bag(rejected.drop("errors")).elements())
+    assert per_key == Counter({k: n - (policy == "keep_first") for k, n in count.items() if n > 1})
+    assert "LeftSemi" in plan_of(rejected)
 
 
 def test_hot_key_and_copies_are_spread(spark):
@@ -110,7 +107,7 @@ TARGET = [(1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0), (None, "n", 0.0)]
 SOURCE = [(2, 20.0), (3, None), (4, 40.0), (None, 9.0)]
 
 
-@pytest.mark.parametrize("how", [{}, {"target_salts": 3}, {"broadcast_limit": 4}, {"broadcast_limit": 3}])
+@pytest.mark.parametrize("how", [{}, {"target_salts": 3}])
 def test_upsert(spark, how):
     target = spark.createDataFrame(TARGET, "k int, name string, v double")
     source = spark.createDataFrame(SOURCE, "k int, v double")
@@ -127,7 +124,7 @@ KEYED = st.dictionaries(st.integers(0, 9), st.one_of(st.none(), st.integers(0, 5
 @SLOW
 @given(
     st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 3)), max_size=20),
-    KEYED, st.integers(0, 2), st.booleans(), st.sampled_from([{}, {"target_salts": 4}, {"broadcast_limit": 50}]),
+    KEYED, st.integers(0, 2), st.booleans(), st.sampled_from([{}, {"target_salts": 4}]),
 )
 def test_upsert_against_brute_force(spark, old, new, nulls, keep, how):
     target = spark.createDataFrame(old, "k int, v int").repartition(3)
@@ -144,13 +141,19 @@ def test_upsert_against_brute_force(spark, old, new, nulls, keep, how):
     assert bag(upsert(target, source, ["k"], ["v"], keep_existing_on_null=keep, **how)) == want
 
 
-def test_small_source_does_not_shuffle_the_target(spark):
-    target = spark.range(1000).select(F.col("id").alias("k"), F.col("id").cast("double").alias("v"))
-    source = spark.createDataFrame([(1, -1.0), (2000, 5.0)], "k long, v double")
-    df = upsert(target, source, ["k"], ["v"], broadcast_limit=10)
-    first = plan_of(df).split("\n+- ")[-1].split(":- ")
-    assert "BroadcastHashJoin" in first[1] and "Exchange hashpartitioning" not in first[1]
-    assert df.count() == 1001 and df.filter("k = 1").first().v == -1.0
+def test_a_key_that_the_source_holds_twice_ends_the_job(spark):
+    target = spark.createDataFrame([(1, 1.0)], "k int, v double")
+    twice = spark.createDataFrame([(2, 1.0), (2, 1.0), (None, 1.0), (None, 1.0)], "k int, v double")
+    with pytest.raises(Exception, match="occurs twice"):
+        upsert(target, twice, ["k"], ["v"]).count()
+    assert upsert(target, twice.where("k is null"), ["k"], ["v"]).count() == 3
+
+
+def test_a_finite_value_goes_before_the_others(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(1, nan), (1, 5.0), (1, inf), (2, nan), (3, None)], "k int, a double")
+    got = {r.k: r.a for r in any_value_by_key(df, ["k"], ["a"]).collect()}
+    assert got[1] == 5.0 and got[2] != got[2] and got[3] is None
 
 
 def test_upsert_with_hot_target_key(spark):
@@ -175,3 +178,5 @@ def test_assert_complete(spark):
     assert assert_complete(require_complete(df, ["a"]), ["a", "d"]).count() == 1
     with pytest.raises(Exception, match="Invalid record: a is null"):
         assert_complete(df, ["a"]).collect()
+    with pytest.raises(Exception, match="Invalid record: a is null"):
+        assert_complete(df, ["a"]).count()

@@ -12,7 +12,6 @@ from dayloom.operators.evaluate import (
     backtest, forecast, has_labels, last_days, mape, score_history, split_rows, train_if_labelled,
 )
 from dayloom.operators.ridge import fit_ridge, predict
-import dayloom.operators.ridge as ridge
 
 DAY0 = dt.date(2024, 1, 1)
 
@@ -91,11 +90,32 @@ def test_predict_with_gaps_and_unseen_levels(spark):
     assert got.first().p == pytest.approx(intercept + weights["a"] * 1e6 + weights["b"] * mean_b, rel=1e-9)
 
 
-def test_too_many_levels_fail(spark, monkeypatch):
-    monkeypatch.setattr(ridge, "MAX_COMBINATIONS", 2)
-    df = spark.createDataFrame(rows(60), SCHEMA)
-    with pytest.raises(Exception, match="too many values"):
-        fit_ridge(df, ["a"], "y", ["c"], by=["k"]).collect()
+def test_many_levels_of_several_categories(spark):
+    """Sums grow with pairs of values, not with combinations of all categories."""
+    data = [("k", i % 97, i % 89, i % 83, float(i % 7), float(i % 7 + (i % 97 == 3) * 5)) for i in range(3000)]
+    df = spark.createDataFrame([(k, str(a), str(b), str(c), x, y) for k, a, b, c, x, y in data],
+                               "k string, a string, b string, c string, x double, y double")
+    model = fit_ridge(df, ["x"], "y", ["a", "b", "c"], by=["k"]).first()
+    assert len(model.weights) == 1 + 97 + 89 + 83
+    columns = np.array([[x, *(a == i for i in range(97)), *(b == i for i in range(89)), *(c == i for i in range(83))]
+                        for _, a, b, c, x, _ in data], float)
+    y = np.array([r[-1] for r in data])
+    centred = columns - columns.mean(axis=0)
+    want = np.linalg.solve(centred.T @ centred + np.eye(columns.shape[1]), centred.T @ (y - y.mean()))
+    got = [model.weights["x"], *(model.weights[f"a={i}"] for i in range(97)), *(model.weights[f"b={i}"] for i in range(89)),
+           *(model.weights[f"c={i}"] for i in range(83))]
+    assert np.allclose(got, want, atol=1e-8)
+
+
+def test_nan_and_infinity_count_as_missing(spark):
+    clean = [(float(i), float(2 * i) if i % 5 else None) for i in range(50)]
+    odd = [(x, float("nan") if y is None else y) for x, y in clean] + [(1.0, float("inf")), (float("nan"), 4.0)]
+    fit = lambda rows: fit_ridge(spark.createDataFrame(rows, "x double, y double"), ["x"], "y").first()
+    a, b = fit(clean + [(None, 4.0)]), fit(odd)
+    assert (a.n, a.weights) == (b.n, b.weights) and a.intercept == pytest.approx(b.intercept)
+    model = fit_ridge(spark.createDataFrame(odd, "x double, y double"), ["x"], "y")
+    scored = predict(spark.createDataFrame([(float("nan"),), (None,)], "x double"), model, ["x"], "p").collect()
+    assert scored[0].p == scored[1].p and scored[0].p == scored[0].p
 
 
 def test_ridge_shuffles_once_for_gathered_series(spark):
