@@ -1,8 +1,12 @@
 """Brute-force versions, on whole fixtures in plain Python."""
 
+import math
 import re
 from collections import Counter, defaultdict
 
+import regex
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -67,3 +71,24 @@ def base_figures(text):
         len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered),
         len(w) < 20 or 100 * len(covered) > 30 * len(w),
     )
+
+
+def quality_scores(rows, labels, bins):
+    """Mean log ratio of each row (doc_id, text); ``labels`` are (doc_id, quality, toxic)."""
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    part = lambda x: x.to_bytes(8, "little", signed=True)
+
+    def grams(text):
+        h = [signed(xxhash.xxh64_intdigest(p.encode(), 42)) for p in regex.findall(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+", text or "")]
+        pairs = [signed(xxhash.xxh64_intdigest(part(b), xxhash.xxh64_intdigest(part(a), 42))) for a, b in zip(h, h[1:])]
+        return [x % bins for x in h + pairs]
+
+    trusted = {i for i, q, t in labels if q == 1 and not t and i is not None}
+    every = [(i, grams(text)) for i, text in rows]
+    raw, good = Counter(), Counter()
+    for i, g in every:
+        raw.update(g)
+        good.update(g if i in trusted else ())
+    n_raw, n_good = sum(raw.values()), sum(good.values())
+    ratio = lambda g: math.log((good[g] + 1) / (n_good + bins)) - math.log((raw[g] + 1) / (n_raw + bins))
+    return [sum(map(ratio, g)) / len(g) if g and n_good else 0.0 for _, g in every]

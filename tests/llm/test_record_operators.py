@@ -238,6 +238,18 @@ def test_token_files_equal_the_library(spark):
     assert "PushedFilters: [In(doc_id" in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_words_are_cut_as_the_library_cuts_them():
+    from tokenizers import Tokenizer
+
+    random.seed(8)
+    tokenizer, encoder = Tokenizer.from_file(FILE), token_files.WordEncoder(FILE)
+    tokenizer.encode_special_tokens = True
+    letters = [chr(c) for c in range(0x21, 0x250)] + list("'''sStTrReEvVmMlLdDabc012  \n")
+    texts = ["".join(random.choice(letters) for _ in range(random.randint(1, 30))) for _ in range(4000)]
+    for text, ids in zip(texts, encoder.encode(texts, 2)):
+        assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], repr(text)
+
+
 def test_token_files_with_null_and_equal_ids_or_nothing(spark):
     docs = spark.createDataFrame([(None, "a"), (4, "b"), (4, "c d"), (None, None)], "doc_id long, text string")
     path = scratch_path(spark, "tokens")

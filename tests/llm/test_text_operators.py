@@ -5,7 +5,6 @@ import random
 import sys
 
 import pytest
-import xxhash
 
 sys.path.insert(0, __file__.rsplit("/", 1)[0])
 
@@ -122,34 +121,15 @@ def quality_rows():
 
 
 def test_quality_equals_brute_force(spark):
-    import regex
-
     rows, labels = quality_rows(), [(i, 1, 0) for i in range(30)] + [(100, 0, 0), (3, 1, 0), (None, 1, 0), (31, 1, None)]
     docs = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA + ", quality string")
     got = quality.quality_rules(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), keep=("doc_id", "text"))
-    bins = quality.BINS
-    signed = lambda h: h - (1 << 64) if h >> 63 else h
-
-    def grams(text):
-        h = [signed(xxhash.xxh64_intdigest(p.encode(), 42)) for p in regex.findall(r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+", text or "")]
-        pair = lambda a, b: xxhash.xxh64_intdigest(b.to_bytes(8, "little", signed=True), xxhash.xxh64_intdigest(a.to_bytes(8, "little", signed=True), 42))
-        return [x % bins for x in h] + [signed(pair(a, b)) % bins for a, b in zip(h, h[1:])]
-
-    raw, good = {}, {}
-    trusted = {i for i, q, t in labels if q == 1 and not t}
-    for i, text in rows:
-        for g in grams(text):
-            raw[g] = raw.get(g, 0) + 1
-            if i in trusted and i is not None:
-                good[g] = good.get(g, 0) + 1
-    n_raw, n_good = sum(raw.values()), sum(good.values())
-    ratio = lambda g: math.log((good.get(g, 0) + 1) / (n_good + bins)) - math.log((raw.get(g, 0) + 1) / (n_raw + bins))
+    scores = {row: s for row, s in zip(rows, helpers.quality_scores(rows, labels, quality.BINS))}
     found = got.collect()
     assert len(found) == len(rows)
     for r in found:
-        q, g = r["quality"], grams(r["text"])
+        q, score = r["quality"], scores[r["doc_id"], r["text"]]
         assert (q["n_words"], q["word_chars"], q["n_symbols"], q["n_dup_lines"], q["n_repeat_words"], q["base_failed"]) == helpers.base_figures(r["text"])
-        score = sum(map(ratio, g)) / len(g) if g else 0.0
         assert math.isclose(q["score"], score, rel_tol=1e-9, abs_tol=1e-9)
         assert q["kept"] == (not q["base_failed"] and score >= quality.THRESHOLD)
     assert not any(r["quality"]["kept"] for r in found if 100 <= r["doc_id"] < 204)
