@@ -11,8 +11,8 @@ estimated cost from the posting lists it would read, and a pair goes by the smal
 Order: a sketch of fixed size counts all tokens of all documents; it only orders tokens, so
 its size bounds what is broadcast and decides nothing. A set is kept as its prefix alone.
 
-Groups of near copies would make all their pairs. So the first class of each posting list is
-paired with the others, verified and contracted; then only pairs between different components
+Groups of near copies would make all their pairs. So the class that shares most, in each posting
+list, is paired with the others, verified and contracted; then only pairs between different components
 are candidates, and in a list they are sought for the classes outside its largest component. Every
 pair of classes that share enough prefix tokens is either in one component already or verified.
 
@@ -113,18 +113,25 @@ def signatures(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id",
         sign, "doc_id long, place long, s1 long, s2 long, n long, prefix array<long>")
 
 
-def _classes(signed: DataFrame) -> DataFrame:
-    """One row per distinct set: cid, its signature, n, prefix and the smallest id and place."""
+def _cid(salt: int) -> Column:
+    return F.xxhash64("s1", "s2", F.lit(salt))
+
+
+def _classes(signed: DataFrame) -> tuple[DataFrame, int]:
+    """One row per distinct set: cid, its signature, n, prefix and the smallest id and place.
+
+    A class is numbered by a hash of its signature; also returned is the salt of that hash.
+    """
     rows = signed.where("n > 0").groupBy("s1", "s2").agg(
         F.min("doc_id").alias("min_id"), F.min(F.struct("doc_id", "place")).alias("_row"),
         F.first("n").alias("n"), F.first("prefix").alias("prefix"),
     )
     salt = 0
     while True:
-        classes = written(rows.withColumn("cid", F.xxhash64("s1", "s2", F.lit(salt))), "classes")
+        classes = written(rows.withColumn("cid", _cid(salt)), "classes")
         # Numbers must be distinct, however unlikely it is that they are not.
         if classes.select("cid").groupBy("cid").count().where("count > 1").isEmpty():
-            return classes
+            return classes, salt
         salt += 1
 
 
@@ -141,10 +148,11 @@ def _matches(classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _choose(postings: DataFrame, percent: int) -> DataFrame:
-    """cid and ell: how many shared tokens each class asks for, by the least estimated cost.
+    """cid, ell (how many shared tokens a class asks for, by the least estimated cost) and weight.
 
     Reading the lists of an l-prefix costs their entries; of the classes met there at most one
-    in l of the entries can meet l times, and each of these costs a verification.
+    in l of the entries can meet l times, and each of these costs a verification. ``weight``
+    is what the class shares with others in all: the text that a group was copied from has most.
     """
     met = [F.sum(F.when(F.col("level") <= m, F.col("length") - 1).otherwise(0)).alias(f"c{m}") for m in range(1, MOST_MATCHES + 1)]
     sums = postings.groupBy("cid").agg(F.first("n").alias("n"), *met)
@@ -153,21 +161,21 @@ def _choose(postings: DataFrame, percent: int) -> DataFrame:
         F.when(F.lit(m) <= most, F.struct((F.col(f"c{m}") * (1 + VERIFY_COST / m**2)).alias("cost"), F.lit(m).alias("ell")))
         for m in range(1, MOST_MATCHES + 1)
     ]
-    return sums.select("cid", F.least(*costs)["ell"].alias("ell"))
+    return sums.select("cid", F.least(*costs)["ell"].alias("ell"), F.col(f"c{MOST_MATCHES}").alias("weight"))
 
 
 def _stars(postings: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a list's first class with the others, where most of a prefix agrees."""
-    first = Window.partitionBy("token").orderBy("cid")
+    """Pairs (a, b) of a list's weightiest class with the others, where most of a prefix agrees."""
+    first = Window.partitionBy("token").orderBy(F.desc("weight"), "cid")
     led = postings.select("cid", "n", F.first("cid").over(first).alias("a"), F.first("n").over(first).alias("na"))
     pairs = led.where("a != cid").groupBy("a", F.col("cid").alias("b")).agg(
         F.count("*").alias("shared"), F.first("n").alias("n"), F.first("na").alias("na"))
     return pairs.where("20 * shared >= least(n, na)").select("a", "b")
 
 
-def _candidates(postings: DataFrame, chosen: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _candidates(postings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes of different components that share enough tokens of their prefixes."""
-    known = postings.join(chosen, "cid").join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(
+    known = postings.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(
         "token", "cid", "n", "level", "ell", F.coalesce("component", "cid").alias("comp"))
     known = known.where("level <= ell")
     own = F.count("*").over(Window.partitionBy("token", "comp"))
@@ -188,12 +196,16 @@ def _candidates(postings: DataFrame, chosen: DataFrame, labels: DataFrame, perce
     return pairs.where(f"shared >= ell and shared >= {need} - ({percent} * n + 99) div 100 + ell").select("a", "b")
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int, doc_id: str, text: str) -> DataFrame:
-    """The pairs (a, b) that link. Whole sets are made again from the texts, for these classes only."""
+def _verified(docs: DataFrame, classes: DataFrame, salt: int, pairs: DataFrame, size: int, percent: int, doc_id: str,
+              text: str) -> DataFrame:
+    """The pairs (a, b) that link. Whole sets are made again from the texts, for these classes only.
+
+    Sets are shuffled once, by class, and pairs come to them; both sides of a pair use the
+    same exchange.
+    """
     pairs = written(pairs, "pairs")
     nodes = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid"))).distinct()
-    wanted = written(nodes.join(classes, "cid").select("cid", "s1", "s2", F.col("_row.place").alias("place")), "wanted")
-    bitmap = id_filter(wanted, "place")
+    bitmap = id_filter(nodes.join(classes, "cid").select(F.col("_row.place").alias("place")), "place")
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -203,9 +215,9 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int,
             yield pd.DataFrame({"s1": signs[:, 0], "s2": signs[:, 1], "tokens": lists([t.view(np.int64) for t in found])})
 
     texts = _hashed(docs, doc_id, text).select("h", "place").mapInPandas(sets, "s1 long, s2 long, tokens array<long>")
-    full = written(texts.join(wanted, ["s1", "s2"]).groupBy("cid").agg(F.first("tokens").alias("tokens")), "sets")
-    with_a = pairs.join(full.select(F.col("cid").alias("a"), F.col("tokens").alias("ta")), "a")
-    with_both = with_a.join(full.select(F.col("cid").alias("b"), F.col("tokens").alias("tb")), "b")
+    full = texts.groupBy(_cid(salt).alias("cid")).agg(F.min("tokens").alias("tokens"))
+    with_a = pairs.hint("merge").join(full.select(F.col("cid").alias("a"), F.col("tokens").alias("ta")), "a")
+    with_both = with_a.hint("merge").join(full.select(F.col("cid").alias("b"), F.col("tokens").alias("tb")), "b")
 
     def agree(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -223,12 +235,12 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 90, doc_id: s
     true for the rows of the component's first (doc_id, place), nulls first.
     """
     signed = written(signatures(docs, size, percent, doc_id, text), "signatures")
-    classes = _classes(signed)
+    classes, salt = _classes(signed)
     postings = _matches(classes, percent)
-    stars = written(_verified(docs, classes, _stars(postings), size, percent, doc_id, text), "stars")
-    labels = written(components(stars), "labels")
-    pairs = _candidates(postings, written(_choose(postings, percent), "chosen"), labels, percent)
-    links = stars.unionByName(_verified(docs, classes, pairs, size, percent, doc_id, text))
+    postings = written(postings.join(_choose(postings, percent), "cid"), "chosen")
+    stars = written(_verified(docs, classes, salt, _stars(postings), size, percent, doc_id, text), "stars")
+    pairs = _candidates(postings, written(components(stars), "labels"), percent)
+    links = stars.unionByName(_verified(docs, classes, salt, pairs, size, percent, doc_id, text))
     labels = written(components(links), "labels")
     named = classes.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(
         "s1", "s2", "cid", "min_id", "_row", F.coalesce("component", "cid").alias("comp"))
