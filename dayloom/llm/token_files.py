@@ -15,6 +15,7 @@ table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -25,8 +26,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SCHEMA = "part int, doc_id long, start_in_part long, n_tokens long, ids array<int>"
-#: Words a worker remembers, each of at most so many characters: about 100 MB.
-KNOWN_WORDS, KNOWN_CHARS = 300_000, 40
+#: Words and pieces that a worker remembers, each of at most so many characters: some 150 MB.
+KNOWN_WORDS, KNOWN_PIECES, KNOWN_CHARS = 300_000, 600_000, 40
+# Letters and numbers below U+0180, and the tokenizer's pieces of such text.
+LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
+NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}]+")
+#: Words of such characters are in normal form, and lower-cased character by character they
+#: stay among them; U+0130, which does not, is left out.
+PLAIN = re.compile("[\x00-\u012f\u0131-\u017f]+")
 #: Documents encoded together, so that word lists stay small beside long texts.
 TOGETHER = 256
 #: Control characters that Python's split() takes for white space and the tokenizer does not.
@@ -34,10 +42,12 @@ NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
 
 class WordEncoder:
-    """Encodes texts word by word, each new word once.
+    """Encodes texts word by word and words piece by piece, each new piece once.
 
     The tokenizer drops white space and none of its pieces crosses it, so a text's ids are its
-    words' ids one after the other.
+    words' ids one after the other. Words of plain letters are cut into the tokenizer's own
+    pieces after lower-casing; any other word is encoded as it is. What a worker remembers is
+    bounded and changes no result.
     """
 
     def __init__(self, file: str):
@@ -45,27 +55,33 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(file)
         self._tokenizer.encode_special_tokens = True
-        self._known: dict[str, list[int]] = {}
+        self._words: dict[str, bytes] = {}
+        self._pieces: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of each text."""
+        return [np.array(e.ids, "<i4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _told(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that are new."""
+        pieces = {w: PIECE.findall(w.lower()) if PLAIN.fullmatch(w) else [w] for w in words}
+        new = list({p for ps in pieces.values() for p in ps} - self._pieces.keys())
+        found = dict(zip(new, self._ids(new)))
+        if len(self._pieces) < KNOWN_PIECES:
+            self._pieces.update((p, i) for p, i in found.items() if len(p) <= KNOWN_CHARS)
+        known = self._pieces
+        return {w: b"".join([known[p] if p in known else found[p] for p in ps]) for w, ps in pieces.items()}
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         split = [None if any(c in t for c in NOT_SPACE) else t.split() for t in texts]
-        if len(self._known) > KNOWN_WORDS:
-            self._known.clear()
-        new = list({w for ws in split if ws is not None for w in ws} - self._known.keys())
-        found = dict(zip(new, self._ids(new)))
-        self._known.update((w, i) for w, i in found.items() if len(w) <= KNOWN_CHARS)
-        known = self._known
+        known, last = self._words, np.array([end], "<i4").tobytes()
+        found = self._told(list({w for ws in split if ws is not None for w in ws} - known.keys()))
+        if len(known) < KNOWN_WORDS:
+            known.update((w, i) for w, i in found.items() if len(w) <= KNOWN_CHARS)
         out = []
         for text, ws in zip(texts, split):
-            if ws is None:
-                ids = [*self._ids([text])[0], end]
-            else:
-                ids = [i for w in ws for i in (known.get(w) or found.get(w, ()))]
-                ids.append(end)
-            out.append(np.array(ids, np.int32))
+            parts = self._ids([text]) if ws is None else [known[w] if w in known else found[w] for w in ws]
+            out.append(np.frombuffer(b"".join([*parts, last]), "<i4"))
         return out
 
 
