@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as entry
 from check import rows_of
 from conftest import plan_of
+from dayloom.catalog import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are absent")
@@ -24,19 +25,19 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
-    df = entry.queries()[name](spark, FOLDER)
-    result = con.execute(entry.oracle_sql()[name])
+    df = QUERIES[name](spark, FOLDER)
+    result = con.execute(ORACLES[name])
     columns = [d[0] for d in result.description]
     assert sorted(columns) == sorted(df.columns)
     got = rows_of([tuple(r) for r in df.collect()], df.columns, sorted(columns))
     assert got == rows_of(result.fetchall(), columns, sorted(columns))
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_without_sql_gives_rows(spark, name):
-    assert entry.queries()[name](spark, FOLDER).count() > 0
+    assert QUERIES[name](spark, FOLDER).count() > 0
 
 
 def test_entry(spark):
@@ -50,9 +51,9 @@ BUILT_WITH_PYTHON = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - BUILT_WITH_PYTHON))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - BUILT_WITH_PYTHON))
 def test_plan_has_no_python_and_no_cartesian_product(spark, name):
-    text = plan_of(entry.queries()[name](spark, FOLDER))
+    text = plan_of(QUERIES[name](spark, FOLDER))
     assert not re.search(r"Python|InPandas|ArrowEval", text)
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", text)
 
@@ -63,13 +64,13 @@ KEYED = ["feature_matrix", "daily_as_of", "forward_fill_keyed", "latest_per_key"
 
 @pytest.mark.parametrize("name", KEYED)
 def test_keyed_plans_gather_only_one_row_aggregates(spark, name):
-    lines = plan_of(entry.queries()[name](spark, FOLDER)).splitlines()
+    lines = plan_of(QUERIES[name](spark, FOLDER)).splitlines()
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             assert "HashAggregate(keys=[]" in lines[i - 1]
 
 
 def test_scans_read_only_what_is_needed(spark):
-    text = plan_of(entry.queries()["feature_matrix"](spark, FOLDER))
+    text = plan_of(QUERIES["feature_matrix"](spark, FOLDER))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
     assert schemas and all("l_partkey" not in s and "l_tax" not in s for s in schemas)
