@@ -20,20 +20,18 @@ from __future__ import annotations
 import base64
 import json
 import re
-import zlib
-from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayloom.llm.common import named, written
 
 #: Pairs are keyed ``left * SIDE + right`` and dealt to a prime number of buckets.
-RANK_BUCKETS, SIDE = 262139, 1 << 20
+RANK_BUCKETS, SIDE = 131071, 1 << 20
 #: Rank of a pair that no token joins.
 NEVER = 1 << 30
 #: Most words whose ids are folded ahead, and the longest of them in bytes: a few MB per task.
-KNOWN_WORDS, KNOWN_BYTES, WORD_BUCKETS = 1 << 17, 32, 1 << 17
+KNOWN_WORDS, KNOWN_BYTES, WORD_BUCKETS = 1 << 16, 32, 1 << 16
 
 # Unicode white space, and the letters and numbers that the public tokenizer library
 # knows (Unicode 16) and Java 17 does not (Unicode 13), as ranges of code points.
@@ -88,75 +86,87 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _bucket(key: Column, buckets: int) -> Column:
-    return F.pmod(F.crc32(key), F.lit(buckets)).cast("int")
+def _packed(rows: DataFrame, buckets: int, *columns: str) -> DataFrame:
+    """One row and column: for each of ``columns`` an array of buckets, each an array of values.
+
+    ``rows`` has ``bucket``. All of it must fit a task; that is for the caller's bounds.
+    """
+    each = rows.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("_in"))
+    every = rows.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(each, "bucket", "left")
+    ordered = every.agg(F.sort_array(F.collect_list(F.struct("bucket", F.coalesce("_in", F.array()).alias("_in")))).alias("_all"))
+    pick = lambda c: F.transform("_all", lambda b: F.transform(b["_in"], lambda v: v[c])).alias(c)
+    return ordered.select(F.struct(*map(pick, columns)).alias("t"))
+
+
+def _word_bucket(word: Column) -> Column:
+    return F.pmod(F.hash(word), F.lit(WORD_BUCKETS))
 
 
 class Vocabulary:
-    """Literal look-up tables of a rank file's contents.
+    """Look-up tables of a rank file's contents, as literals of a few MB.
 
     A token's rank is its id. The rank map is keyed by pairs of ids: each way to cut a token
     into two tokens is an entry, so that the pair's joined bytes need not be built to be ranked.
-    The tables are fields of one struct, ``t`` below, which a scalar subquery makes once; tasks
-    get it as one block of bytes.
+    Scalar subqueries make the tables once and tasks get each as one block of bytes; ``t`` below
+    holds them by name.
     """
 
-    def __init__(self, ranks: dict[bytes, int]):
-        pairs: list[list[int]] = [[] for _ in range(RANK_BUCKETS)]
-        merged: list[list[int]] = [[] for _ in range(RANK_BUCKETS)]
+    def __init__(self, spark: SparkSession, ranks: dict[bytes, int]):
+        pairs = []
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     key = left * SIDE + right
-                    pairs[key % RANK_BUCKETS].append(key)
-                    merged[key % RANK_BUCKETS].append(rank)
-        pieces: list[str | None] = [None] * (max(ranks.values(), default=-1) + 1)
-        for token, rank in ranks.items():
-            pieces[rank] = token.hex()
-        self._fields = {
-            "pairs": (pairs, "array<array<bigint>>"),
-            "merged": (merged, "array<array<int>>"),
-            "bytes": ([ranks[bytes([b])] for b in range(256)], "array<int>"),
-            "pieces": (pieces, "array<string>"),
-            "names": ([], "array<array<string>>"),
-            "known": ([], "array<array<array<int>>>"),
+                    pairs.append((key % RANK_BUCKETS, key, rank))
+        singles = [ranks[bytes([b])] for b in range(256)]
+        pieces = [(rank, token.hex()) for token, rank in ranks.items()]
+        self._tables = {
+            "rank": _packed(spark.createDataFrame(pairs, "bucket int, key long, id int"), RANK_BUCKETS, "key", "id"),
+            "bytes": spark.range(1).select(F.from_json(F.lit(json.dumps(singles)), "array<int>")),
+            "pieces": spark.range(max(ranks.values()) + 1).select(F.col("id").cast("int").alias("rank")).join(
+                spark.createDataFrame(pieces, "rank int, hex string"), "rank", "left"
+            ).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "hex"))), lambda x: x["hex"])),
         }
 
-    def know(self, words: Iterable[tuple[str, list[int]]]) -> None:
-        """Adds the ids of words folded before."""
-        names: list[list[str]] = [[] for _ in range(WORD_BUCKETS)]
-        known: list[list[list[int]]] = [[] for _ in range(WORD_BUCKETS)]
-        for word, ids in words:
-            at = zlib.crc32(word.encode()) % WORD_BUCKETS
-            names[at].append(word)
-            known[at].append(ids)
-        self._fields |= {"names": (names, "array<array<string>>"), "known": (known, "array<array<array<int>>>")}
-
-    def applied(self, df: DataFrame, body, *fields: str) -> DataFrame:
+    def know(self, words: DataFrame) -> None:
+        """Adds the ids of words folded before: word and ids, a bounded number of rows."""
+        self._tables["words"] = _packed(words.withColumn("bucket", _word_bucket(F.col("word"))), WORD_BUCKETS, "word", "ids")
+
+    def applied(self, df: DataFrame, body, *tables: str) -> DataFrame:
         """``df`` with the column ``_told``: what ``body`` makes of the tables."""
-        tables = F.struct(*(
-            F.from_json(F.lit(json.dumps(self._fields[f][0], separators=(",", ":"))), self._fields[f][1]).alias(f) for f in fields))
-        scalar = df.sparkSession.range(1).select(tables.alias("t")).scalar()
-        # Used once, the subquery's value goes into the expression and not through a row of its own.
-        return df.withColumn("_tables", scalar).select(*map(named, df.columns), _let(F.col("_tables"), body).alias("_told"))
+        told = F.struct(*(self._tables[t].scalar().alias(t) for t in tables))
+        fields = {"rank": ("key", "id"), "words": ("word", "ids")}
+        paths = [(t, f) for t in tables for f in fields.get(t, (None,))]
+
+        def bound(t, found: dict):
+            """``body`` with every table taken out of the struct once for each row."""
+            if len(found) == len(paths):
+                return body(found)
+            table, field = paths[len(found)]
+            value = t[table][field] if field else t[table]
+            return _let(value, lambda v: bound(t, {**found, field or table: v}))
+
+        # Used once, the value goes into the expression and not through a row of its own.
+        return df.withColumn("_tables", told).select(
+            *map(named, df.columns), _let(F.col("_tables"), lambda t: bound(t, {})).alias("_told"))
 
     @staticmethod
-    def rank(t: Column, left: Column, right: Column) -> Column:
+    def rank(t: dict, left: Column, right: Column) -> Column:
         """The rank of two neighbours joined, or ``NEVER``."""
 
         def found(key):
             at = F.pmod(key, F.lit(RANK_BUCKETS)).cast("int")
-            return F.get(F.get(t["merged"], at), (F.array_position(F.get(t["pairs"], at), key) - 1).cast("int"))
+            return F.get(F.get(t["id"], at), (F.array_position(F.get(t["key"], at), key) - 1).cast("int"))
 
         return F.coalesce(_let(left.cast("long") * SIDE + right, found), F.lit(NEVER))
 
     @classmethod
-    def fold(cls, t: Column, word: Column) -> Column:
+    def fold(cls, t: dict, word: Column) -> Column:
         """Ids of one word given as bytes."""
         size = F.octet_length(word)
-        letters = F.transform(F.sequence(F.lit(1), size), lambda i: F.get(
-            t["bytes"], F.conv(F.hex(F.substring(word, i, F.lit(1))), 16, 10).cast("int")))
+        # Each byte as the character of that number.
+        letters = F.transform(F.split(F.decode(word, "ISO-8859-1"), ""), lambda c: F.get(t["bytes"], F.ascii(c)))
         # A state: the ids so far, the rank of each with its right neighbour, and the least of these.
         state = lambda p, r: F.struct(p.alias("p"), r.alias("r"), F.coalesce(F.array_min(r), F.lit(NEVER)).alias("least"))
         start = _let(letters, lambda p: _let(
@@ -178,22 +188,22 @@ class Vocabulary:
         return F.when(size == 0, none).when(size == 1, letters).otherwise(folded)
 
     @classmethod
-    def look_up(cls, t: Column, word: Column) -> Column:
+    def look_up(cls, t: dict, word: Column) -> Column:
         """Ids of a word: known ones, or else its fold."""
-        at = _bucket(word.cast("binary"), WORD_BUCKETS)
-        ids = F.get(F.get(t["known"], at), (F.array_position(F.get(t["names"], at), word) - 1).cast("int"))
+        at = _word_bucket(word)
+        ids = F.get(F.get(t["ids"], at), (F.array_position(F.get(t["word"], at), word) - 1).cast("int"))
         return F.coalesce(ids, cls.fold(t, word.cast("binary")))
 
 
     @staticmethod
-    def decode(t: Column, ids: Column) -> Column:
+    def decode(t: dict, ids: Column) -> Column:
         """The bytes of ids, each id's piece after the other."""
         return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(t["pieces"], i)), ""))
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", name: str = "decoded") -> DataFrame:
     """``df`` with the bytes that an array of ids stands for; a null array gives null."""
-    vocabulary = Vocabulary(ranks)
+    vocabulary = Vocabulary(df.sparkSession, ranks)
     return vocabulary.applied(df, lambda t: vocabulary.decode(t, named(ids)), "pieces").withColumnRenamed("_told", name)
 
 
@@ -212,15 +222,15 @@ def known_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str
     top = written(counts.where("n > 1").orderBy(F.desc("n"), "word").limit(rows).select("word"), "bpe-top")
     # Dealt anew after the limit, so that all cores fold.
     folded = vocabulary.applied(
-        top.repartition(F.xxhash64("word")), lambda t: vocabulary.fold(t, F.col("word").cast("binary")), "pairs", "merged", "bytes")
+        top.repartition(F.xxhash64("word")), lambda t: vocabulary.fold(t, F.col("word").cast("binary")), "rank", "bytes")
     return written(folded.select("word", F.col("_told").alias("ids")), "bpe-words")
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text",
            keep: tuple[str, ...] = ("doc_id",), rows: int = KNOWN_WORDS) -> DataFrame:
     """``keep`` and a struct ``bpe`` of ``ids``, the whole text's ids in order, and ``decoded``, their bytes."""
-    vocabulary = Vocabulary(ranks)
-    vocabulary.know((r["word"], r["ids"]) for r in known_words(docs, vocabulary, pattern, text, rows).toLocalIterator())
+    vocabulary = Vocabulary(docs.sparkSession, ranks)
+    vocabulary.know(known_words(docs, vocabulary, pattern, text, rows))
     names = [f"_keep_{i}" for i in range(len(keep))]
     ready = docs.select(*(named(c).alias(n) for n, c in zip(names, keep)), named(text).alias("_text"))
 
@@ -228,5 +238,5 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
         ids = F.flatten(F.transform(text_words(F.col("_text"), pattern), lambda w: vocabulary.look_up(t, w)))
         return _let(ids, lambda i: F.struct(i.alias("ids"), vocabulary.decode(t, i).alias("decoded")))
 
-    encoded = vocabulary.applied(ready, told, "pairs", "merged", "bytes", "names", "known", "pieces")
+    encoded = vocabulary.applied(ready, told, "rank", "bytes", "words", "pieces")
     return encoded.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), F.col("_told").alias("bpe"))
