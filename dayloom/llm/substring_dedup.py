@@ -10,10 +10,9 @@ also start earlier: in a smaller document, or earlier in the same one.
    decided on the spot, so a passage in a third of all documents sends one row per task.
 2. Runs of one anchor meet. Equal contexts are equal in all windows: all but the first go. An
    anchor of one context needs no more. The first run of each further context is checked.
-3. Runs to check send their words to shards by anchor. A shard's windows that occur twice are
-   its reference: the runs are streamed, in document order, through the suffix automaton of
-   those before them. Where the matching statistic reaches the window's length, the window
-   starts earlier.
+3. Runs to check send their words to shards by anchor. The first windows of a shard that come
+   again are its reference, a suffix automaton; the later ones are streamed through it. Where
+   the matching statistic reaches the window's length, the window starts earlier.
 4. A document's windows that go are merged to maximal spans and cut out.
 
 Automata go to the runs that hold their anchors, not to every task: the reference is the
@@ -35,11 +34,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayloom.llm.common import gram_hashes, id_filter, may_hold, mix, named, words, written
+from dayloom.llm.common import gram_hashes, id_filter, lists, may_hold, mix, named, words, written
 
 WINDOW, GRAM = 20, 6
 #: Runs that a task gathers before it lets the first of each context go on.
-GATHER = 1_000_000
+GATHER = 250_000
 #: Runs of a shard, about: an automaton of at most some 50,000 words.
 SHARD_RUNS = 2048
 NO_ID = -(1 << 63)
@@ -216,50 +215,72 @@ class SuffixAutomaton:
 
 
 def _words_to_check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The words of each run to check, a row per stretch of windows of one part."""
+    """The words of each run to check; a row per stretch of windows of one part."""
     for frame in frames:
-        out: list[tuple] = []
+        anchors, part, dids, packs, texts = [], [], [], [], []
         for did, h, runs in zip(frame["did"], frame["h"], frame["runs"]):
             h = np.ascontiguousarray(h, dtype=np.int64)
             for run in runs:
-                (start, n), parts = map(int, _unpack(np.int64(run["packed"]))), int(run["parts"])
-                at = gram_hashes(h[start : start + n + WINDOW - 1].view(np.uint64), WINDOW) % np.uint64(parts)
-                for stretch in np.split(np.arange(n), np.flatnonzero(at[1:] != at[:-1]) + 1):
-                    first = start + int(stretch[0])
-                    packed = _pack(int(run["packed"]) >> 32, np.array([first]), np.array([len(stretch)]))[0]
-                    out.append((run["anchor"], int(at[stretch[0]]), did, packed, h[first : first + len(stretch) + WINDOW - 1]))
-        yield pd.DataFrame(out, columns=["anchor", "part", "did", "packed", "h"])
+                packed, parts = int(run["packed"]), int(run["parts"])
+                start, n = _start(packed), (packed & 15) + 1
+                stretches = [(0, n, 0)]
+                if parts > 1:
+                    at = gram_hashes(h[start : start + n + WINDOW - 1].view(np.uint64), WINDOW) % np.uint64(parts)
+                    cuts = [0, *(np.flatnonzero(at[1:] != at[:-1]) + 1).tolist(), n]
+                    stretches = [(a, b, int(at[a])) for a, b in zip(cuts, cuts[1:])]
+                for a, b, of in stretches:
+                    anchors.append(run["anchor"])
+                    part.append(of)
+                    dids.append(did)
+                    packs.append(packed - (packed & (1 << 32) - 1) + ((start + a) << 4) + b - a - 1)
+                    texts.append(h[start + a : start + b + WINDOW - 1])
+        yield pd.DataFrame({"anchor": np.array(anchors, np.int64), "part": np.array(part, np.int32), "did": np.array(dids, np.int64),
+                            "packed": np.array(packs, np.int64), "h": lists(texts)})
 
 
 def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
     """Windows of a shard that start earlier in another run of the shard.
 
-    Windows whose hash is alone in the shard are out; of the others every stretch is streamed
-    through the automaton of the stretches before it, and joins the reference when it has a
-    window that the reference lacks. Two windows of one run never agree: equal windows hold
-    their anchor at the same place.
+    In document order, the first windows of each hash that comes again are the reference: they
+    are added to the automaton. Later windows of these hashes are streamed through it and go
+    where the matching statistic reaches a window's length. Two windows of one run never
+    agree, because equal windows hold their anchor at the same place.
     """
     rows = rows.drop_duplicates(["anchor", "did", "packed"]).sort_values(["did", "packed"], kind="stable")
-    texts = [np.ascontiguousarray(w, dtype=np.int64) for w in rows["h"]]
-    prints = [gram_hashes(t.view(np.uint64), WINDOW) for t in texts]
-    values, counts = np.unique(np.concatenate(prints), return_counts=True)
-    twice = values[counts > 1]
-    automaton, size = SuffixAutomaton(), 0
-    dids, places = [], []
-    for did, packed, text, p in zip(rows["did"].to_numpy(np.int64), rows["packed"].to_numpy(np.int64), texts, prints):
-        again = np.flatnonzero(np.isin(p, twice))
-        for stretch in np.split(again, np.flatnonzero(np.diff(again) != 1) + 1) if len(again) else ():
-            symbols = text[stretch[0] : stretch[-1] + WINDOW].tolist()
-            found = [end - WINDOW + 1 for end in automaton.matches(symbols, WINDOW)]
-            for at in found:
-                dids.append(did)
-                places.append(_pack(int(packed) >> 32, np.array([(int(packed) >> 4 & (1 << 28) - 1) + int(stretch[0]) + at]), np.array([1]))[0])
-            if len(found) < len(stretch):
-                for symbol in symbols:
-                    automaton.add(symbol)
-                size += 1
-                automaton.add((size,))  # a separator equals no word and no other separator
-    return pd.DataFrame({"did": np.array(dids, np.int64), "packed": np.array(places, np.int64)})
+    did, packed = rows["did"].to_numpy(np.int64), rows["packed"].to_numpy(np.int64)
+    words_ = np.concatenate([np.asarray(w, np.int64) for w in rows["h"]])
+    n = (packed & 15) + 1
+    begins = np.cumsum(n + WINDOW - 1) - (n + WINDOW - 1)
+    row = np.repeat(np.arange(len(n)), n)
+    offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    at = begins[row] + offset
+    _, first, inverse, counts = np.unique(
+        gram_hashes(words_.view(np.uint64), WINDOW)[at], return_index=True, return_inverse=True, return_counts=True)
+    again = np.ones(len(at), bool)
+    again[first] = False
+    used = np.flatnonzero(counts[inverse] > 1)
+    if not len(used):
+        return pd.DataFrame({"did": np.zeros(0, np.int64), "packed": np.zeros(0, np.int64)})
+    cut = (np.diff(used) != 1) | (np.diff(row[used]) != 0) | (again[used][1:] != again[used][:-1])
+    bounds = np.concatenate(([0], np.flatnonzero(cut) + 1, [len(used)])).tolist()
+    automaton, separators, found = SuffixAutomaton(), 0, []
+    for a, b in zip(bounds, bounds[1:]):
+        w = used[a]
+        symbols = words_[at[w] : at[w] + b - a + WINDOW - 1].tolist()
+        if again[w]:
+            found += [w + end - WINDOW + 1 for end in automaton.matches(symbols, WINDOW)]
+        else:
+            for symbol in symbols:
+                automaton.add(symbol)
+            separators += 1
+            automaton.add((separators,))  # equals no word and no other separator
+    hit = np.array(found, np.int64)
+    start = ((packed[row[hit]] >> 4) & ((1 << 28) - 1)) + offset[hit]
+    return pd.DataFrame({"did": did[row[hit]], "packed": ((packed[row[hit]] >> 32) << 32) | (start << 4)})
+
+
+def _start(packed: int) -> int:
+    return (packed >> 4) & ((1 << 28) - 1)
 
 
 def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -295,7 +316,7 @@ def _spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             starts.append(a)
             ends.append(b)
             removed.append(int((b - a).sum()))
-        yield pd.DataFrame({"did": frame["did"], "place": frame["place"], "n_removed": removed, "starts": starts, "ends": ends})
+        yield pd.DataFrame({"did": frame["did"], "place": frame["place"], "n_removed": removed, "starts": lists(starts), "ends": lists(ends)})
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ("doc_id",),
