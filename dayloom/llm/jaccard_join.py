@@ -90,6 +90,14 @@ def _sketch(docs: DataFrame, size: int, doc_id: str, text: str):
     return docs.sparkSession.sparkContext.broadcast(full)
 
 
+def _rare_part(counts: np.ndarray) -> tuple[int, int, int]:
+    """Of a prefix's counts in order: how many are at most half of the last, a bound above these, the last."""
+    if not len(counts):
+        return 0, 0, 0
+    rare = int((2 * counts <= counts[-1]).sum())
+    return rare, int(counts[rare - 1]) + 1 if rare else 0, int(counts[-1])
+
+
 def signatures(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, place, the set's 128-bit signature (s1, s2), its size n and its longest prefix."""
     order = _sketch(docs, size, doc_id, text)
@@ -103,14 +111,15 @@ def signatures(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id",
                 n = len(tokens)
                 least = int(_least(n, percent))
                 ranked = np.lexsort((tokens, counts[(tokens & np.uint64(SKETCH - 1)).astype(np.int64)]))
-                prefix = tokens[ranked[: n - least + min(MOST_MATCHES, least)]].view(np.int64)
-                rows.append((*_sign(tokens), n, prefix))
-            s1, s2, n, prefix = zip(*rows) if rows else ((), (), (), ())
+                prefix = tokens[ranked[: n - least + min(MOST_MATCHES, least)]]
+                rows.append((*_sign(tokens), n, *_rare_part(counts[(prefix & np.uint64(SKETCH - 1)).astype(np.int64)]), prefix.view(np.int64)))
+            s1, s2, n, rare, below, last, prefix = zip(*rows) if rows else ((), (), (), (), (), (), ())
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64").array, "place": frame["place"].to_numpy(), "s1": np.array(s1, np.int64),
-                                "s2": np.array(s2, np.int64), "n": np.array(n, np.int64), "prefix": lists(prefix)})
+                                "s2": np.array(s2, np.int64), "n": np.array(n, np.int64), "rare": np.array(rare, np.int64),
+                                "below": np.array(below, np.int64), "last": np.array(last, np.int64), "prefix": lists(prefix)})
 
     return _hashed(docs, doc_id, text).mapInPandas(
-        sign, "doc_id long, place long, s1 long, s2 long, n long, prefix array<long>")
+        sign, "doc_id long, place long, s1 long, s2 long, n long, rare long, below long, last long, prefix array<long>")
 
 
 def _cid(salt: int) -> Column:
@@ -124,7 +133,7 @@ def _classes(signed: DataFrame) -> tuple[DataFrame, int]:
     """
     rows = signed.where("n > 0").groupBy("s1", "s2").agg(
         F.min("doc_id").alias("min_id"), F.min(F.struct("doc_id", "place")).alias("_row"),
-        F.first("n").alias("n"), F.first("prefix").alias("prefix"),
+        *(F.first(c).alias(c) for c in ("n", "rare", "below", "last", "prefix")),
     )
     salt = 0
     while True:
@@ -136,32 +145,38 @@ def _classes(signed: DataFrame) -> tuple[DataFrame, int]:
 
 
 def _matches(classes: DataFrame, percent: int) -> DataFrame:
-    """Posting entries of tokens that two or more classes share: token, cid, n, level, length.
+    """Posting entries of tokens that two or more classes share: token, cid, n, level, rare, length.
 
-    ``level`` is the least l whose prefix holds the token.
+    ``level`` is the least l whose prefix holds the token; ``rare`` tells whether it is in the
+    prefix's rare part.
     """
-    entries = classes.select("cid", "n", F.posexplode("prefix").alias("_at", "token"))
+    entries = classes.select("cid", "n", F.col("rare").alias("_rare"), F.posexplode("prefix").alias("_at", "token"))
     base = F.col("n") - F.expr(f"({percent} * n + 99) div 100")
-    entries = entries.select("token", "cid", "n", F.greatest(F.lit(1), F.col("_at") + 1 - base).cast("int").alias("level"))
+    entries = entries.select("token", "cid", "n", F.greatest(F.lit(1), F.col("_at") + 1 - base).cast("int").alias("level"), (F.col("_at") < F.col("_rare")).alias("rare"))
     length = F.count("*").over(Window.partitionBy("token"))
     return written(entries.withColumn("length", length).where("length > 1"), "postings")
 
 
-def _choose(postings: DataFrame, percent: int) -> DataFrame:
-    """cid, ell (how many shared tokens a class asks for, by the least estimated cost) and weight.
+def _choose(postings: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """cid, ell (how many shared tokens a class asks for, by the least estimated cost), weight, own, below, last.
 
     Reading the lists of an l-prefix costs their entries; of the classes met there at most one
     in l of the entries can meet l times, and each of these costs a verification. ``weight``
     is what the class shares with others in all: the text that a group was copied from has most.
+    ``own`` counts the tokens of its rare part that no other prefix holds. They come before
+    whatever is counted ``below`` or more, so a class whose prefix ends there lacks them all.
     """
     met = [F.sum(F.when(F.col("level") <= m, F.col("length") - 1).otherwise(0)).alias(f"c{m}") for m in range(1, MOST_MATCHES + 1)]
-    sums = postings.groupBy("cid").agg(F.first("n").alias("n"), *met)
+    shared = F.sum(F.col("rare").cast("int")).alias("_shared")
+    sums = postings.groupBy("cid").agg(F.first("n").alias("n"), shared, *met).join(
+        classes.select("cid", F.col("rare").alias("_rare"), "below", "last"), "cid")
     most = F.least(F.lit(MOST_MATCHES), F.expr(f"({percent} * n + 99) div 100"))
     costs = [
         F.when(F.lit(m) <= most, F.struct((F.col(f"c{m}") * (1 + VERIFY_COST / m**2)).alias("cost"), F.lit(m).alias("ell")))
         for m in range(1, MOST_MATCHES + 1)
     ]
-    return sums.select("cid", F.least(*costs)["ell"].alias("ell"), F.col(f"c{MOST_MATCHES}").alias("weight"))
+    return sums.select("cid", F.least(*costs)["ell"].alias("ell"), F.col(f"c{MOST_MATCHES}").alias("weight"),
+                       (F.col("_rare") - F.col("_shared")).alias("own"), "below", "last")
 
 
 def _stars(postings: DataFrame) -> DataFrame:
@@ -176,17 +191,21 @@ def _stars(postings: DataFrame) -> DataFrame:
 def _candidates(postings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes of different components that share enough tokens of their prefixes."""
     known = postings.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "token", "cid", "n", "level", "ell", F.coalesce("component", "cid").alias("comp"))
+        "token", "cid", "n", "level", "ell", "own", "below", "last", F.coalesce("component", "cid").alias("comp"))
     known = known.where("level <= ell")
     own = F.count("*").over(Window.partitionBy("token", "comp"))
     largest = F.max(F.struct("_own", "comp")).over(Window.partitionBy("token"))
     mixed = known.withColumn("_own", own).withColumn("_top", largest["comp"]).withColumn(
         "_several", F.min("comp").over(Window.partitionBy("token")) != F.max("comp").over(Window.partitionBy("token")))
-    mixed = written(mixed.where("_several").select("token", "cid", "n", "level", "ell", "comp", (F.col("comp") != F.col("_top")).alias("rest")), "mixed")
+    mixed = written(mixed.where("_several").select("token", "cid", "n", "level", "ell", "own", "below", "last", "comp", (F.col("comp") != F.col("_top")).alias("rest")), "mixed")
+    overlap = f"(({percent} * (x.n + y.n) + {99 + percent}) div {100 + percent})"
     x, y = mixed.where("rest").alias("x"), mixed.alias("y")
     met = x.join(y, F.col("x.token") == F.col("y.token")).where(
         "x.comp != y.comp and (not y.rest or x.cid < y.cid) and greatest(x.level, y.level) <= least(x.ell, y.ell)"
-    ).where(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
+    ).where(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)").where(
+        # Tokens of one's own are not shared: what is left must reach the least overlap.
+        f"not (x.below <= y.last and x.n - x.own < {overlap}) and not (y.below <= x.last and y.n - y.own < {overlap})"
+    )
     pairs = met.groupBy(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).agg(
         F.count("*").alias("shared"), F.first(F.least("x.ell", "y.ell")).alias("ell"),
         F.first(F.col("x.n") + F.col("y.n")).alias("both"), F.first(F.greatest("x.n", "y.n")).alias("n"),
@@ -237,7 +256,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 90, doc_id: s
     signed = written(signatures(docs, size, percent, doc_id, text), "signatures")
     classes, salt = _classes(signed)
     postings = _matches(classes, percent)
-    postings = written(postings.join(_choose(postings, percent), "cid"), "chosen")
+    postings = written(postings.join(_choose(postings, classes, percent), "cid"), "chosen")
     stars = written(_verified(docs, classes, salt, _stars(postings), size, percent, doc_id, text), "stars")
     pairs = _candidates(postings, written(components(stars), "labels"), percent)
     links = stars.unionByName(_verified(docs, classes, salt, pairs, size, percent, doc_id, text))
