@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -13,6 +14,7 @@ from dayloom.session import scratch_path
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and return.
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SPACES = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -36,6 +38,23 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 500) -> Iterator[None]:
+    """Jobs run inside send few rows at a time to Python, for rows that hold whole texts.
+
+    The session's own setting is back afterwards.
+    """
+    before = spark.conf.get(BATCH_ROWS, None)
+    spark.conf.set(BATCH_ROWS, str(rows))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_ROWS)
+        else:
+            spark.conf.set(BATCH_ROWS, before)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The frame, written once to the shared scratch folder and read back.
 

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayloom.llm.common import gram_hashes, id_filter, lists, may_hold, mix, named, words, written
+from dayloom.llm.common import gram_hashes, id_filter, lists, may_hold, mix, named, small_batches, words, written
 
 WINDOW, GRAM = 20, 6
 #: Runs that a task gathers before it lets the first of each context go on.
@@ -301,7 +301,7 @@ def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         _words_to_check, "anchor long, part int, did long, packed long, h array<long>")
     shard = F.pmod(F.xxhash64("anchor", "part"), F.lit(shards)).alias("shard")
     found = sent.select("*", shard).groupBy("shard").applyInPandas(_repeats, "did long, packed long")
-    return runs.where("goes").select("did", "packed").unionByName(found)
+    return written(runs.where("goes").select("did", "packed").unionByName(found), "repeats")
 
 
 def _spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -326,7 +326,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Documents that the filter of touched ids leaves out are finished where they are read;
     only the others meet their spans in a shuffle.
     """
-    runs = written(repeated_runs(docs, doc_id, text) if runs is None else runs, "repeats")
+    if runs is None:
+        with small_batches(docs.sparkSession):
+            runs = repeated_runs(docs, doc_id, text)
     spans = runs.groupBy("did", F.shiftrightunsigned("packed", 32).alias("place")).agg(
         F.collect_list("packed").alias("packed")
     ).mapInPandas(_spans, "did long, place long, n_removed long, starts array<int>, ends array<int>")
