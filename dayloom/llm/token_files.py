@@ -65,7 +65,7 @@ class WordEncoder:
     def _told(self, words: list[str]) -> dict[str, bytes]:
         """Ids of words that are new."""
         pieces = {w: PIECE.findall(w.lower()) if PLAIN.fullmatch(w) else [w] for w in words}
-        new = list({p for ps in pieces.values() for p in ps} - self._pieces.keys())
+        new = list(set().union(*pieces.values()).difference(self._pieces))
         found = dict(zip(new, self._ids(new)))
         if len(self._pieces) < KNOWN_PIECES:
             self._pieces.update((p, i) for p, i in found.items() if len(p) <= KNOWN_CHARS)
@@ -75,13 +75,17 @@ class WordEncoder:
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         split = [None if any(c in t for c in NOT_SPACE) else t.split() for t in texts]
         known, last = self._words, np.array([end], "<i4").tobytes()
-        found = self._told(list({w for ws in split if ws is not None for w in ws} - known.keys()))
-        if len(known) < KNOWN_WORDS:
-            known.update((w, i) for w, i in found.items() if len(w) <= KNOWN_CHARS)
+        found = self._told(list(set().union(*(ws for ws in split if ws is not None)).difference(known)))
+        full = len(known) >= KNOWN_WORDS
+        known.update(found)
         out = []
         for text, ws in zip(texts, split):
-            parts = self._ids([text]) if ws is None else [known[w] if w in known else found[w] for w in ws]
-            out.append(np.frombuffer(b"".join([*parts, last]), "<i4"))
+            parts = self._ids([text]) if ws is None else list(map(known.__getitem__, ws))
+            parts.append(last)
+            out.append(np.frombuffer(b"".join(parts), "<i4"))
+        for w in found:
+            if full or len(w) > KNOWN_CHARS:
+                del known[w]
         return out
 
 
