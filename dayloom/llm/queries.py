@@ -74,16 +74,18 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     rollup = token_counts.TokenRollup(spark, scratch_path(spark, "token-rollup"))
 
-    def changes(rows: DataFrame, version: str, tokens, op: str) -> DataFrame:
+    def changes(rows: DataFrame, version: str, tokens, op: str = "set") -> DataFrame:
         return rows.select("doc_id", F.lit(version).alias("tokenizer"), "source", "lang", tokens.alias("tokens"),
                            F.lit(op).alias("op"), F.lit(0).alias("seq"))
 
     for batch, version in enumerate(token_counts.TOKENIZERS):
-        rollup.apply(batch, changes(docs, version, token_counts.count_tokens(F.col("text"), version), "set"))
+        rollup.apply(batch, changes(docs, version, token_counts.count_tokens(F.col("text"), version)))
 
+    # Counted where the texts are read: only ids and counts meet the labels.
     poor = table(spark, folder, "labels").where("quality = 0").select("doc_id").distinct()
     plain = F.regexp_replace("text", "[#*$%&|<>]+", " ")
-    rollup.apply(2, changes(docs.join(poor, "doc_id", "left_semi"), "words-1", token_counts.count_tokens(plain, "words-1"), "set"))
+    revised = changes(docs, "words-1", token_counts.count_tokens(plain, "words-1"))
+    rollup.apply(2, revised.join(poor, "doc_id").select(revised.columns))
 
     marked = written(docs.select("doc_id", "source", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"),
                                  F.col("text").isNull().alias("none")), "text-digests")
