@@ -1,10 +1,14 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
-The mix is a sequence of slots, each as long as one block of words. Slot i takes the point
-frac(i / golden ratio); the interval of the cumulated targets that holds the point names the
-source. The k-th slot of a source takes block k of that source's shuffled documents, laid end
-to end and cut into blocks of equal length, and starts over at the end. So every stretch of
-the sequence is close to the targets, and a document of an upsampled source is taken evenly.
+The mix is a sequence of slots, each as long as one block of words at most. A source's shuffled
+documents are laid end to end and cut into blocks of equal length, the last one shorter; its
+slots take block after block and start over at the end, until its target is met to the word:
+the last slot ends there. So a source has as many slots as its target needs, also when it is
+shorter than one block. Slot i has the rank (i * step) modulo the number of slots, with step
+over that number close to the golden ratio; the interval of the cumulated slots of the sources
+that holds the rank names the source. Ranks are a permutation, so every source gets exactly its
+slots, every stretch of the sequence is close to the targets, and a document of an upsampled
+source is taken evenly.
 
 Defined results: a document without words is taken 0 times; a null source is a source, last in
 order; repeated rows are documents of their own; a null document id is an id like any other;
@@ -20,18 +24,17 @@ from pyspark.sql import functions as F
 
 from dayloom.llm.common import words, written
 
-#: Slots of the schedule: a block has total / SLOTS words, so targets are met to a few millionths.
+#: Slots of the schedule, about: a block has total / SLOTS words. The target is met whatever the block.
 SLOTS = 1 << 20
-#: 2^32 over the golden ratio, made odd: multiples of it modulo 2^32 are the points.
-GOLDEN, SPAN = 2654435769, 1 << 32
+GOLDEN = (5 ** 0.5 - 1) / 2
 #: Documents of one source that share a window of the running sum.
 BUCKET_DOCS = 4096
-#: Cells of the unit interval by which points meet the intervals of the sources.
-CELLS = 4096
+#: Ranks of a cell, by which slots meet the sources. A source in it has a rank there, so a cell holds at most as many sources.
+CELL = 256
 
 
 def plan_targets(per_source: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3) -> DataFrame:
-    """Adds rn, weight, target, low and high (bounds of the source's points) to source, source_size.
+    """Adds rn, weight and target to source, source_size.
 
     Targets share the whole size by weight; none is above ``most`` times its source's size,
     and what is above goes to the others by weight.
@@ -55,39 +58,59 @@ def plan_targets(per_source: DataFrame, weights: tuple[int, ...] = (5, 2, 1), mo
             F.col("_at").isNull() | (F.struct("_need", "rn") < F.struct("_at._need", "_at.rn")), F.col("_cap")
         ).otherwise(F.col("_at._level") * F.col("weight")))
     )
-    running = F.sum("target").over(Window.orderBy("rn").rowsBetween(Window.unboundedPreceding, 0))
-    scale = F.when(F.col("_total") > 0, SPAN / F.col("_total"))
-    return (
-        planned.withColumn("high", running * scale).withColumn("low", (running - F.col("target")) * scale)
-        .select("source", "source_size", "n_docs", "rn", "weight", "target", "low", "high")
-    )
+    return planned.select("source", "source_size", "n_docs", "rn", "weight", "target")
+
+
+def planned_slots(plan: DataFrame, block: int) -> DataFrame:
+    """Adds whole (rounds of all documents), rest (words of the last round), n_blocks and n_slots."""
+    words_ = F.round("target").cast("long")
+    blocks = lambda n: F.expr(f"({n} + {block - 1}L) div {block}L")
+    rounds = plan.where("target > 0").withColumn("whole", F.floor(words_ / F.col("source_size")))
+    return rounds.withColumn("rest", words_ - F.col("whole") * F.col("source_size")).withColumn(
+        "n_blocks", blocks("source_size")).withColumn("n_slots", F.col("whole") * F.col("n_blocks") + blocks("rest"))
+
+
+def golden_step(slots: int) -> int:
+    """A number near slots over the golden ratio, without a common divisor, whose quotient by slots has a short expansion.
+
+    The sum of the partial quotients bounds how far any stretch is from even.
+    """
+    def spread(step: int) -> float:
+        a, b, total = slots, step, 0
+        while b:
+            total, a, b = total + a // b, b, a % b
+        return total if a == 1 else float("inf")
+
+    near = round(slots * GOLDEN)
+    return min(range(max(1, near - 500), max(2, min(slots, near + 501))), key=lambda step: (spread(step), abs(step - near)))
 
 
 def slot_schedule(plan: DataFrame, slots: int, block: int) -> DataFrame:
-    """The mix in order: slot, rn (of the source), block (of the source) and epoch.
+    """The mix in order: slot, rn (of the source), block (of the source), epoch and end (the word before which the slot ends).
 
-    The rank of a slot within its source is its rank within a stretch of 16,384 slots plus
-    the source's slots before that stretch, so no source gathers all its slots in one task.
+    ``slots`` is the sum of ``n_slots`` over ``planned_slots``. The rank of a slot within its
+    source is its rank within a stretch of 16,384 slots plus the source's slots before that
+    stretch, so no source gathers all its slots in one task.
     """
     spark = plan.sparkSession
-    points = spark.range(slots).select(
-        F.col("id").alias("slot"), F.shiftright("id", 14).alias("stretch"), ((F.col("id") * GOLDEN) % SPAN).alias("x")
-    ).withColumn("cell", F.floor(F.col("x") * CELLS / SPAN).cast("int"))
-    cells = plan.where("target > 0").select(
-        "rn", "low", "high", F.ceil(F.col("source_size") / block).cast("long").alias("n_blocks"),
-        F.explode(F.sequence(
-            F.floor(F.col("low") * CELLS / SPAN).cast("int"), F.least(F.ceil(F.col("high") * CELLS / SPAN), F.lit(CELLS)).cast("int")
-        )).alias("cell"),
-    )
-    dealt = points.join(cells, "cell").where("x >= low and x < high").select("slot", "stretch", "rn", "n_blocks")
+    ranks = spark.range(slots).select(
+        F.col("id").alias("slot"), F.shiftright("id", 14).alias("stretch"), F.expr(f"id * {golden_step(slots)}L % {max(1, slots)}L").alias("x")
+    ).withColumn("cell", F.expr(f"x div {CELL}L"))
+    upto = F.sum("n_slots").over(Window.orderBy("rn").rowsBetween(Window.unboundedPreceding, 0))
+    sources = planned_slots(plan, block).where("n_slots > 0").withColumn("high", upto).withColumn("low", F.col("high") - F.col("n_slots"))
+    cells = sources.select(
+        "rn", "low", "high", F.explode(F.sequence(F.expr(f"low div {CELL}L"), F.expr(f"(high - 1) div {CELL}L"))).alias("cell"))
+    dealt = ranks.join(cells, "cell").where("x >= low and x < high").select("slot", "stretch", "rn")
     before = Window.partitionBy("rn").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     counts = dealt.groupBy("rn", "stretch").agg(F.count("*").alias("n")).select(
         "rn", "stretch", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before")
-    )
+    ).join(sources.select("rn", "source_size", "whole", "rest", "n_blocks"), "rn")
     within = F.row_number().over(Window.partitionBy("rn", "stretch").orderBy("slot"))
-    return dealt.withColumn("_rank", within).join(counts, ["rn", "stretch"]).select(
-        "slot", "rn", (F.col("_rank") + F.col("_before") - 1).alias("_k"), "n_blocks"
-    ).select("slot", "rn", (F.col("_k") % F.col("n_blocks")).alias("block"), F.floor(F.col("_k") / F.col("n_blocks")).alias("epoch"))
+    placed = dealt.withColumn("_rank", within).join(counts, ["rn", "stretch"]).withColumn(
+        "_k", F.col("_rank") + F.col("_before") - 1
+    ).withColumn("block", F.col("_k") % F.col("n_blocks")).withColumn("epoch", F.expr("_k div n_blocks"))
+    last = F.when(F.col("epoch") < F.col("whole"), F.col("source_size")).otherwise(F.col("rest"))
+    return placed.select("slot", "rn", "block", "epoch", F.least((F.col("block") + 1) * block, last).alias("end"))
 
 
 def shuffled_offsets(sized: DataFrame) -> DataFrame:
@@ -120,8 +143,8 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int
     """One row per document: doc_id, place, size, source, source_size, target, taken.
 
     ``place`` is the hash by which documents are shuffled. ``taken`` counts the document's
-    words in the mix, at most ``most`` times its size: a source's slots beyond ``most`` rounds
-    of its blocks are not used.
+    words in the mix, at most ``most`` times its size. Over a source it sums to the target,
+    rounded to whole words.
     """
     sized = written(docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.size(words(F.col(text))).cast("long").alias("size"),
@@ -131,8 +154,8 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int
     plan = written(plan_targets(per_source, weights, most), "mix-plan")
     total = plan.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     block = max(1, -(-total // slots))
-    schedule = slot_schedule(plan, -(-total // block), block).where(F.col("epoch") < most)
-    times = schedule.groupBy("rn", "block").agg(F.count("*").alias("times"))
+    n_slots = planned_slots(plan, block).agg(F.coalesce(F.sum("n_slots"), F.lit(0))).first()[0]
+    times = slot_schedule(plan, n_slots, block).groupBy("rn", "block", "end").agg(F.count("*").alias("times"))
 
     known = plan.select(F.col("source").alias("_source"), "source_size", "n_docs", "rn", "target")
     rows = sized.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
@@ -141,8 +164,9 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int
     pieces = laid.withColumn("block", F.explode(F.sequence(
         F.expr(f"start div {block}L"), F.expr(f"(start + size - 1) div {block}L")
     )))
-    overlap = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest("start", F.col("block") * block)
-    taken = pieces.withColumn("_overlap", overlap).join(times, ["rn", "block"], "left").groupBy(*columns, "start").agg(
-        F.sum(F.col("_overlap") * F.coalesce("times", F.lit(0))).alias("taken")
+    overlap = F.least(F.col("start") + F.col("size"), F.col("end")) - F.greatest("start", F.col("block") * block)
+    # A block's slots end with the block, but for the one that meets the target.
+    taken = pieces.join(times, ["rn", "block"], "left").groupBy(*columns, "start").agg(
+        F.sum(F.coalesce(F.greatest(overlap, F.lit(0)) * F.col("times"), F.lit(0))).alias("taken")
     ).drop("start")
     return taken.unionByName(rows.where("size = 0").select(*columns, F.lit(0).cast("long").alias("taken")))

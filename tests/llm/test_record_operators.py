@@ -91,6 +91,33 @@ def test_mix_of_nothing(spark):
     assert [(r["size"], r["taken"], r["target"]) for r in mixing.mix_sources(blank).collect()] == [(0, 0, 0.0)] * 2
 
 
+def test_mix_meets_targets_of_sources_below_one_block(spark):
+    sizes = {"a": 40, "b": 130, "c": 700, "d": 9, "e": 90000}
+    rows = [(i, "w " * 10, s) for s, n in sizes.items() for i in range(n // 10)] + [(9999, "w " * 9, "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix_sources(docs, slots=30).collect()
+    assert len(got) == len(rows) and all(0 <= r["taken"] <= 3 * r["size"] for r in got)
+    want, taken = shares(sizes), dict.fromkeys(sizes, 0)
+    for r in got:
+        taken[r["source"]] += r["taken"]
+    assert sum(sizes.values()) // 30 > 4 * sizes["c"]
+    assert taken == {s: round(t) for s, t in want.items()}
+    assert all(r["taken"] == 3 * r["size"] for r in got if r["source"] in "abcd")
+
+
+def test_mix_of_one_source_ends_within_a_block(spark):
+    rows = [(i, "w " * 7, s) for s in "ab" for i in range(40 if s == "a" else 400)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), most=2, weights=(1, 3), slots=17).collect()
+    taken = {s: sum(r["taken"] for r in got if r["source"] == s) for s in "ab"}
+    assert taken == {"a": 560, "b": 2520} and {r["taken"] // 7 for r in got if r["source"] == "b"} == {0, 1}
+
+
+def test_slots_are_a_permutation():
+    for n in (1, 2, 3, 10, 997, 4096, 100_003):
+        step = mixing.golden_step(n)
+        assert len({i * step % n for i in range(n)}) == n
+
+
 def test_slots_are_spread_evenly(spark):
     per = spark.createDataFrame([("a", 1000, 4), ("b", 3000, 4)], "source string, source_size long, n_docs long")
     plan = mixing.plan_targets(per)
