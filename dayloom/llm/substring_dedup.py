@@ -10,9 +10,12 @@ also start earlier: in a smaller document, or earlier in the same one.
    decided on the spot, so a passage in a third of all documents sends one row per task.
 2. Runs of one anchor meet. Equal contexts are equal in all windows: all but the first go. An
    anchor of one context needs no more. The first run of each further context is checked.
-3. Runs to check send their words to shards by anchor. The first windows of a shard that come
-   again are its reference, a suffix automaton; the later ones are streamed through it. Where
-   the matching statistic reaches the window's length, the window starts earlier.
+3. Windows of the runs to check are summed by anchor and hash, within tasks before the shuffle:
+   the first of each hash that comes again is a reference. Only runs that may hold such a hash go
+   on, to shards by anchor; a shard's references are its suffix automaton, and all its runs are
+   streamed through it. Where the matching statistic reaches the window's length and the window
+   is no reference itself, it starts earlier. The runs of a window that very many documents hold
+   are cut into pieces, and its references go to each piece.
 4. A document's windows that go are merged to maximal spans and cut out.
 
 Automata go to the runs that hold their anchors, not to every task: the reference is the
@@ -41,6 +44,8 @@ WINDOW, GRAM = 20, 6
 GATHER = 250_000
 #: Runs of a shard, about: an automaton of at most some 50,000 words.
 SHARD_RUNS = 2048
+#: Runs that go to Python together.
+RUN_BATCH = 5000
 NO_ID = -(1 << 63)
 
 #: ``place`` (31 bits), the first window's start (28 bits) and the number of windows less one (4 bits) in one long.
@@ -238,45 +243,52 @@ def _words_to_check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "packed": np.array(packs, np.int64), "h": lists(texts)})
 
 
-def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
-    """Windows of a shard that start earlier in another run of the shard.
-
-    In document order, the first windows of each hash that comes again are the reference: they
-    are added to the automaton. Later windows of these hashes are streamed through it and go
-    where the matching statistic reaches a window's length. Two windows of one run never
-    agree, because equal windows hold their anchor at the same place.
-    """
-    rows = rows.drop_duplicates(["anchor", "did", "packed"]).sort_values(["did", "packed"], kind="stable")
-    did, packed = rows["did"].to_numpy(np.int64), rows["packed"].to_numpy(np.int64)
+def _places(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, offset in it and hash of each window of some runs."""
+    n = (rows["packed"].to_numpy(np.int64) & 15) + 1
     words_ = np.concatenate([np.asarray(w, np.int64) for w in rows["h"]])
-    n = (packed & 15) + 1
     begins = np.cumsum(n + WINDOW - 1) - (n + WINDOW - 1)
     row = np.repeat(np.arange(len(n)), n)
     offset = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    at = begins[row] + offset
-    _, first, inverse, counts = np.unique(
-        gram_hashes(words_.view(np.uint64), WINDOW)[at], return_index=True, return_inverse=True, return_counts=True)
-    again = np.ones(len(at), bool)
-    again[first] = False
-    used = np.flatnonzero(counts[inverse] > 1)
-    if not len(used):
-        return pd.DataFrame({"did": np.zeros(0, np.int64), "packed": np.zeros(0, np.int64)})
-    cut = (np.diff(used) != 1) | (np.diff(row[used]) != 0) | (again[used][1:] != again[used][:-1])
-    bounds = np.concatenate(([0], np.flatnonzero(cut) + 1, [len(used)])).tolist()
-    automaton, separators, found = SuffixAutomaton(), 0, []
-    for a, b in zip(bounds, bounds[1:]):
-        w = used[a]
-        symbols = words_[at[w] : at[w] + b - a + WINDOW - 1].tolist()
-        if again[w]:
-            found += [w + end - WINDOW + 1 for end in automaton.matches(symbols, WINDOW)]
-        else:
-            for symbol in symbols:
+    return row, offset, gram_hashes(words_.view(np.uint64), WINDOW)[begins[row] + offset].view(np.int64)
+
+
+def _windows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row for each window."""
+    for frame in frames:
+        if len(frame):
+            row, offset, hashes = _places(frame)
+            yield pd.DataFrame({"anchor": frame["anchor"].to_numpy(np.int64)[row], "wh": hashes, "did": frame["did"].to_numpy(np.int64)[row],
+                                "packed": frame["packed"].to_numpy(np.int64)[row], "at": offset})
+
+
+def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
+    """Windows of the shard's own runs that its references hold and that are no references.
+
+    ``firsts`` has the offsets of a run's windows that are references: the first of their hash
+    in document order, wherever the others are. Two windows of one run never agree, because
+    equal windows hold their anchor at the same place.
+    """
+    automaton, separators = SuffixAutomaton(), 0
+    references = rows[rows["firsts"].notna()].drop_duplicates(["anchor", "did", "packed"])
+    for h, firsts in zip(references["h"], references["firsts"]):
+        at = np.sort(np.asarray(firsts, np.int64))
+        cuts = np.flatnonzero(np.diff(at) != 1) + 1
+        for a, b in zip(at[np.concatenate(([0], cuts))].tolist(), at[np.concatenate((cuts - 1, [len(at) - 1]))].tolist()):
+            for symbol in h[a : b + WINDOW].tolist():
                 automaton.add(symbol)
             separators += 1
             automaton.add((separators,))  # equals no word and no other separator
-    hit = np.array(found, np.int64)
-    start = ((packed[row[hit]] >> 4) & ((1 << 28) - 1)) + offset[hit]
-    return pd.DataFrame({"did": did[row[hit]], "packed": ((packed[row[hit]] >> 32) << 32) | (start << 4)})
+    dids, packs = [], []
+    own = rows[rows["own"]]
+    for did, packed, h, firsts in zip(own["did"], own["packed"], own["h"], own["firsts"]):
+        mine = () if firsts is None else set(np.asarray(firsts).tolist())
+        for end in automaton.matches(h.tolist(), WINDOW):
+            at = end - WINDOW + 1
+            if at not in mine:
+                dids.append(did)
+                packs.append(((packed >> 32) << 32) | (_start(packed) + at) << 4)
+    return pd.DataFrame({"did": np.array(dids, np.int64), "packed": np.array(packs, np.int64)})
 
 
 def _start(packed: int) -> int:
@@ -287,7 +299,6 @@ def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     """did and packed of all runs of windows that go."""
     runs = written(_judged(_hashed(docs, doc_id, text).mapInPandas(_scan, RUNS)), "runs")
     check = runs.where("not goes")
-    shards = max(1, -(-check.count() // SHARD_RUNS))
     bitmap = id_filter(check, "did")
 
     def possible(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -297,13 +308,43 @@ def repeated_runs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     listed = check.groupBy("did", F.shiftrightunsigned("packed", 32).alias("place")).agg(
         F.collect_list(F.struct("packed", "anchor", "parts")).alias("runs"))
     hashed = _hashed(docs, doc_id, text).mapInPandas(possible, "did long, place long, h array<long>")
-    sent = hashed.join(listed, ["did", "place"]).mapInPandas(
-        _words_to_check, "anchor long, part int, did long, packed long, h array<long>")
-    shard = F.pmod(F.xxhash64("anchor", "part"), F.lit(shards)).alias("shard")
-    found = sent.select("*", shard).groupBy("shard").applyInPandas(_repeats, "did long, packed long")
+    sent = written(hashed.join(listed, ["did", "place"]).mapInPandas(
+        _words_to_check, "anchor long, part int, did long, packed long, h array<long>"), "words-to-check")
+    with small_batches(docs.sparkSession, RUN_BATCH):
+        found = written(_dealt(_marked(sent)).groupBy("shard").applyInPandas(_repeats, "did long, packed long"), "found")
     return written(runs.where("goes").select("did", "packed").unionByName(found), "repeats")
 
 
+def _marked(sent: DataFrame) -> DataFrame:
+    """The runs that may hold a window that comes again, with ``firsts``, the offsets of those that are its first."""
+    each = sent.mapInPandas(_windows, "anchor long, wh long, did long, packed long, at int")
+    one = F.struct("did", "packed", "at")
+    repeated = written(each.groupBy("anchor", "wh").agg(F.min(one).alias("first"), F.max(one).alias("last")).where(
+        "first < last").select("wh", "first.*"), "references")
+    bitmap = id_filter(repeated, "wh")
+
+    def possible(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            if len(frame):
+                row, _, hashes = _places(frame)
+                yield frame.iloc[np.unique(row[may_hold(bitmap.value, hashes)])]
+
+    firsts = repeated.groupBy("did", "packed").agg(F.collect_list("at").alias("firsts"))
+    return written(sent.mapInPandas(possible, sent.schema).join(firsts, ["did", "packed"], "left"), "marked")
+
+
+def _dealt(marked: DataFrame) -> DataFrame:
+    """Adds ``shard`` and ``own``, whether the run is streamed there; runs with references go to all pieces of their part."""
+    shards = max(1, -(-marked.count() // SHARD_RUNS))
+    large = marked.groupBy("anchor", "part").agg(F.ceil(F.count("*") / SHARD_RUNS).cast("int").alias("pieces")).where("pieces > 1")
+    sized = marked.join(large, ["anchor", "part"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    sized = sized.withColumn("_own", F.pmod(F.xxhash64("did", "packed"), F.col("pieces")).cast("int"))
+    to = F.when(F.col("firsts").isNull(), F.array("_own")).otherwise(F.sequence(F.lit(0), F.col("pieces") - 1))
+    return sized.withColumn("piece", F.explode(to)).select(
+        "anchor", "did", "packed", "h", "firsts", (F.col("piece") == F.col("_own")).alias("own"),
+        F.pmod(F.xxhash64("anchor", "part", "piece"), F.lit(shards)).alias("shard"))
+
+
 def _spans(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Maximal spans of words, first included and last excluded, of each document."""
     for frame in frames:

@@ -3,6 +3,7 @@
 import math
 import random
 import sys
+import uuid
 
 import pytest
 
@@ -97,6 +98,24 @@ def test_substrings_of_many_contexts_are_split(spark, monkeypatch):
     assert got == {d: kept for d, _, _, kept in helpers.cut_repeats(rows)}
 
 
+def test_runs_of_a_common_window_are_dealt_to_many_shards(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(substring_dedup, "SHARD_RUNS", 64)
+    plain, folder = substring_dedup._repeats, str(tmp_path)
+
+    def counted(rows):
+        with open(f"{folder}/{uuid.uuid4()}", "w") as out:
+            out.write(str(len(rows)))
+        return plain(rows)
+
+    monkeypatch.setattr(substring_dedup, "_repeats", counted)
+    passage = " ".join(f"p{i}" for i in range(25))
+    rows = [(i, " ".join([f"a{i}x{j}" for j in range(30)] + [passage] + [f"b{i}x{j}" for j in range(30)])) for i in range(1500)]
+    got = {r["doc_id"]: r["dedup"]["kept"] for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {d: kept for d, _, _, kept in helpers.cut_repeats(rows)}
+    most = max(int(f.read_text()) for f in tmp_path.iterdir())
+    assert most < 600, most
+
+
 def test_substrings_of_an_empty_table(spark):
     assert substring_dedup.remove_repeats(spark.createDataFrame([], SCHEMA)).collect() == []
 
