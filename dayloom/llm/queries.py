@@ -190,7 +190,7 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 
 @query("op8_top_k", OP8_SQL)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = written(topk.integer_vectors(table(spark, folder, "embeddings")), "vectors")
+    vectors = written(topk.integer_vectors(table(spark, folder, "embeddings"), one_each=False), "vectors")
     return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 

@@ -9,8 +9,9 @@ vectors that remain possible are scored exactly. Blocks of vectors meet blocks o
 the k best of each block are merged.
 
 Defined results: a vector that is null or holds a null or non-finite component takes no part,
-nor does a row without an id; missing trailing components count as 0; an id that repeats
-counts once, with the smallest of its vectors; a query with fewer candidates than k gets all
+nor does a row without an id; missing trailing components count as 0; every row of an id that
+repeats is a candidate and a query, and a query's candidates are the rows of all other ids
+(with ``one_each`` an id counts once, with the smallest of its vectors); a query with fewer candidates than k gets all
 of them; an empty table gives no rows; further columns are ignored.
 """
 
@@ -29,13 +30,21 @@ LEVELS, BETWEEN = 4, 32
 RESULT = "query_id long, vec_id long, score long"
 
 
-def integer_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """vec_id and ``v``, the components times ``scale``, rounded down; only rows that take part."""
+def integer_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", scale: int = SCALE,
+                    one_each: bool = True) -> DataFrame:
+    """vec_id and ``v``, the components times ``scale``, rounded down; only rows that take part.
+
+    Without ``one_each`` all rows of an id stay, with a number ``row`` by which they are dealt;
+    write the frame before it is used, since a second run may number the rows otherwise.
+    """
     value = F.col(embedding).cast("array<double>")
     finite = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     scaled = F.transform(value, lambda x: F.floor(x * float(scale)).cast("long"))
     taking = rows.where(F.col(vec_id).isNotNull() & F.col(embedding).isNotNull()).where(finite)
-    return taking.select(F.col(vec_id).cast("long").alias("vec_id"), scaled.alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
+    found = taking.select(F.col(vec_id).cast("long").alias("vec_id"), scaled.alias("v"))
+    if one_each:
+        return found.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return found.withColumn("row", F.monotonically_increasing_id())
 
 
 def matrix(vectors: pd.Series, width: int) -> np.ndarray:
@@ -117,7 +126,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     v_blocks, q_blocks = max(1, -(-n // VECTORS)), max(1, -(-n_queries // QUERIES))
 
     def dealt(rows: DataFrame, own: str, blocks: int, other: str, others: int) -> DataFrame:
-        block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias(own)
+        block = F.pmod(F.xxhash64(*(c for c in rows.columns if c != "v")), F.lit(blocks)).cast("int").alias(own)
         return rows.select("vec_id", "v", block, F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
 
     a = dealt(vectors, "_vb", v_blocks, "_qb", q_blocks).groupBy("_vb", "_qb")

@@ -3,6 +3,7 @@
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers as P
 import pytest
@@ -11,6 +12,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dayloom.llm import chat_format, mixing, token_counts, token_files, topk, url_filter
+from dayloom.llm.queries import OP8_SQL, QUERIES
 from dayloom.session import scratch_path
 
 TALLY = "doc_id long, tokenizer string, source string, lang string, tokens long, op string, seq int"
@@ -218,6 +220,17 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert not got
 
 
+def test_top_k_query_keeps_rows_of_repeated_ids(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    rows = [(i % 150, [float(x) for x in rng.normal(size=6)]) for i in range(400)]
+    rows += [(7, [3.0] * 6)] * 15 + [(7, [-3.0] * 6)] * 5 + [(100, [2.0] * 6), (100, [-2.0] * 6), (None, [9.0] * 6)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    got = QUERIES["op8_top_k"](spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(tuple(r) for r in got) == sorted(con.execute(OP8_SQL).fetchall())
+
+
 def test_top_k_with_few_or_no_vectors(spark):
     few = topk.integer_vectors(spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>"))
     assert [tuple(r) for r in topk.top_k(few, few.where("vec_id = 0")).collect()] == [(0, 1, 1, 2 * 1024 * 1024)]
