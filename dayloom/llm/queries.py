@@ -198,7 +198,7 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(
-        table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end=2
+        table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end=2, added_tokens=True
     )
     return token_files.document_digests(spark, path)
 

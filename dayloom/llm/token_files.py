@@ -10,7 +10,9 @@ the whole sequence is a sum over parts, one row for each file.
 
 Defined results: a null text is the empty text, which is only the end id; null document ids
 come first; equal ids are ordered by a hash of the text and keep all their rows; an empty
-table gives no rows; further columns are ignored.
+table gives no rows; further columns are ignored. With ``added_tokens`` a text that spells an
+added token of the tokenizer holds that token, as the library encodes by default; without, the
+characters are text like any other.
 """
 
 from __future__ import annotations
@@ -47,14 +49,17 @@ class WordEncoder:
     The tokenizer drops white space and none of its pieces crosses it, so a text's ids are its
     words' ids one after the other. Words of plain letters are cut into the tokenizer's own
     pieces after lower-casing; any other word is encoded as it is. What a worker remembers is
-    bounded and changes no result.
+    bounded and changes no result. Texts that hold an added token are encoded whole.
     """
 
-    def __init__(self, file: str):
+    def __init__(self, file: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(file)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = not added_tokens
+        added = self._tokenizer.get_added_tokens_decoder().values() if added_tokens else ()
+        # What is sought after normalization may be spelled otherwise: then every text is encoded whole.
+        self._whole = ("",) if any(a.normalized for a in added) else tuple(a.content for a in added)
         self._words: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
 
@@ -73,7 +78,7 @@ class WordEncoder:
         return {w: b"".join([known[p] if p in known else found[p] for p in ps]) for w, ps in pieces.items()}
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
-        split = [None if any(c in t for c in NOT_SPACE) else t.split() for t in texts]
+        split = [None if any(c in t for c in (*NOT_SPACE, *self._whole)) else t.split() for t in texts]
         known, last = self._words, np.array([end], "<i4").tobytes()
         found = self._told(list(set().union(*(ws for ws in split if ws is not None)).difference(known)))
         full = len(known) >= KNOWN_WORDS
@@ -89,16 +94,17 @@ class WordEncoder:
         return out
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
 
 
-def _encoder(file: str) -> WordEncoder:
-    if file not in _ENCODERS:
-        _ENCODERS[file] = WordEncoder(file)
-    return _ENCODERS[file]
+def _encoder(file: str, added_tokens: bool) -> WordEncoder:
+    if (file, added_tokens) not in _ENCODERS:
+        _ENCODERS[file, added_tokens] = WordEncoder(file, added_tokens)
+    return _ENCODERS[file, added_tokens]
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int, doc_id: str = "doc_id", text: str = "text") -> None:
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int, doc_id: str = "doc_id", text: str = "text",
+                      added_tokens: bool = False) -> None:
     """Encodes every document and writes the files below ``path``, ascending by id."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("place", F.xxhash64("text"))
@@ -107,7 +113,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int, doc_
                        ("ids", pa.list_(pa.int32()))])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, before = _encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, before = _encoder(tokenizer, added_tokens), TaskContext.get().partitionId(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, TOGETHER):
                 some = batch.slice(at, TOGETHER)

@@ -290,6 +290,19 @@ def test_words_are_cut_as_the_library_cuts_them():
         assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], repr(text)
 
 
+def test_token_files_query_holds_added_tokens_as_the_library_does(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    texts = ["hello <|endoftext|> world", "a<|startoftext|>b it's", "plain <|endoftext", "<|ENDOFTEXT|>", "x\x1c<|endoftext|>", None, "e\u0301 12"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer, want, start = Tokenizer.from_file(FILE), [], 0
+    for i, text in enumerate(texts):
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert sorted(tuple(r) for r in QUERIES["op9_token_files"](spark, str(tmp_path)).collect()) == want
+
+
 def test_token_files_with_null_and_equal_ids_or_nothing(spark):
     docs = spark.createDataFrame([(None, "a"), (4, "b"), (4, "c d"), (None, None)], "doc_id long, text string")
     path = scratch_path(spark, "tokens")
