@@ -37,7 +37,7 @@ MERGED = """
     weather AS (
       SELECT CAST(l_shipdate AS DATE) AS date, l_quantity AS precipitation,
              l_discount AS soil_moisture
-      FROM lineitem WHERE l_returnflag = 'R'
+      FROM lineitem
       QUALIFY row_number() OVER (PARTITION BY CAST(l_shipdate AS DATE)
         ORDER BY l_orderkey DESC, l_linenumber DESC, l_quantity DESC, l_discount DESC) = 1),
     spine AS (
@@ -78,7 +78,7 @@ def daily_config(spark, folder, out: str) -> DailyConfig:
             ("o_orderkey",),
         ),
         "weather": FeedInput(
-            lines.filter(F.col("l_returnflag") == "R").select(
+            lines.select(
                 ship_day,
                 F.col("l_quantity").alias("precipitation"),
                 F.col("l_discount").alias("soil_moisture"),

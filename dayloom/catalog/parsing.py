@@ -127,19 +127,20 @@ def json_document_explode(spark, folder):
     """
     WITH days AS (
       SELECT user_id, CAST(ts AS DATE) AS date,
-             CAST(SUM(CAST(value AS DECIMAL(18,2))) FILTER (event_type = 'click') AS DOUBLE) AS a,
-             CAST(SUM(CAST(value AS DECIMAL(18,2))) FILTER (event_type = 'view') AS DOUBLE) AS b
+             CAST(SUM(CAST(value AS DECIMAL(18,2))) FILTER (event_type IN ('click', 'view')) AS DOUBLE) AS a,
+             CAST(SUM(CAST(value AS DECIMAL(18,2))) FILTER (event_type NOT IN ('click', 'view')) AS DOUBLE) AS b
       FROM events GROUP BY ALL)
     SELECT user_id, date, a, b FROM days WHERE a IS NOT NULL AND b IS NOT NULL
     """,
 )
 def json_map_pair_join(spark, folder):
     amount = F.col("value").cast("decimal(18,2)")
-    of = lambda kind: F.sum(F.when(F.col("event_type") == kind, amount)).cast("double")
+    of = lambda kind: F.sum(F.when(kind, amount)).cast("double")
+    page = F.col("event_type").isin("click", "view")
     days = (
         table(spark, folder, "events")
         .groupBy("user_id", F.date_format("ts", "yyyyMMdd").alias("day"))
-        .agg(of("click").alias("a"), of("view").alias("b"))
+        .agg(of(page).alias("a"), of(~page).alias("b"))
     )
     # A map holds one entry per day, so the calendar bounds it.
     entries = lambda c: F.map_from_entries(

@@ -365,12 +365,7 @@ def feature_matrix_unkeyed(spark, folder):
     daily = (
         table(spark, folder, "orders")
         .groupBy(F.to_date("o_orderdate").alias("date"))
-        .agg(
-            money(priority == "1-URGENT").alias("price_a"),
-            money(priority == "5-LOW").alias("price_b"),
-            money(priority == "2-HIGH").alias("precipitation"),
-            money(priority == "3-MEDIUM").alias("soil_moisture"),
-        )
+        .agg(*[money(priority.isin(wanted)).alias(c) for c, wanted in PRIORITIES.items()])
     )
     top = table(spark, folder, "orders").agg(F.max("o_orderdate").cast("date")).scalar()
     dense = as_of_daily([(daily, VALUES)], "date", lo=START, hi=top)

@@ -23,11 +23,9 @@ def spark():
     session.stop()
 
 
-def values(df, *columns):
-    """Rows as sorted tuples."""
-    rows = df.select(*columns).collect() if columns else df.collect()
-    return sorted((tuple(r) for r in rows), key=repr)
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+@pytest.fixture(scope="session")
+def small_folder():
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("test tables are absent")
+    return folder

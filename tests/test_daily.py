@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from support import values
 from dayloom.plans.cleaners import judge_price_lines, run_cleaner
 from dayloom.plans.daily import DailyConfig, FeedInput, run_daily
 from dayloom.schemas import FEEDS

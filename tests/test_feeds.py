@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import values
+from support import values
 from dayloom.operators.freshness import (
     baseline_table, capture_baseline, feed_status, feed_summary, new_rows, new_rows_by, ready,
 )

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import values
+from support import values
 from dayloom.functions import (
     calendar_parts,
     date_from_compact,

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import plan_of, values
+from support import plan_of, values
 from dayloom.operators.dedup import any_value_by_key, dedup, latest_per_key
 from dayloom.operators.quality import (
     apply_rules, assert_complete, joined, require_complete, rule_fields, rule_numeric, split,

@@ -7,7 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from conftest import plan_of, values
+from support import plan_of, values
 from dayloom.operators.evaluate import (
     backtest, forecast, has_labels, last_days, mape, score_history, split_rows, train_if_labelled,
 )

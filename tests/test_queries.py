@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check import rows_of
-from conftest import plan_of
+from support import plan_of
 from dayloom.catalog import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import plan_of, values
+from support import plan_of, values
 from dayloom.operators.features import add_lags, add_lead_target, add_moving_avg, feature_matrix
 from dayloom.operators.fill import forward_fill
 from dayloom.operators.series import assert_dense, over_series

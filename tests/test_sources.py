@@ -3,7 +3,7 @@ import json
 
 import pytest
 
-from conftest import plan_of, values
+from support import plan_of, values
 from pyspark.sql import functions as F
 from dayloom.plans.cleaners import clean_observations, clean_price_lines, clean_weather_lines
 from dayloom.schemas import FEED_SCHEMAS, FEEDS, OBSERVATION_DOCUMENT

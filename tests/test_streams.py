@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import types as T
 
-from conftest import values
+from support import values
 from dayloom.operators.dedup import latest_per_key
 from dayloom.schemas import FEEDS
 from dayloom.sources.messages import decode_payload, to_staging_row
