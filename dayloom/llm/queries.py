@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayloom.llm import bpe, chat_format, jaccard_join, mixing, quality, substring_dedup, token_counts, token_files, topk, url_filter
+from dayloom.llm import (
+    bpe,
+    chat_format,
+    collocations,
+    jaccard_join,
+    merkle,
+    mixing,
+    quality,
+    substring_dedup,
+    token_counts,
+    token_files,
+    topk,
+    toxicity,
+    url_filter,
+)
 from dayloom.llm.common import table, written
 from dayloom.session import scratch_path
 
@@ -213,3 +227,25 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     linked = jaccard_join.near_duplicates(table(spark, folder, "documents"), size=3, percent=90)
     return linked.select("doc_id", "n_shingles", "component_id")
+
+
+@query("op11_toxicity")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    fold = lambda c: F.crc32(F.col(c).cast("string").cast("binary")) % 5
+    model = toxicity.fit(docs, table(spark, folder, "labels"), learn=fold("_id") != 0)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out"), F.col("toxicity").alias("score"),
+                         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op12_merkle_manifest")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    told = merkle.manifest(table(spark, folder, "documents"), tampered)
+    return told.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query("op13_collocations")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
