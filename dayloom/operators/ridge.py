@@ -29,7 +29,7 @@ def _pair_name(a: str, b: str) -> str:
     return f"{a}\n{b}"
 
 
-def _entries(categorical: list[str]) -> Column:
+def entries(categorical: list[str]) -> Column:
     """What a row is summed into: the key, each of its category values, each pair of them."""
     def entry(kind: str, left: Column, right: Column) -> Column:
         return F.struct(F.lit(kind).alias(_KIND), left.cast("string").alias(_LEFT), right.cast("string").alias(_RIGHT))
@@ -160,7 +160,7 @@ def fit_ridge(
     width = range(len(columns))
     # Sums of a value are needed for the key and for single values, products for the key alone.
     single, whole = F.col(_RIGHT).isNull(), F.col(_KIND) == _ALL
-    spread = centred.select("*", F.inline(_entries(categorical))) if categorical else centred.select(
+    spread = centred.select("*", F.inline(entries(categorical))) if categorical else centred.select(
         "*", F.lit(_ALL).alias(_KIND), *(F.lit(None).cast("string").alias(c) for c in (_LEFT, _RIGHT))
     )
     cells = spread.groupBy(*by, _KIND, _LEFT, _RIGHT).agg(
@@ -174,10 +174,16 @@ def fit_ridge(
             if i <= j
         ],
     ).filter(F.col(_N) > 0)
+    return solve_cells(cells, [df.schema[k] for k in by], numeric, label, categorical, l2, by)
+
+
+def solve_cells(cells: DataFrame, keys: list[T.StructField], numeric: list[str], label: str, categorical: list[str],
+                l2: float, by: list[str]) -> DataFrame:
+    """Models from the sums of each key: see ``fit_ridge``."""
     numbers = T.ArrayType(T.DoubleType())
     schema = T.StructType(
         [
-            *[df.schema[k] for k in by],
+            *keys,
             T.StructField("n", T.LongType()),
             T.StructField("intercept", T.DoubleType()),
             T.StructField("names", T.ArrayType(T.StringType())),

@@ -95,10 +95,10 @@ def as_of_daily(
         )
         stacked = stacked.unionByName(opening)
     observed = any_value_by_key(stacked, [*by, date], names)
-    return _repeat_until_next(observed, date, names, by, lo, hi)
+    return repeat_until_next(observed, date, names, by, lo, hi)
 
 
-def _repeat_until_next(
+def repeat_until_next(
     observed: DataFrame,
     date: str,
     names: list[str],
