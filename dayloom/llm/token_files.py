@@ -17,6 +17,7 @@ characters are text like any other.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -37,19 +38,39 @@ PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS
 #: Words of such characters are in normal form, and lower-cased character by character they
 #: stay among them; U+0130, which does not, is left out.
 PLAIN = re.compile("[\x00-\u012f\u0131-\u017f]+")
+# The settings of a tokenizer file that the short cut by words and pieces stands for.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 #: Documents encoded together, so that word lists stay small beside long texts.
 TOGETHER = 256
 #: Control characters that Python's split() takes for white space and the tokenizer does not.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
 
+class _Words(dict):
+    """Numbers keys as they come and lists those that are new."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, word) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class WordEncoder:
     """Encodes texts word by word and words piece by piece, each new piece once.
 
     The tokenizer drops white space and none of its pieces crosses it, so a text's ids are its
     words' ids one after the other. Words of plain letters are cut into the tokenizer's own
     pieces after lower-casing; any other word is encoded as it is. What a worker remembers is
-    bounded and changes no result. Texts that hold an added token are encoded whole.
+    bounded and changes no result. Texts that hold an added token are encoded whole, and so are all
+    texts where the file's normalizer or pre-tokenizer is not the one these cuts stand for.
     """
 
     def __init__(self, file: str, added_tokens: bool = False):
@@ -60,8 +81,15 @@ class WordEncoder:
         added = self._tokenizer.get_added_tokens_decoder().values() if added_tokens else ()
         # What is sought after normalization may be spelled otherwise: then every text is encoded whole.
         self._whole = ("",) if any(a.normalized for a in added) else tuple(a.content for a in added)
-        self._words: dict[str, bytes] = {}
+        with open(file, encoding="utf-8") as source:
+            told = json.load(source)
+        if told.get("normalizer") != NORMALIZER or told.get("pre_tokenizer") != PRE_TOKENIZER:
+            self._whole = ("",)
         self._pieces: dict[str, bytes] = {}
+        self._words = _Words()
+        self._ends: int | None = None
+        # Ids of all numbered words, one after the other, and where each word's begin.
+        self._flat, self._starts = np.zeros(0, "<i4"), np.zeros(1, np.int64)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -77,21 +105,51 @@ class WordEncoder:
         known = self._pieces
         return {w: b"".join([known[p] if p in known else found[p] for p in ps]) for w, ps in pieces.items()}
 
-    def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
-        split = [None if any(c in t for c in (*NOT_SPACE, *self._whole)) else t.split() for t in texts]
-        known, last = self._words, np.array([end], "<i4").tobytes()
-        found = self._told(list(set().union(*(ws for ws in split if ws is not None)).difference(known)))
-        full = len(known) >= KNOWN_WORDS
-        known.update(found)
-        out = []
-        for text, ws in zip(texts, split):
-            parts = self._ids([text]) if ws is None else list(map(known.__getitem__, ws))
-            parts.append(last)
-            out.append(np.frombuffer(b"".join(parts), "<i4"))
-        for w in found:
-            if full or len(w) > KNOWN_CHARS:
+    def _number(self, words: list) -> None:
+        """Appends the ids of words that were numbered last; a tuple holds a text to encode whole."""
+        told = self._told([w for w in words if isinstance(w, str)])
+        last = np.array([self._ends], "<i4").tobytes()
+        ids = [told[w] if isinstance(w, str) else last if w is None else self._ids([w[0]])[0] for w in words]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        self._flat = np.concatenate((self._flat, np.frombuffer(b"".join(ids), "<i4")))
+        self._starts = np.concatenate((self._starts, self._starts[-1] + np.cumsum(sizes)))
+
+    def encode(self, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, each with its end, and how many each has."""
+        if end != self._ends:
+            self._words, self._ends, self._flat, self._starts = _Words(), end, self._flat[:0], self._starts[:1]
+        every, counts = [], []
+        for t in texts:
+            before = len(every)
+            if any(c in t for c in (*NOT_SPACE, *self._whole)):
+                every.append((t,))
+            else:
+                every += t.split()
+            every.append(None)
+            counts.append(len(every) - before)
+        known = self._words
+        had = len(known)
+        numbers = np.fromiter(map(known.__getitem__, every), np.int64, len(every))
+        self._number(known.new)
+        sizes = np.diff(self._starts)[numbers]
+        to = np.cumsum(sizes)
+        # Each id's place: that of its word's first one, and on from there.
+        ids = self._flat[np.repeat(self._starts[numbers] - to + sizes, sizes) + np.arange(to[-1] if len(to) else 0)]
+        ends = np.cumsum(counts)
+        per_text = np.diff(to[ends - 1], prepend=0) if len(ends) else np.zeros(0, np.int64)
+        # New words stay as long as there is room; numbers of the others are given back.
+        keep = [w for w in known.new if w is None or isinstance(w, str) and len(w) <= KNOWN_CHARS]
+        if had >= KNOWN_WORDS or len(keep) < len(known.new):
+            for w in known.new:
                 del known[w]
-        return out
+            self._flat, self._starts = self._flat[: self._starts[had]], self._starts[: had + 1]
+            known.new.clear()
+            if had < KNOWN_WORDS:
+                for w in keep:
+                    known[w]
+                self._number(known.new)
+        known.new.clear()
+        return ids, per_text
 
 
 _ENCODERS: dict[tuple[str, bool], WordEncoder] = {}
@@ -117,13 +175,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end: int, doc_
         for batch in batches:
             for at in range(0, batch.num_rows, TOGETHER):
                 some = batch.slice(at, TOGETHER)
-                ids = encoder.encode(some.column(1).to_pylist(), end)
-                sizes = np.array([len(x) for x in ids], np.int64)
+                ids, sizes = encoder.encode(some.column(1).to_pylist(), end)
                 starts = before + np.cumsum(sizes) - sizes
                 before += int(sizes.sum())
                 offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))
-                parts = pa.array(np.full(len(ids), part, np.int32))
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
+                parts = pa.array(np.full(len(sizes), part, np.int32))
                 yield pa.RecordBatch.from_arrays([parts, some.column(0), pa.array(starts), pa.array(sizes), lists], schema=kinds)
 
     ordered.mapInArrow(encode, SCHEMA).write.options(**{

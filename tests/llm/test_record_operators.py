@@ -278,6 +278,33 @@ def test_token_files_equal_the_library(spark):
     assert "PushedFilters: [In(doc_id" in found._jdf.queryExecution().executedPlan().toString()
 
 
+def cut(ids, sizes):
+    return np.split(ids, np.cumsum(sizes)[:-1])
+
+
+@pytest.mark.parametrize("known", [token_files.KNOWN_WORDS, 3])
+def test_what_an_encoder_remembers_changes_nothing(monkeypatch, known):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "KNOWN_WORDS", known)
+    tokenizer, encoder = Tokenizer.from_file(FILE), token_files.WordEncoder(FILE, added_tokens=True)
+    batches = [["a b c", "", "x" * 50 + " a", "a<|endoftext|>b"], ["c d e f a", "x" * 50, "g\x1ch"], [], ["a b c d e f g h"], ["z a <|endoftext|>", "y a"]]
+    for texts in batches:
+        ids, sizes = encoder.encode(texts, 2)
+        assert len(sizes) == len(texts)
+        for text, one in zip(texts, cut(ids, sizes) if texts else []):
+            assert one.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], repr(text)
+
+
+def test_a_tokenizer_that_keeps_white_space_is_given_whole_texts():
+    from tokenizers import Tokenizer
+
+    file = P.path("byte_bpe_50k.json")
+    texts = ["a  b\n c", "", " it's  12", "a  b\n c"]
+    for text, ids in zip(texts, cut(*token_files.WordEncoder(file).encode(texts, 2))):
+        assert ids.tolist() == [*Tokenizer.from_file(file).encode(text, add_special_tokens=False).ids, 2]
+
+
 def test_words_are_cut_as_the_library_cuts_them():
     from tokenizers import Tokenizer
 
@@ -286,7 +313,7 @@ def test_words_are_cut_as_the_library_cuts_them():
     tokenizer.encode_special_tokens = True
     letters = [chr(c) for c in range(0x21, 0x250)] + list("'''sStTrReEvVmMlLdDabc012  \n")
     texts = ["".join(random.choice(letters) for _ in range(random.randint(1, 30))) for _ in range(4000)]
-    for text, ids in zip(texts, encoder.encode(texts, 2)):
+    for text, ids in zip(texts, cut(*encoder.encode(texts, 2))):
         assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], repr(text)
 
 
