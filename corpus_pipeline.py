@@ -16,6 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from dayloom.functions.once import compute_once
 from dayloom.llm import bpe, jaccard_join, mixing, quality, substring_dedup
 from dayloom.llm.common import named, table, written
 
@@ -27,7 +28,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that pass the base checks and the likelihood ratio."""
     judged = quality.quality_rules(docs, table(spark, sf_dir, "labels"), keep=tuple(docs.columns))
     rows = judged.toDF(*(f"_{i}" for i in range(len(docs.columns))), "verdict")
-    return rows.where("verdict.kept").drop("verdict").toDF(*docs.columns)
+    # Behind a generator: a filter on the verdict itself would take in a copy of the whole computation for each use.
+    once = compute_once(rows, {"kept": F.col("verdict.kept")})
+    return once.where("kept").drop("kept", "verdict").toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
