@@ -28,8 +28,9 @@ from dayloom.llm.common import named, written
 
 #: Pairs are keyed ``left * SIDE + right`` and dealt to a prime number of buckets.
 RANK_BUCKETS, SIDE = 131071, 1 << 20
-#: Rank of a pair that no token joins.
-NEVER = 1 << 30
+#: Rank of a pair that no token joins, and the bit from which a piece's number holds its rank: ids and
+#: ranks have 20 bits, places in a word 23.
+NEVER, RANK_AT = SIDE - 1, 43
 #: Most words whose ids are folded ahead, and the longest of them in bytes: a few MB per task.
 KNOWN_WORDS, KNOWN_BYTES, WORD_BUCKETS = 1 << 16, 32, 1 << 16
 
@@ -120,9 +121,11 @@ class Vocabulary:
                     key = left * SIDE + right
                     pairs.append((key % RANK_BUCKETS, key, rank))
         singles = [ranks[bytes([b])] for b in range(256)]
+        pairs_of_bytes = [ranks.get(bytes((a, b)), NEVER) for a in range(256) for b in range(256)]
         pieces = [(rank, token.hex()) for token, rank in ranks.items()]
         self._tables = {
             "rank": _packed(spark.createDataFrame(pairs, "bucket int, key long, id int"), RANK_BUCKETS, "key", "id"),
+            "first": spark.range(1).select(F.from_json(F.lit(json.dumps(pairs_of_bytes)), "array<int>")),
             "bytes": spark.range(1).select(F.from_json(F.lit(json.dumps(singles)), "array<int>")),
             "pieces": spark.range(max(ranks.values()) + 1).select(F.col("id").cast("int").alias("rank")).join(
                 spark.createDataFrame(pieces, "rank int, hex string"), "rank", "left"
@@ -154,38 +157,45 @@ class Vocabulary:
     @staticmethod
     def rank(t: dict, left: Column, right: Column) -> Column:
         """The rank of two neighbours joined, or ``NEVER``."""
-
-        def found(key):
-            at = F.pmod(key, F.lit(RANK_BUCKETS)).cast("int")
-            return F.get(F.get(t["id"], at), (F.array_position(F.get(t["key"], at), key) - 1).cast("int"))
-
-        return F.coalesce(_let(left.cast("long") * SIDE + right, found), F.lit(NEVER))
+        key = left * SIDE + right
+        at = F.pmod(key, F.lit(RANK_BUCKETS)).cast("int")
+        return F.coalesce(F.get(F.get(t["id"], at), (F.array_position(F.get(t["key"], at), key) - 1).cast("int")), F.lit(NEVER))
 
     @classmethod
     def fold(cls, t: dict, word: Column) -> Column:
-        """Ids of one word given as bytes."""
+        """Ids of one word given as bytes.
+
+        A piece is one number: its rank with the piece after it, its place, its id. The least number is
+        the leftmost pair of least rank. A piece that joins nothing stands at each end.
+        """
         size = F.octet_length(word)
+        of = lambda rank, rest: F.shiftleft(rank.cast("long"), RANK_AT) + rest
+        token = lambda x: x.bitwiseAND(F.lit(SIDE - 1))
+        end = F.array(of(F.lit(NEVER), F.lit(SIDE - 1).cast("long")))
         # Each byte as the character of that number.
-        letters = F.transform(F.split(F.decode(word, "ISO-8859-1"), ""), lambda c: F.get(t["bytes"], F.ascii(c)))
-        # A state: the ids so far, the rank of each with its right neighbour, and the least of these.
-        state = lambda p, r: F.struct(p.alias("p"), r.alias("r"), F.coalesce(F.array_min(r), F.lit(NEVER)).alias("least"))
-        start = _let(letters, lambda p: _let(
-            F.transform(F.slice(p, F.lit(2), F.size(p)), lambda x, i: cls.rank(t, F.get(p, i), x)), lambda r: state(p, r)))
-        none = F.array().cast("array<int>")
+        letters = F.transform(F.split(F.decode(word, "ISO-8859-1"), ""), lambda c: F.ascii(c))
+        first = lambda b, i, each: of(F.coalesce(F.get(t["first"], b * 256 + F.get(each, i + 1)), F.lit(NEVER)),
+                                      i.cast("long") * SIDE + F.get(t["bytes"], b))
+        start = _let(letters, lambda each: F.concat(end, F.transform(each, lambda b, i: first(b, i, each)), end))
+        state = lambda x: F.struct(x.alias("x"), F.array_min(x).alias("least"))
 
         def merge(s, _):
-            p, r, new = s["p"], s["r"], s["least"]
+            x, least = s["x"], s["least"]
+            new = F.shiftright(least, RANK_AT)
 
             def at(m):
-                ids = F.concat(F.slice(p, F.lit(1), m - 1), F.array(new), F.slice(p, m + 2, F.size(p)))
-                left = F.when(m > 1, F.concat(F.slice(r, F.lit(1), m - 2), F.array(cls.rank(t, F.get(p, m - 2), new)))).otherwise(none)
-                right = F.when(m < F.size(r), F.concat(F.array(cls.rank(t, new, F.get(p, m + 1))), F.slice(r, m + 2, F.size(r)))).otherwise(none)
-                return _let(F.concat(left, right), lambda ranks: state(ids, ranks))
+                before, after = F.get(x, m - 2), F.get(x, m + 1)
+                rest = lambda v: v.bitwiseAND(F.lit((1 << RANK_AT) - 1))
+                joined = of(cls.rank(t, new, token(after)), rest(least) - token(least) + new)
+                return F.concat(F.slice(x, F.lit(1), m - 2), F.array(of(cls.rank(t, token(before), new), rest(before)), joined),
+                                F.slice(x, m + 2, F.size(x)))
 
-            return F.when(new == NEVER, s).otherwise(_let(F.array_position(r, new).cast("int"), at))
+            return F.when(new == NEVER, s).otherwise(_let(_let(F.array_position(x, least).cast("int"), at), state))
 
-        folded = F.aggregate(F.sequence(F.lit(2), size), start, merge, lambda s: s["p"])
-        return F.when(size == 0, none).when(size == 1, letters).otherwise(folded)
+        none = F.array().cast("array<int>")
+        told = lambda s: F.transform(F.slice(s["x"], F.lit(2), F.size(s["x"]) - 2), lambda v: token(v).cast("int"))
+        folded = F.aggregate(F.sequence(F.lit(1), size), _let(start, state), merge, told)
+        return F.when(size == 0, none).otherwise(folded)
 
     @classmethod
     def look_up(cls, t: dict, word: Column) -> Column:
@@ -222,7 +232,7 @@ def known_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str
     top = written(counts.where("n > 1").orderBy(F.desc("n"), "word").limit(rows).select("word"), "bpe-top")
     # Dealt anew after the limit, so that all cores fold.
     folded = vocabulary.applied(
-        top.repartition(F.xxhash64("word")), lambda t: vocabulary.fold(t, F.col("word").cast("binary")), "rank", "bytes")
+        top.repartition(F.xxhash64("word")), lambda t: vocabulary.fold(t, F.col("word").cast("binary")), "rank", "first", "bytes")
     return written(folded.select("word", F.col("_told").alias("ids")), "bpe-words")
 
 
@@ -238,5 +248,5 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
         ids = F.flatten(F.transform(text_words(F.col("_text"), pattern), lambda w: vocabulary.look_up(t, w)))
         return _let(ids, lambda i: F.struct(i.alias("ids"), vocabulary.decode(t, i).alias("decoded")))
 
-    encoded = vocabulary.applied(ready, told, "rank", "bytes", "words", "pieces")
+    encoded = vocabulary.applied(ready, told, "rank", "first", "bytes", "words", "pieces")
     return encoded.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), F.col("_told").alias("bpe"))
