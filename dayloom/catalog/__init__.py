@@ -9,6 +9,7 @@ from dayloom.catalog import (  # noqa: F401
     quality,
     series,
     streams,
+    updates,
 )
 from dayloom.catalog.registry import ORACLES, QUERIES
 
