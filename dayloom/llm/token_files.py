@@ -29,12 +29,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SCHEMA = "part int, doc_id long, start_in_part long, n_tokens long, ids array<int>"
-#: Words and pieces that a worker remembers, each of at most so many characters: some 150 MB.
-KNOWN_WORDS, KNOWN_PIECES, KNOWN_CHARS = 300_000, 600_000, 40
+#: Pieces and words that a worker remembers, each of at most so many characters: some 100 MB.
+KNOWN_WORDS, KNOWN_CHARS = 500_000, 40
 # Letters and numbers below U+0180, and the tokenizer's pieces of such text.
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
 NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
-PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}]+")
+PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\s{LETTERS}{NUMBERS}]+")
 #: Words of such characters are in normal form, and lower-cased character by character they
 #: stay among them; U+0130, which does not, is left out.
 PLAIN = re.compile("[\x00-\u012f\u0131-\u017f]+")
@@ -64,12 +64,12 @@ class _Words(dict):
 
 
 class WordEncoder:
-    """Encodes texts word by word and words piece by piece, each new piece once.
+    """Encodes texts piece by piece, each new piece once.
 
-    The tokenizer drops white space and none of its pieces crosses it, so a text's ids are its
-    words' ids one after the other. Words of plain letters are cut into the tokenizer's own
-    pieces after lower-casing; any other word is encoded as it is. What a worker remembers is
-    bounded and changes no result. Texts that hold an added token are encoded whole, and so are all
+    The tokenizer drops white space and none of its pieces crosses it. Texts of plain letters are
+    lower-cased and cut into the tokenizer's own pieces; of others, words of plain letters
+    are, and any other word is encoded as it is. Pieces are numbered, and a text's ids are gathered by number. What a worker
+    remembers is bounded and changes no result. Texts that hold an added token are encoded whole, and so are all
     texts where the file's normalizer or pre-tokenizer is not the one these cuts stand for.
     """
 
@@ -85,7 +85,6 @@ class WordEncoder:
             told = json.load(source)
         if told.get("normalizer") != NORMALIZER or told.get("pre_tokenizer") != PRE_TOKENIZER:
             self._whole = ("",)
-        self._pieces: dict[str, bytes] = {}
         self._words = _Words()
         self._ends: int | None = None
         # Ids of all numbered words, one after the other, and where each word's begin.
@@ -95,21 +94,23 @@ class WordEncoder:
         """Little-endian 32-bit ids of each text."""
         return [np.array(e.ids, "<i4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _told(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words that are new."""
-        pieces = {w: PIECE.findall(w.lower()) if PLAIN.fullmatch(w) else [w] for w in words}
-        new = list(set().union(*pieces.values()).difference(self._pieces))
-        found = dict(zip(new, self._ids(new)))
-        if len(self._pieces) < KNOWN_PIECES:
-            self._pieces.update((p, i) for p, i in found.items() if len(p) <= KNOWN_CHARS)
-        known = self._pieces
-        return {w: b"".join([known[p] if p in known else found[p] for p in ps]) for w, ps in pieces.items()}
+    def _cut(self, text: str) -> list:
+        """Pieces and words of a text in order; a text to encode whole is a tuple."""
+        if any(c in text for c in (*NOT_SPACE, *self._whole)):
+            return [(text,)]
+        if PLAIN.fullmatch(text):
+            return PIECE.findall(text.lower())
+        out = []
+        for word in text.split():
+            # A word that is not plain is no piece of a plain one, so both may be keys.
+            out += PIECE.findall(word.lower()) if PLAIN.fullmatch(word) else [word]
+        return out
 
     def _number(self, words: list) -> None:
-        """Appends the ids of words that were numbered last; a tuple holds a text to encode whole."""
-        told = self._told([w for w in words if isinstance(w, str)])
+        """Appends the ids of what was numbered last; None is the end of a text."""
+        told = iter(self._ids([w if isinstance(w, str) else w[0] for w in words if w is not None]))
         last = np.array([self._ends], "<i4").tobytes()
-        ids = [told[w] if isinstance(w, str) else last if w is None else self._ids([w[0]])[0] for w in words]
+        ids = [last if w is None else next(told) for w in words]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         self._flat = np.concatenate((self._flat, np.frombuffer(b"".join(ids), "<i4")))
         self._starts = np.concatenate((self._starts, self._starts[-1] + np.cumsum(sizes)))
@@ -121,10 +122,7 @@ class WordEncoder:
         every, counts = [], []
         for t in texts:
             before = len(every)
-            if any(c in t for c in (*NOT_SPACE, *self._whole)):
-                every.append((t,))
-            else:
-                every += t.split()
+            every += self._cut(t)
             every.append(None)
             counts.append(len(every) - before)
         known = self._words
