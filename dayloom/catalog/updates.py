@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,10 +19,13 @@ from dayloom.functions import number_or_null, within_lookback
 from dayloom.session import scratch_path
 from dayloom.sources.json_scan import read_json_array
 from dayloom.sources.parts import merge_parts, month_of, read_parts
-from dayloom.sources.tables import register_view
+from dayloom.sources.tables import VALID_FLAG, register_view
+from dayloom.streaming.staging import Staging
 
 #: Days of late corrections that the updates bring.
 LATE = 90
+#: Days that count as new in the freshness query.
+WEEK = 7
 
 NEWEST = """
     SELECT CAST(o_orderdate AS DATE) AS date, {columns} FROM orders WHERE {where}
@@ -178,6 +183,30 @@ def json_array_scan(spark, folder):
     return rows.select("event_id", "event_type", number_or_null("value").alias("value"), F.col("more.note").alias("note"))
 
 
+@query(
+    "staging_freshness",
+    f"""
+    SELECT event_id, ts, (SELECT count(*) FROM events WHERE value >= 10 AND ts > (
+             SELECT max(ts) FROM events WHERE value >= 10) - INTERVAL {WEEK} DAY) AS new_rows
+    FROM events WHERE value >= 10
+    """,
+)
+def staging_freshness(spark, folder):
+    """Batches of three days, compacted on the way; new rows are counted from the batches' figures."""
+    events = table(spark, folder, "events").withColumn(VALID_FLAG, F.coalesce(F.col("value") >= 10, F.lit(False)))
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType())])
+    staging = Staging(spark, scratch_path(spark, "staging"), schema, "ts")
+    for number in range(11):
+        some = F.floor((F.dayofmonth("ts") - 1) / 3) == number
+        staging.write_batch(events.filter(some).select("event_id", "ts", VALID_FLAG), number)
+        if number % 4 == 3:
+            staging.compact()
+    staging.vacuum()
+    newest = staging.newest().first()["baseline"]
+    counted = staging.new_rows(newest - dt.timedelta(days=WEEK)).first()["new_rows"]
+    return staging.read().withColumn("new_rows", F.lit(counted).cast("bigint"))
+
+
 @query(
     "view_read_back",
     "SELECT o_orderstatus AS status, year(o_orderdate) AS year, count(*) AS n FROM orders GROUP BY ALL",

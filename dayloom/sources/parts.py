@@ -25,8 +25,8 @@ _NAMED = 16
 _UNNAMED = "__HIVE_DEFAULT_PARTITION__"
 
 
-class _Files:
-    """The few file operations a swap needs, on whatever file system holds the table."""
+class Files:
+    """The few file operations that tables need, on whatever file system holds the table."""
 
     def __init__(self, spark: SparkSession, root: str):
         self._jvm, self.root = spark._jvm, root.rstrip("/")
@@ -75,7 +75,7 @@ class _Files:
 
 def finish_swap(spark: SparkSession, path: str) -> None:
     """Ends a swap that was cut off; nothing to do otherwise."""
-    files = _Files(spark, path)
+    files = Files(spark, path)
     if not files.exists(_JOURNAL):
         return
     job = json.loads(files.read(_JOURNAL))
@@ -102,7 +102,7 @@ def _folder(spark: SparkSession, part: str, value) -> str:
 def read_parts(spark: SparkSession, path: str, schema: T.StructType, part: str, values: list | None = None) -> DataFrame:
     """The table, or those parts of it, of which a few are named to Spark so that others are not even listed."""
     finish_swap(spark, path)
-    files = _Files(spark, path)
+    files = Files(spark, path)
     wanted = files.names() if values is None else [_folder(spark, part, v) for v in values]
     found = [n for n in wanted if n.startswith(f"{part}=") and (values is None or files.exists(n))]
     if not found:
@@ -130,7 +130,7 @@ def replace_parts(df: DataFrame, path: str, part: str, values: list) -> None:
     """
     spark = df.sparkSession
     finish_swap(spark, path)
-    files, job = _Files(spark, path), uuid.uuid4().hex
+    files, job = Files(spark, path), uuid.uuid4().hex
     staged = f"{_STAGED}-{job}"
     # Few files for each part; adaptive execution splits a part of very many rows.
     df.hint("rebalance", part).write.partitionBy(part).parquet(f"{path}/{staged}")
@@ -163,7 +163,7 @@ def merge_parts(spark: SparkSession, path: str, source: DataFrame, keys: list[st
 def clear_leftovers(spark: SparkSession, path: str) -> list[str]:
     """Removes what jobs that failed have left beside the table; no writer may be running."""
     finish_swap(spark, path)
-    files = _Files(spark, path)
+    files = Files(spark, path)
     gone = [n for n in files.names() if n.startswith((f"{_STAGED}-", f"{_OLD}-", f"{_JOURNAL}."))]
     for name in gone:
         files.remove(name)
@@ -172,13 +172,13 @@ def clear_leftovers(spark: SparkSession, path: str) -> list[str]:
 
 def set_current(spark: SparkSession, path: str, target: str) -> None:
     """Points the name ``path`` at a folder; readers see the folder before or this one."""
-    files = _Files(spark, path)
+    files = Files(spark, path)
     files.write("CURRENT", json.dumps({"target": target}))
 
 
 def current(spark: SparkSession, path: str) -> str | None:
     """The folder that ``path`` points at, if any."""
-    files = _Files(spark, path)
+    files = Files(spark, path)
     return json.loads(files.read("CURRENT"))["target"] if files.exists("CURRENT") else None
 
 

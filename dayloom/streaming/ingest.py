@@ -11,6 +11,7 @@ from dayloom.operators.quality import INVALID_DATE
 from dayloom.schemas import FeedSpec
 from dayloom.sources.messages import decode_payload, to_staging_row
 from dayloom.sources.tables import VALID_FLAG, table_exists
+from dayloom.streaming.staging import Staging
 
 
 def read_feed_stream(
@@ -83,54 +84,41 @@ def ingest_feed(
     """Message stream (column ``value``) to a staging table with a quarantine side.
 
     Each batch is decoded once and written to its own folder, split by the flag. A batch
-    that is run again replaces its folder, so rows are neither lost nor doubled.
+    that is run again replaces its folder, so rows are neither lost nor doubled. ``staging_table``
+    compacts the folders of past batches, also while the query runs.
     """
     _require_table(spark, path)
     text = messages.select(*keep, F.col("value").cast("string").alias("message"))
     staged = stage_messages(decode_payload(text, "message", feed.wire_schema), feed, keep)
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(VALID_FLAG)
-            .parquet(f"{path}/batch_id={batch_id}")
-        )
-
+    staging = staging_table(spark, path, feed, T.StructType([messages.schema[k] for k in keep]))
     return (
-        staged.writeStream.foreachBatch(write_batch)
+        staged.writeStream.foreachBatch(staging.write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or BACKLOG))
         .start()
     )
 
 
+_REJECTED = [T.StructField("message", T.StringType()), T.StructField("errors", T.StringType())]
+
+
+def staging_table(spark: SparkSession, path: str, feed: FeedSpec, keep: T.StructType = T.StructType()) -> Staging:
+    """What ``ingest_feed`` writes to: batches, their compaction and their figures."""
+    return Staging(spark, path, T.StructType([*keep.fields, *feed.staging_schema.fields, *_REJECTED]))
+
+
 def read_staged(
     spark: SparkSession, path: str, feed: FeedSpec, keep: T.StructType = T.StructType()
 ) -> DataFrame:
     """Rows that ``ingest_feed`` has accepted."""
-    schema = T.StructType([*keep.fields, *feed.staging_schema.fields])
-    return _staged(spark, path, schema, True).select(*schema.fieldNames())
+    names = [*keep.fieldNames(), *feed.staging_schema.fieldNames()]
+    return staging_table(spark, path, feed, keep).read(True).select(*names)
 
 
 def read_rejected(
     spark: SparkSession, path: str, keep: T.StructType = T.StructType()
 ) -> DataFrame:
     """Messages that ``ingest_feed`` has set aside, with the reason."""
-    schema = T.StructType(
-        [
-            *keep.fields,
-            T.StructField("message", T.StringType()),
-            T.StructField("errors", T.StringType()),
-        ]
-    )
-    return _staged(spark, path, schema, False).select(*schema.fieldNames())
-
-
-def _staged(spark: SparkSession, path: str, schema: T.StructType, valid: bool) -> DataFrame:
-    partitions = [
-        T.StructField("batch_id", T.LongType()),
-        T.StructField(VALID_FLAG, T.BooleanType()),
-    ]
-    table = spark.read.schema(T.StructType([*schema.fields, *partitions]))
-    return table.option("basePath", path).parquet(path).filter(F.col(VALID_FLAG) == F.lit(valid))
+    schema = T.StructType([*keep.fields, *_REJECTED])
+    return Staging(spark, path, schema).read(False).select(*schema.fieldNames())

@@ -76,7 +76,7 @@ def test_a_job_that_fails_leaves_the_table_whole(spark, tmp_path):
 def test_a_swap_that_was_cut_off_is_finished(spark, tmp_path, monkeypatch, moves):
     path = table(spark, str(tmp_path / "t"), 120)
     source = rows(spark, 120, 3.0).filter("month in ('2010-01', '2010-02', '2010-04')").select(SCHEMA.fieldNames())
-    real, left = parts._Files.move, [moves]
+    real, left = parts.Files.move, [moves]
 
     def cut(self, name, to):
         if left[0] == 0:
@@ -84,13 +84,13 @@ def test_a_swap_that_was_cut_off_is_finished(spark, tmp_path, monkeypatch, moves
         left[0] -= 1
         real(self, name, to)
 
-    monkeypatch.setattr(parts._Files, "move", cut)
+    monkeypatch.setattr(parts.Files, "move", cut)
     if moves < 6:
         with pytest.raises(RuntimeError):
             parts.replace_parts(source, path, "month", ["2010-01", "2010-02", "2010-04"])
     else:
         parts.replace_parts(source, path, "month", ["2010-01", "2010-02", "2010-04"])
-    monkeypatch.setattr(parts._Files, "move", real)
+    monkeypatch.setattr(parts.Files, "move", real)
     got = parts.read_parts(spark, path, SCHEMA, "month")
     assert got.count() == 120 and got.filter("v = 3").count() == 89 and got.filter("v = 1").count() == 31
     assert sorted(n for n in os.listdir(path) if not n.startswith(("month=", "."))) == []
