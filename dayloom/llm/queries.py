@@ -23,7 +23,7 @@ from dayloom.llm import (
     toxicity,
     url_filter,
 )
-from dayloom.llm.common import table, written
+from dayloom.llm.common import LOWER, UPPER, table, written
 from dayloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -239,13 +239,107 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
                          (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
-@query("op12_merkle_manifest")
+#: CRC-32 in SQL: the table of its fixed polynomial, and the fold over the bytes of a number's decimal text.
+SQL_CRC_TABLE = """list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)),
+  lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END))"""
+SQL_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))),
+  lambda c, b: xor(c >> 8, crc[1 + (xor(c, b) & 255)])))"""
+#: Levels that the SQL spells out: enough for 8^7 rows of a language and 8^3 languages.
+SQL_LEVELS, SQL_TOP_LEVELS = 7, 3
+
+
+def _sql_levels(name: str, count: int) -> str:
+    """Nodes of each level with their siblings, from the nodes ``{name}0``; a tree of one node stays as it is."""
+    out = []
+    for k in range(count):
+        run = "PARTITION BY tree, idx // 8 ORDER BY idx ROWS BETWEEN"
+        out.append(f"""
+        {name}_s{k} AS (
+          SELECT *, count(*) OVER (PARTITION BY tree) AS n,
+                 coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS lft,
+                 coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS rgt FROM {name}{k}),
+        {name}{k + 1} AS (
+          SELECT tree, idx // 8 AS idx, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY idx)) ELSE any_value(h) END AS h
+          FROM {name}_s{k} GROUP BY tree, idx // 8)""")
+    return ",".join(out)
+
+
+def _sql_fold(name: str, start: str, count: int, rows: str, tree: str, idx: str) -> str:
+    """Adds ``cur`` and ``proof`` of each row, level by level."""
+    out, last = [], start
+    for k in range(count):
+        now = f"{rows}_{k}"
+        out.append(f"""
+        {now} AS (
+          SELECT f.* REPLACE (CASE WHEN s.n > 1 THEN sha256(s.lft || cur || s.rgt) ELSE cur END AS cur,
+                              CASE WHEN s.n > 1 THEN proof || s.lft || s.rgt ELSE proof END AS proof)
+          FROM {last} f JOIN {name}_s{k} s ON s.tree = f.{tree} AND s.idx = f.{idx} // {8**k})""")
+        last = now
+    return ",".join(out)
+
+
+def _sql_field(name: str, value: str | None = None) -> str:
+    value = value or f"CAST({name} AS VARCHAR)"
+    return f"coalesce(octet_length(encode({value})) || ':' || {value}, '-')"
+
+
+_SQL_LOW = f"translate(text, '{UPPER}', '{LOWER}')"
+_SQL_LEAF = " || ".join(_sql_field(f) for f in merkle.FIELDS)
+_SQL_ALTERED = " || ".join(_sql_field(f, _SQL_LOW if f == "text" else None) for f in merkle.FIELDS)
+OP12_SQL = f"""
+WITH hashed AS (
+  SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree, sha256({_SQL_LEAF}) AS leaf,
+         CASE WHEN {SQL_CRC} % 3 = 0 THEN sha256({_SQL_ALTERED}) ELSE sha256({_SQL_LEAF}) END AS cur
+  FROM documents, (SELECT {SQL_CRC_TABLE} AS crc)),
+told AS (
+  SELECT *, '' AS proof, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, cur) - 1 AS idx FROM hashed),
+a0 AS (SELECT tree, idx, leaf AS h FROM told),{_sql_levels("a", SQL_LEVELS)},
+subroots AS (SELECT tree AS lang, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place FROM a{SQL_LEVELS}),
+b0 AS (SELECT '' AS tree, place AS idx, subroot AS h FROM subroots),{_sql_levels("b", SQL_TOP_LEVELS)},
+{_sql_fold("a", "told", SQL_LEVELS, "up", "tree", "idx")},
+placed AS (SELECT u.*, subroot, place, '' AS whole FROM up_{SQL_LEVELS - 1} u JOIN subroots s ON s.lang = u.tree),
+{_sql_fold("b", "placed", SQL_TOP_LEVELS, "over", "whole", "place")}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified
+FROM over_{SQL_TOP_LEVELS - 1}, (SELECT h AS root FROM b{SQL_TOP_LEVELS})
+"""
+
+
+@query("op12_merkle_manifest", OP12_SQL)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
     told = merkle.manifest(table(spark, folder, "documents"), tampered)
     return told.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
-@query("op13_collocations")
+OP13_SQL = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+spots AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces)),
+f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM spots, (VALUES (1), (2), (3)) t(k) WHERE i + k - 1 <= len(w) GROUP BY ALL),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS s FROM f WHERE k > 1 AND f >= 10),
+longer AS (
+  SELECT lang, phrase, max(a) AS most FROM (
+    SELECT lang, array_to_string(s[1:2], ' ') AS phrase, a FROM candidates WHERE k = 3
+    UNION ALL SELECT lang, array_to_string(s[2:3], ' '), a FROM candidates WHERE k = 3) GROUP BY ALL),
+kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN longer m ON m.lang = c.lang AND m.phrase = c.phrase AND c.k = 2
+  WHERE most IS NULL OR 100 * most < 50 * a),
+cuts AS (
+  SELECT c.lang, c.phrase, a, j, l.f AS l, r.f AS r, CAST((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM kept) c
+  JOIN f l ON l.lang = c.lang AND l.k = j AND l.phrase = array_to_string(s[1:j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.k = c.k - j AND r.phrase = array_to_string(s[j + 1:c.k], ' ')),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM ranked JOIN (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY 1) USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op13_collocations", OP13_SQL)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
