@@ -217,13 +217,48 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.document_digests(spark, path)
 
 
-@query("op10_substring_dedup")
+SQL_LIST = r"regexp_extract_all(coalesce({0}, ''), '[^\x20\x09-\x0D]+')"
+OP10_SQL = f"""
+WITH texts AS (SELECT doc_id, {SQL_LIST.format("text")} AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS g FROM (SELECT *, unnest(range(1, len(w) - 18)) AS i FROM texts)),
+later AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+spots AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM texts),
+kept AS (
+  SELECT doc_id, count(g.i) AS removed, string_agg(word, ' ' ORDER BY s.i) FILTER (g.i IS NULL) AS text
+  FROM spots s LEFT JOIN gone g USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op10_substring_dedup", OP10_SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     left = substring_dedup.remove_repeats(table(spark, folder, "documents"))
     return left.select("doc_id", "dedup.n_words", "dedup.n_removed", F.sha2("dedup.kept", 256).alias("kept_sha256"))
 
 
-@query("op6_jaccard_join")
+OP6_SQL = f"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, {SQL_LIST.format(f"translate(text, '{UPPER}', '{LOWER}')")} AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s FROM texts),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n + y.n) AS total, count(*) AS shared
+  FROM items x JOIN items y ON x.g = y.g AND x.doc_id < y.doc_id AND 100 * least(x.n, y.n) >= 90 * greatest(x.n, y.n) GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs WHERE 100 * shared >= 90 * (total - shared) UNION ALL SELECT b, a FROM pairs WHERE 100 * shared >= 90 * (total - shared)),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, least(min(other), doc_id) AS component_id
+FROM sets JOIN reach USING (doc_id) GROUP BY doc_id, s
+"""
+
+
+@query("op6_jaccard_join", OP6_SQL)
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     linked = jaccard_join.near_duplicates(table(spark, folder, "documents"), size=3, percent=90)
     return linked.select("doc_id", "n_shingles", "component_id")
