@@ -121,11 +121,14 @@ class Vocabulary:
                     key = left * SIDE + right
                     pairs.append((key % RANK_BUCKETS, key, rank))
         singles = [ranks[bytes([b])] for b in range(256)]
-        pairs_of_bytes = [ranks.get(bytes((a, b)), NEVER) for a in range(256) for b in range(256)]
+        pairs_of_bytes = [(256 * token[0] + token[1], rank) for token, rank in ranks.items() if len(token) == 2]
         pieces = [(rank, token.hex()) for token, rank in ranks.items()]
         self._tables = {
             "rank": _packed(spark.createDataFrame(pairs, "bucket int, key long, id int"), RANK_BUCKETS, "key", "id"),
-            "first": spark.range(1).select(F.from_json(F.lit(json.dumps(pairs_of_bytes)), "array<int>")),
+            # Made by Spark: as a literal of text the table would be copied with every step of the plan.
+            "first": spark.range(1 << 16).select(F.col("id").cast("int").alias("pair")).join(
+                spark.createDataFrame(pairs_of_bytes, "pair int, rank int"), "pair", "left"
+            ).agg(F.transform(F.sort_array(F.collect_list(F.struct("pair", "rank"))), lambda x: x["rank"])),
             "bytes": spark.range(1).select(F.from_json(F.lit(json.dumps(singles)), "array<int>")),
             "pieces": spark.range(max(ranks.values()) + 1).select(F.col("id").cast("int").alias("rank")).join(
                 spark.createDataFrame(pieces, "rank int, hex string"), "rank", "left"
