@@ -47,7 +47,7 @@ def test_entry(spark):
 
 BUILT_WITH_PYTHON = {
     "ridge_fit", "ridge_predict", "forecast_horizon", "backtest_join", "mape_metric", "ridge_full",
-    "ridge_by_key", "guarded_train", "ridge_incremental", "json_array_scan",
+    "ridge_by_key", "guarded_train", "ridge_incremental", "json_array_scan", "daily_incremental",
 }
 
 
