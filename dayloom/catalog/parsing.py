@@ -28,7 +28,8 @@ from dayloom.schemas import OBSERVATION_DOCUMENT, FeedSpec
 from dayloom.session import scratch_path
 from dayloom.sources.documents import explode_records, latest_observation, unpivot_json_maps
 from dayloom.sources.lines import NO_SEPARATOR, parse_csv_line, parse_plain_line, read_lines
-from dayloom.sources.markup import dated_prices, extract_markup_rows, markup_latest_row
+from dayloom.sources.markup import dated_prices, extract_markup_rows, markup_latest_row, require_rows
+from dayloom.sources.markup_depth import count_rows, extract_nested_rows
 from dayloom.sources.messages import build_envelope, decode_payload, encode_messages
 
 
@@ -189,6 +190,55 @@ def markup_row_extract(spark, folder):
     return rows.select("page_id", "row_no", F.get("cells", F.lit(0)).alias("first_cell"))
 
 
+@query(
+    "markup_nested_rows",
+    """
+    WITH lines AS (
+      SELECT l_orderkey, string_agg(l_linestatus || CAST(l_linenumber AS VARCHAR), '' ORDER BY l_linenumber, l_linestatus) AS inner_text,
+             count(*) AS n_lines
+      FROM lineitem GROUP BY 1)
+    SELECT o_orderkey, CAST(0 AS INTEGER) AS row_no, CAST(o_orderdate AS DATE) AS date, o_totalprice AS price,
+           coalesce(inner_text, '') AS inner_text, coalesce(n_lines, 0) AS n_inner, CAST(2 AS BIGINT) AS found
+    FROM orders LEFT JOIN lines ON l_orderkey = o_orderkey
+    """,
+)
+def markup_nested_rows(spark, folder):
+    """Orders as pages: a cell holds a table of the lines, end tags are partly left out, a second row is short."""
+    lines = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
+        F.array_join(
+            F.transform(
+                F.array_sort(F.collect_list(F.struct("l_linenumber", "l_linestatus"))),
+                lambda r: F.concat(F.lit("<tr><td>"), r["l_linestatus"], r["l_linenumber"].cast("string"), F.lit("</td></tr>")),
+            ),
+            "",
+        ).alias("inner")
+    )
+    orders = table(spark, folder, "orders")
+    # Rows of status P leave out the end tags of cells, those of status F that of the row.
+    end = F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.lit("</td>"))
+    cell = lambda c: F.concat(F.lit("<td>"), c, end)
+    page = F.concat(
+        F.lit('<!-- <tr id="table_0"> --><table id="table_1"><tbody><tr id="table_1_row_0">'),
+        cell(F.col("o_orderkey").cast("string")),
+        cell(F.date_format("o_orderdate", "dd/MM/yyyy")),
+        cell(F.concat(F.lit("<table><tbody>"), F.coalesce("inner", F.lit("")), F.lit("</tbody></table>"))),
+        cell(F.lit(" ")),
+        cell(F.lit(" ")),
+        cell(F.concat(F.lit("<b>"), F.format_number("o_totalprice", 2), F.lit("</b>"))),
+        F.when(F.col("o_orderstatus") == "F", F.lit("")).otherwise(F.lit("</tr>")),
+        F.lit("<tr id='table_1_row_1'><td>short</td></tr></tbody></table>"),
+    )
+    pages = orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left").select("o_orderkey", page.alias("html"))
+    found = require_rows(count_rows(pages, "html", keep=("o_orderkey",)), "found")
+    own = extract_nested_rows(pages, "html", keep=("o_orderkey",))
+    every = extract_nested_rows(pages, "html", nested_cells=True, keep=("o_orderkey",)).select(
+        "o_orderkey", (F.size("cells") - 6).cast("long").alias("n_inner")
+    )
+    dated = dated_prices(own, ("o_orderkey",)).drop("row_no")
+    inner = own.select("o_orderkey", "row_no", F.element_at("cells", 3).alias("inner_text"))
+    return dated.join(inner, "o_orderkey").join(every, "o_orderkey").join(found, "o_orderkey")
+
+
 @query(
     "markup_latest_row",
     """

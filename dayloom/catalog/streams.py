@@ -18,6 +18,7 @@ from dayloom.streaming.ingest import (
     read_staged,
 )
 from dayloom.streaming.merge import upsert_stream
+from dayloom.streaming.newest import upsert_newest
 
 FEED = FeedSpec("events", ("value",))
 ID = T.StructType([T.StructField("event_id", T.LongType())])
@@ -109,26 +110,31 @@ def stream_decode_quarantine(spark, folder):
     return good.unionByName(bad, allowMissingColumns=True)
 
 
-@query(
-    "stream_upsert_latest",
-    """
-    WITH dated AS (
-      SELECT event_type, CASE WHEN event_id % 97 <> 0 THEN CAST(ts AS DATE) END AS date, event_id, ts, value
-      FROM events)
-    SELECT * FROM dated
-    QUALIFY row_number() OVER (PARTITION BY event_type, date ORDER BY ts DESC, event_id DESC) = 1
-    """,
-)
-def stream_upsert_latest(spark, folder):
+def shuffled_arrivals(spark, folder):
+    """All events in several micro-batches, in no order of time."""
     landing = scratch_path(spark, "landing")
     files = max(MIN_BATCHES, spark.sparkContext.defaultParallelism)
     table(spark, folder, "events").repartition(files, "event_id").write.parquet(landing)
     arrivals = read_feed_stream(spark, landing, EVENTS, "parquet", -(-files // MIN_BATCHES))
     # Some arrivals have no date; they share the part without a name.
     day = F.when(F.col("event_id") % 97 != 0, F.to_date("ts"))
-    rows = arrivals.select(
+    return arrivals.select(
         "event_type", day.alias("date"), "event_id", "ts", "value", F.date_format(day, "yyyy-MM").alias("month")
     )
+
+
+LATEST = """
+    WITH dated AS (
+      SELECT event_type, CASE WHEN event_id % 97 <> 0 THEN CAST(ts AS DATE) END AS date, event_id, ts, value
+      FROM events)
+    SELECT * FROM dated
+    QUALIFY row_number() OVER (PARTITION BY event_type, date ORDER BY ts DESC, event_id DESC) = 1
+    """
+
+
+@query("stream_upsert_latest", LATEST)
+def stream_upsert_latest(spark, folder):
+    rows = shuffled_arrivals(spark, folder)
     target, checkpoint = scratch_path(spark, "latest"), scratch_path(spark, "checkpoint")
     upsert_stream(
         rows,
@@ -140,3 +146,16 @@ def stream_upsert_latest(spark, folder):
     ).awaitTermination()
     merged = spark.read.schema(T.StructType([*rows.schema.fields])).parquet(target)
     return merged.select("event_type", "date", "event_id", "ts", "value")
+
+
+@query("stream_newest_state", LATEST)
+def stream_newest_state(spark, folder):
+    """The newest row per key kept in the state store; the target gets changed keys only."""
+    rows = shuffled_arrivals(spark, folder)
+    target, checkpoint = scratch_path(spark, "latest"), scratch_path(spark, "checkpoint")
+    # Arrivals come in no order, so that lateness spans the whole table.
+    upsert_newest(
+        rows, target, ["event_type", "date"], ["ts", "event_id"], "ts", "36500 days", "month", checkpoint
+    ).awaitTermination()
+    merged = spark.read.schema(T.StructType([*rows.schema.fields])).parquet(target)
+    return merged.select("event_type", "date", "event_id", "ts", "value")

@@ -53,10 +53,10 @@ def extract_markup_rows(
     return cells.select(*keep, "row_no", F.transform("_raw", cell_text).alias("cells"))
 
 
-def require_rows(df: DataFrame, found: str) -> DataFrame:
+def require_rows(df: DataFrame, found: str, message: str = "price rows not found") -> DataFrame:
     """Fails the job on a page in which no row was found (``found`` is the count column)."""
     checked = F.when(
-        F.col(found) == 0, F.raise_error(F.lit("no row of the wanted shape in the page")).cast("bigint")
+        F.col(found) == 0, F.raise_error(F.lit(message)).cast("bigint")
     ).otherwise(F.col(found))
     return df.withColumn(found, checked)
 

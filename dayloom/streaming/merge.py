@@ -84,6 +84,7 @@ def upsert_stream(
     part: str,
     checkpoint: str,
     trigger: dict | None = None,
+    output_mode: str = "append",
 ) -> StreamingQuery:
     """Keeps ``target`` at the newest row per key, batch by batch.
 
@@ -98,6 +99,7 @@ def upsert_stream(
 
     return (
         stream.writeStream.foreachBatch(write_batch)
+        .outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
