@@ -99,7 +99,7 @@ ORDER_SPINE = f"""
 ORDER_FILLED = f"{ORDER_SPINE}, filled AS ({_filled_sql('sparse', 'series')})"
 
 
-def features_sql(source, by, y="price_a"):
+def features_sql(source, by, y="price_a", digits=4):
     part = f"PARTITION BY {by} ORDER BY date" if by else "ORDER BY date"
     seven = f"OVER ({part} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)"
     first = f"{by}, " if by else ""
@@ -107,9 +107,9 @@ def features_sql(source, by, y="price_a"):
       SELECT {first}date, {y} AS y,
              lag({y}, 1) OVER ({part}) AS y_lag1, lag({y}, 7) OVER ({part}) AS y_lag7,
              lag({y}, 28) OVER ({part}) AS y_lag28,
-             round(avg(price_b) {seven}, 4) AS b_ma7,
-             round(avg(precipitation) {seven}, 4) AS precip_ma7,
-             round(avg(soil_moisture) {seven}, 4) AS soil_ma7,
+             round(avg(price_b) {seven}, {digits}) AS b_ma7,
+             round(avg(precipitation) {seven}, {digits}) AS precip_ma7,
+             round(avg(soil_moisture) {seven}, {digits}) AS soil_ma7,
              CAST(dayofweek(date) + 1 AS VARCHAR) AS dow, CAST(month(date) AS VARCHAR) AS mon,
              lead({y}, 40) OVER ({part}) AS target_40
       FROM {source}"""
