@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,11 +13,49 @@ VALID_FLAG = "is_valid"
 
 
 def write_curated(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Create or fully replace the table at ``path``. ``df`` must not read from it."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    """Create or fully replace the table at ``path``, which ``df`` may read from.
+
+    The new table is written aside, in a hidden folder next to it, and takes the name once it is
+    complete; a write that fails leaves the old table as it was. A job that ends between the two
+    renames leaves the old table under ``_<name>.old-...``, from which the next write puts it back.
+    """
+    fs, to_path = _file_system(df.sparkSession, path)
+    target = to_path(path)
+    parent, name, mark = target.getParent(), target.getName(), uuid.uuid4().hex
+    fresh, old = to_path(parent, f"_{name}.new-{mark}"), to_path(parent, f"_{name}.old-{mark}")
+    restore_table(df.sparkSession, path)
+    writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    try:
+        writer.parquet(fresh.toString())
+    except Exception:
+        fs.delete(fresh, True)
+        raise
+    replaced = fs.exists(target)
+    if replaced and not fs.rename(target, old):
+        raise OSError(f"{path} cannot be moved aside")
+    if not fs.rename(fresh, target):
+        if replaced:
+            fs.rename(old, target)
+        raise OSError(f"the new table cannot be moved to {path}")
+    if replaced:
+        fs.delete(old, True)
+
+
+def restore_table(spark: SparkSession, path: str) -> bool:
+    """Puts back a table whose replacement was cut off between its two renames."""
+    fs, to_path = _file_system(spark, path)
+    target = to_path(path)
+    if fs.exists(target) or not fs.exists(target.getParent()):
+        return False
+    left = [f.getPath() for f in fs.listStatus(target.getParent()) if f.getPath().getName().startswith(f"_{target.getName()}.old-")]
+    return bool(left) and fs.rename(left[0], target)
+
+
+def _file_system(spark: SparkSession, path: str):
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    return to_path(path).getFileSystem(spark._jsc.hadoopConfiguration()), to_path
 
 
 def write_quarantine(df: DataFrame, path: str, errors: str = "errors") -> None:
@@ -48,10 +88,10 @@ def create_table(spark: SparkSession, path: str, schema) -> None:
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Deletes a folder that this library has written and no longer needs."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    fs, to_path = _file_system(spark, path)
+    fs.delete(to_path(path), True)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    fs, to_path = _file_system(spark, path)
+    return fs.exists(to_path(path))
