@@ -16,6 +16,9 @@ list, is paired with the others, verified and contracted; then only pairs betwee
 are candidates, and in a list they are sought for the classes outside its largest component. Every
 pair of classes that share enough prefix tokens is either in one component already or verified.
 
+A set also has a bitmap of ``BITS`` parities. Two sets differ by at least as many tokens as their bitmaps
+have different bits, so a pair whose bitmaps differ too much is refused where it meets, before it makes a row.
+
 Defined results: null and empty texts have no shingles and are linked with nothing; a text of
 fewer words than a shingle is one shingle; null ids take part and are never a component's
 smallest id unless there is no other; repeated rows are copies; an empty table gives no rows.
@@ -38,6 +41,8 @@ from dayloom.llm.components import components
 SKETCH = 1 << 18
 #: Longest extension of a prefix, and the cost of a verification in posting entries.
 MOST_MATCHES, VERIFY_COST = 4, 50
+#: Parities of a set's bitmap. Fewer or more change cost only: sets of a few thousand tokens fill them.
+BITS = 512
 
 
 def shingles(word_hashes: np.ndarray, size: int) -> np.ndarray:
@@ -51,6 +56,12 @@ def _least(n, percent: int):
     return -(-percent * n // 100)
 
 
+def _parities(tokens: np.ndarray) -> np.ndarray:
+    """How often each residue of a token occurs, modulo two, as 64-bit numbers."""
+    odd = np.bincount((tokens >> np.uint64(32)).astype(np.int64) % BITS, minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sign(tokens: np.ndarray) -> tuple[int, int]:
     digest = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
     return tuple(np.frombuffer(digest, np.int64).tolist())
@@ -99,7 +110,7 @@ def _rare_part(counts: np.ndarray) -> tuple[int, int, int]:
 
 
 def signatures(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, place, the set's 128-bit signature (s1, s2), its size n and its longest prefix."""
+    """doc_id, place, the set's 128-bit signature (s1, s2), its size n, its longest prefix and its bitmap."""
     order = _sketch(docs, size, doc_id, text)
 
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -112,14 +123,15 @@ def signatures(docs: DataFrame, size: int, percent: int, doc_id: str = "doc_id",
                 least = int(_least(n, percent))
                 ranked = np.lexsort((tokens, counts[(tokens & np.uint64(SKETCH - 1)).astype(np.int64)]))
                 prefix = tokens[ranked[: n - least + min(MOST_MATCHES, least)]]
-                rows.append((*_sign(tokens), n, *_rare_part(counts[(prefix & np.uint64(SKETCH - 1)).astype(np.int64)]), prefix.view(np.int64)))
-            s1, s2, n, rare, below, last, prefix = zip(*rows) if rows else ((), (), (), (), (), (), ())
+                rows.append((*_sign(tokens), n, *_rare_part(counts[(prefix & np.uint64(SKETCH - 1)).astype(np.int64)]), prefix.view(np.int64),
+                             _parities(tokens)))
+            s1, s2, n, rare, below, last, prefix, bits = zip(*rows) if rows else ((),) * 8
             yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64").array, "place": frame["place"].to_numpy(), "s1": np.array(s1, np.int64),
                                 "s2": np.array(s2, np.int64), "n": np.array(n, np.int64), "rare": np.array(rare, np.int64),
-                                "below": np.array(below, np.int64), "last": np.array(last, np.int64), "prefix": lists(prefix)})
+                                "below": np.array(below, np.int64), "last": np.array(last, np.int64), "prefix": lists(prefix), "bits": lists(bits)})
 
     return _hashed(docs, doc_id, text).mapInPandas(
-        sign, "doc_id long, place long, s1 long, s2 long, n long, rare long, below long, last long, prefix array<long>")
+        sign, "doc_id long, place long, s1 long, s2 long, n long, rare long, below long, last long, prefix array<long>, bits array<long>")
 
 
 def _cid(salt: int) -> Column:
@@ -133,7 +145,7 @@ def _classes(signed: DataFrame) -> tuple[DataFrame, int]:
     """
     rows = signed.where("n > 0").groupBy("s1", "s2").agg(
         F.min("doc_id").alias("min_id"), F.min(F.struct("doc_id", "place")).alias("_row"),
-        *(F.first(c).alias(c) for c in ("n", "rare", "below", "last", "prefix")),
+        *(F.first(c).alias(c) for c in ("n", "rare", "below", "last", "prefix", "bits")),
     )
     salt = 0
     while True:
@@ -188,8 +200,8 @@ def _stars(postings: DataFrame) -> DataFrame:
     return pairs.where("20 * shared >= least(n, na)").select("a", "b")
 
 
-def _candidates(postings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes of different components that share enough tokens of their prefixes."""
+def _met(postings: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """A row (x, y) for each token that two classes of different components share and that may count for a link."""
     known = postings.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(
         "token", "cid", "n", "level", "ell", "own", "below", "last", F.coalesce("component", "cid").alias("comp"))
     known = known.where("level <= ell")
@@ -197,15 +209,22 @@ def _candidates(postings: DataFrame, labels: DataFrame, percent: int) -> DataFra
     largest = F.max(F.struct("_own", "comp")).over(Window.partitionBy("token"))
     mixed = known.withColumn("_own", own).withColumn("_top", largest["comp"]).withColumn(
         "_several", F.min("comp").over(Window.partitionBy("token")) != F.max("comp").over(Window.partitionBy("token")))
-    mixed = written(mixed.where("_several").select("token", "cid", "n", "level", "ell", "own", "below", "last", "comp", (F.col("comp") != F.col("_top")).alias("rest")), "mixed")
+    mixed = mixed.where("_several").select("token", "cid", "n", "level", "ell", "own", "below", "last", "comp", (F.col("comp") != F.col("_top")).alias("rest"))
+    mixed = written(mixed.join(classes.select("cid", "bits"), "cid"), "mixed")
     overlap = f"(({percent} * (x.n + y.n) + {99 + percent}) div {100 + percent})"
     x, y = mixed.where("rest").alias("x"), mixed.alias("y")
-    met = x.join(y, F.col("x.token") == F.col("y.token")).where(
+    apart = " + ".join(f"bit_count(x.bits[{i}] ^ y.bits[{i}])" for i in range(BITS // 64))
+    return x.join(y, F.col("x.token") == F.col("y.token")).where(
         "x.comp != y.comp and (not y.rest or x.cid < y.cid) and greatest(x.level, y.level) <= least(x.ell, y.ell)"
     ).where(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)").where(
         # Tokens of one's own are not shared: what is left must reach the least overlap.
         f"not (x.below <= y.last and x.n - x.own < {overlap}) and not (y.below <= x.last and y.n - y.own < {overlap})"
-    )
+    ).where(f"x.n + y.n - ({apart}) >= 2 * {overlap}")
+
+
+def _candidates(postings: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of different components that share enough tokens of their prefixes."""
+    met = _met(postings, classes, labels, percent)
     pairs = met.groupBy(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).agg(
         F.count("*").alias("shared"), F.first(F.least("x.ell", "y.ell")).alias("ell"),
         F.first(F.col("x.n") + F.col("y.n")).alias("both"), F.first(F.greatest("x.n", "y.n")).alias("n"),
@@ -258,7 +277,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 90, doc_id: s
     postings = _matches(classes, percent)
     postings = written(postings.join(_choose(postings, classes, percent), "cid"), "chosen")
     stars = written(_verified(docs, classes, salt, _stars(postings), size, percent, doc_id, text), "stars")
-    pairs = _candidates(postings, written(components(stars), "labels"), percent)
+    pairs = _candidates(postings, classes, written(components(stars), "labels"), percent)
     links = stars.unionByName(_verified(docs, classes, salt, pairs, size, percent, doc_id, text))
     labels = written(components(links), "labels")
     named = classes.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(

@@ -63,6 +63,31 @@ def test_near_duplicates_of_an_empty_table_and_of_one_group(spark):
     assert {r["component_id"] for r in got} == {0} and sum(r["first_row"] for r in got) == 1
 
 
+def test_near_copies_below_the_threshold_do_not_meet_row_by_row(spark, monkeypatch):
+    random.seed(5)
+    pool = vocabulary(60)
+    base = [random.choice(pool) for _ in range(300)]
+    rows = []
+    for i in range(400):
+        near = list(base)
+        for at in random.sample(range(300), 9):
+            near[at] = random.choice(pool)
+        rows.append((i, " ".join(near)))
+    rows += [(1000 + i, rows[i][1] + " tail") for i in range(20)]
+    counted, real = [], jaccard_join._met
+
+    def met(*given):
+        found = real(*given)
+        counted.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard_join, "_met", met)
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=repr) == helpers.components(rows, 3, 90)
+    # 420 texts make 88,000 pairs that share many tokens of their prefixes.
+    assert counted[0] < 5 * len(rows)
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
