@@ -78,6 +78,10 @@ FROM counted GROUP BY ALL
 """
 
 
+#: A text that one row in so many holds is joined apart from the others.
+HOT_PART = 1000
+
+
 @query("op3_token_counts", OP3_SQL)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Four batches over all documents: counts, a second tokenizer, revisions, deletes.
@@ -103,8 +107,12 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 
     marked = written(docs.select("doc_id", "source", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"),
                                  F.col("text").isNull().alias("none")), "text-digests")
-    first = marked.groupBy("digest", "none").agg(F.min("doc_id").alias("first_id"))
-    copies = marked.join(first, ["digest", "none"]).where("doc_id > first_id")
+    first = written(marked.groupBy("digest", "none").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).where("n > 1"), "first-ids")
+    # Texts of one row in HOT_PART or more are fewer than HOT_PART, and rows of theirs need no shuffle.
+    total = marked.agg(F.count("*")).scalar()
+    hot = F.broadcast(first.where(F.col("n") * HOT_PART >= total).drop("n"))
+    rest = marked.join(hot, ["digest", "none"], "left_anti").join(first.drop("n"), ["digest", "none"])
+    copies = marked.join(hot, ["digest", "none"]).select(rest.columns).unionByName(rest).where("doc_id > first_id")
     gone = [changes(copies, version, F.lit(None).cast("long"), "delete") for version in token_counts.TOKENIZERS]
     for _ in range(2):
         rollup.apply(3, gone[0].unionByName(gone[1]))

@@ -65,9 +65,17 @@ class TokenRollup:
         parts = self.spark.read.schema(schema).option("basePath", self._path(kind))
         return parts.parquet(*(self._path(kind, b) for b in batches))
 
-    def ledger(self, batches: list[int] | None = None) -> DataFrame:
-        """The last state of each document and tokenizer version."""
+    def ledger(self, batches: list[int] | None = None, of: DataFrame | None = None) -> DataFrame:
+        """The last state of each document and tokenizer version; only those that ``of`` names, if given.
+
+        Rows of other keys leave before they are grouped, so a batch groups as many rows as it
+        has keys and earlier states of them. A small batch is broadcast by Spark's own limit and
+        then the ledger is not shuffled for it.
+        """
         rows = self._read("ledger", LEDGER, self.committed() if batches is None else batches)
+        if of is not None:
+            same = reduce(lambda a, b: a & b, (F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in KEY))
+            rows = rows.alias("o").join(of.select(*KEY).alias("n"), same, "left_semi")
         last = F.max(F.struct("batch", "source", "lang", "tokens", "alive")).alias("_last")
         return rows.groupBy(*KEY).agg(last).select(*KEY, "_last.source", "_last.lang", "_last.tokens", "_last.alive")
 
@@ -89,9 +97,7 @@ class TokenRollup:
         )
         new.write.mode("overwrite").parquet(self._path("ledger", batch))
         new = self.spark.read.schema(new.schema).parquet(self._path("ledger", batch))
-        old = self.ledger(done)
-        same = reduce(lambda a, b: a & b, (F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in KEY))
-        replaced = old.alias("o").join(new.alias("n"), same, "left_semi")
+        replaced = self.ledger(done, new)
         signed = new.where("alive").select(*GROUP, F.lit(1).alias("docs"), "tokens").unionByName(
             replaced.where("alive").select(*GROUP, F.lit(-1).alias("docs"), (-F.col("tokens")).alias("tokens"))
         )
