@@ -29,7 +29,7 @@ from dayloom.session import scratch_path
 from dayloom.sources.documents import explode_records, latest_observation, unpivot_json_maps
 from dayloom.sources.lines import NO_SEPARATOR, parse_csv_line, parse_plain_line, read_lines
 from dayloom.sources.markup import dated_prices, extract_markup_rows, markup_latest_row, require_rows
-from dayloom.sources.markup_depth import count_rows, extract_nested_rows
+from dayloom.sources.markup_depth import page_rows
 from dayloom.sources.messages import build_envelope, decode_payload, encode_messages
 
 
@@ -229,14 +229,18 @@ def markup_nested_rows(spark, folder):
         F.lit("<tr id='table_1_row_1'><td>short</td></tr></tbody></table>"),
     )
     pages = orders.join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left").select("o_orderkey", page.alias("html"))
-    found = require_rows(count_rows(pages, "html", keep=("o_orderkey",)), "found")
-    own = extract_nested_rows(pages, "html", keep=("o_orderkey",))
-    every = extract_nested_rows(pages, "html", nested_cells=True, keep=("o_orderkey",)).select(
-        "o_orderkey", (F.size("cells") - 6).cast("long").alias("n_inner")
-    )
-    dated = dated_prices(own, ("o_orderkey",)).drop("row_no")
-    inner = own.select("o_orderkey", "row_no", F.element_at("cells", 3).alias("inner_text"))
-    return dated.join(inner, "o_orderkey").join(every, "o_orderkey").join(found, "o_orderkey")
+    scanned = require_rows(page_rows(pages, "html", nested_cells=True, keep=("o_orderkey",)), "found")
+    # Pages without rows stay until they are checked.
+    rows = scanned.select("o_orderkey", "found", F.explode_outer("rows").alias("row"))
+    own = rows.select(
+        "o_orderkey",
+        "found",
+        "row.row_no",
+        F.transform(F.filter("row.cells", lambda c: c["own"]), lambda c: c["text"]).alias("cells"),
+        (F.size("row.cells") - 6).cast("long").alias("n_inner"),
+    ).where(F.size("cells") >= 6)
+    kept = own.withColumn("inner_text", F.element_at("cells", 3))
+    return dated_prices(kept, ("o_orderkey", "inner_text", "n_inner", "found"))
 
 
 @query(

@@ -3,11 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from dayloom.catalog import QUERIES
 from dayloom.sources.markup import require_rows
-from dayloom.sources.markup_depth import count_rows, extract_nested_rows
+from dayloom.sources.markup_depth import count_rows, extract_nested_rows, page_rows
 from support import values
 
 
@@ -101,3 +103,32 @@ def test_empty_null_and_clashing_names(spark):
     with pytest.raises(Exception, match="price rows not found"):
         require_rows(counted, "found").collect()
     assert extract_nested_rows(df.where("false"), "html").count() == 0
+
+
+def test_one_pass_gives_counts_and_cells(spark):
+    df = spark.createDataFrame([(1, NESTED), (2, None), (3, "<table><tr><td>x</table>")], "page int, html string")
+    one = {r.page: r for r in page_rows(df, "html", nested_cells=True, keep=("page",)).collect()}
+    assert [one[p].found for p in (1, 2, 3)] == [3, 0, 0] and one[2].rows == []
+    outer = one[1].rows[0]
+    assert [c.text for c in outer.cells if c.own] == ["1", "02/01/2024\n", "indeepz", "a &lt; b", "q", "9"]
+    assert [c.text for c in outer.cells if not c.own] == ["in", "deepz", "z"]
+    checked = require_rows(page_rows(df, "html", keep=("page",)), "found").select("found", F.explode_outer("rows"))
+    with pytest.raises(Exception, match="price rows not found"):
+        checked.collect()
+
+
+def test_query_folds_each_page_once(spark):
+    plan = QUERIES["markup_nested_rows"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    # The lines of an order are its only join: no page is folded or sent again for its counts.
+    assert sum("Join " in line for line in plan.split("== Initial Plan ==")[-1].splitlines()) == 1
+
+
+def test_names_and_tags_at_their_edges(spark):
+    pages = [
+        "<table><tr id=table_1><td>a<tdé>b<TD_>c<Td>d",
+        '<table><tr title="<td" id=table_1><td>a',
+        "<table><tr ıd=table_1><td>a<tr ID = 'table_2'><td>&amp;nbsp;\u00a0</ſcript>",
+        "<SCRIPT><td></script ><tr id=table_1><td>1<td",
+    ]
+    assert got(spark, pages) == [(0, 0, ["abc", "d"]), (2, 0, ["&nbsp;\u00a0</ſcript>"]), (3, 0, ["1", "<td"])]
