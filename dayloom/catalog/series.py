@@ -21,6 +21,7 @@ from dayloom.operators.spine import (
     bounds_by_key,
     date_spine,
     join_on_spine,
+    series_parts,
     spine_bounds,
 )
 from dayloom.sources.tables import register_view
@@ -333,9 +334,12 @@ def calendar_parts_query(spark, folder):
 def feature_matrix_query(spark, folder):
     """Flagship: from raw lines to the features of every supplier's series."""
     daily = line_daily(spark, folder)
-    # The newest day comes from the raw column alone: statistics and one partial maximum.
-    top = table(spark, folder, "lineitem").agg(F.max("l_shipdate").cast("date")).scalar()
-    dense = as_of_daily([(daily, VALUES)], "date", ["l_suppkey"], START, top)
+    # The newest day and about how many series there are come from the raw columns alone.
+    top, n_series = table(spark, folder, "lineitem").agg(
+        F.max("l_shipdate").cast("date"), F.approx_count_distinct("l_suppkey")
+    ).first()
+    parts = series_parts(daily, n_series, START, top)
+    dense = as_of_daily([(daily, VALUES)], "date", ["l_suppkey"], START, top, parts, unique=True)
     features = rounded(feature_matrix(dense, "price_a", AVERAGED, by=["l_suppkey"]))
     return register_view(features, "series_features")
 

@@ -11,6 +11,9 @@ from pyspark.sql.window import Window
 from dayloom.operators.dedup import any_value_by_key
 from dayloom.operators.series import series_window
 
+#: Days that a task sorts of dense series: some 200 MB for four values.
+DAYS_PER_TASK = 1 << 20
+
 
 def _day(value: Column | dt.date) -> Column:
     return F.lit(value) if isinstance(value, dt.date) else value
@@ -58,12 +61,25 @@ def join_on_spine(
     return out
 
 
+def series_parts(df: DataFrame, n_series: int, lo: dt.date, hi: dt.date | None) -> int | None:
+    """Parts for dense series of all days, so that a task sorts about ``DAYS_PER_TASK`` of them.
+
+    Partitions are sized by the observed days that are shuffled, but each of those becomes as many
+    dense days as pass until the next. None where the cores at hand already make as many parts.
+    """
+    days = n_series * ((hi - lo).days + 1) if hi is not None else 0
+    parts = -(-days // DAYS_PER_TASK)
+    return parts if parts > df.sparkSession.sparkContext.defaultParallelism else None
+
+
 def as_of_daily(
     sources: list[tuple[DataFrame, list[str]]],
     date: str,
     by: list[str] | None = None,
     lo: Column | dt.date | None = None,
     hi: Column | dt.date | None = None,
+    parts: int | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Latest known value of every column on every day from ``lo`` to ``hi``.
 
@@ -75,6 +91,9 @@ def as_of_daily(
     Without ``lo``/``hi`` each key runs from its own first to its own last day. Days before
     the first observation hold nulls. Without a key the observed days, one row each, are
     filled in one task: the calendar bounds them.
+
+    Very many series take ``parts``, see ``series_parts``. ``unique`` says that a single keyed
+    source has one row per key and day already, so that its rows are not grouped again.
     """
     by = list(by or [])
     names = [c for _, columns in sources for c in columns]
@@ -94,7 +113,10 @@ def as_of_daily(
             *[F.lit(None).cast(stacked.schema[c].dataType).alias(c) for c in names],
         )
         stacked = stacked.unionByName(opening)
-    observed = any_value_by_key(stacked, [*by, date], names)
+    grouped = unique and by and len(sources) == 1
+    observed = stacked if grouped else any_value_by_key(stacked, [*by, date], names)
+    if parts and by:
+        observed = observed.repartition(parts, *by)
     return repeat_until_next(observed, date, names, by, lo, hi)
 
 

@@ -7,6 +7,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from support import plan_of, values
+from dayloom.catalog import QUERIES
+from dayloom.operators import spine
 from dayloom.operators.features import add_lags, add_lead_target, add_moving_avg, feature_matrix
 from dayloom.operators.fill import forward_fill
 from dayloom.operators.series import assert_dense, over_series
@@ -90,6 +92,27 @@ def test_as_of_daily_takes_no_join(spark):
     assert text.count("Exchange hashpartitioning") == 2
 
 
+@SLOW
+@given(SPARSE)
+def test_as_of_daily_in_parts_equals_plain(spark, rows):
+    df = frame(spark, rows)
+    plain = values(as_of_daily([(df, ["v"])], "date", ["k"], day(0), day(60)))
+    cut = as_of_daily([(df, ["v"])], "date", ["k"], day(0), day(60), parts=5, unique=True)
+    assert values(cut) == plain and (not rows or cut.rdd.getNumPartitions() == 5)
+
+
+def test_feature_matrix_bounds_the_days_of_a_task(spark, monkeypatch):
+    folder = "/root/testdata/sf0.001"
+    whole = QUERIES["feature_matrix"](spark, folder)
+    expected, days = values(whole), whole.count()
+    monkeypatch.setattr(spine, "DAYS_PER_TASK", days // 50)
+    cut = QUERIES["feature_matrix"](spark, folder)
+    assert 45 <= cut.rdd.getNumPartitions() <= 55
+    assert values(cut) == expected
+    # Summed once and gathered by series once: days are not grouped again in between.
+    assert plan_of(cut).split("== Initial Plan ==")[-1].count("HashAggregate(keys=[l_suppkey") == 2
+
+
 @SLOW
 @given(SPARSE, st.integers(1, 20))
 def test_bucketed_fill_equals_plain(spark, rows, width):
