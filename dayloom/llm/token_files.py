@@ -46,6 +46,8 @@ PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 #: Documents encoded together, so that word lists stay small beside long texts.
 TOGETHER = 256
+#: Plain pieces encoded as one text, with white space between them.
+JOINED = 500
 #: Control characters that Python's split() takes for white space and the tokenizer does not.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
 
@@ -85,6 +87,8 @@ class WordEncoder:
             told = json.load(source)
         if told.get("normalizer") != NORMALIZER or told.get("pre_tokenizer") != PRE_TOKENIZER:
             self._whole = ("",)
+        # A text of pieces side by side must hold no added token that its pieces do not hold.
+        self._apart = tuple(a.content for a in self._tokenizer.get_added_tokens_decoder().values())
         self._words = _Words()
         self._ends: int | None = None
         # Ids of all numbered words, one after the other, and where each word's begin.
@@ -94,6 +98,24 @@ class WordEncoder:
         """Little-endian 32-bit ids of each text."""
         return [np.array(e.ids, "<i4").tobytes() for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _piece_ids(self, pieces: list[str]) -> list[bytes]:
+        """As ``_ids``, for plain pieces: each is one word of their joined text, or all are encoded apart."""
+        out = []
+        for at in range(0, len(pieces), JOINED):
+            some = pieces[at:at + JOINED]
+            text = " ".join(some)
+            if not any(c in text for c in self._apart):
+                told = self._tokenizer.encode(text, add_special_tokens=False)
+                words = told.word_ids
+                # As many words as pieces, of which each has one at least.
+                if words and None not in words and words[-1] == len(some) - 1:
+                    ids = np.array(told.ids, "<i4").tobytes()
+                    ends = (4 * np.cumsum(np.bincount(words))).tolist()
+                    out += [ids[a:b] for a, b in zip([0, *ends], ends)]
+                    continue
+            out += self._ids(some)
+        return out
+
     def _cut(self, text: str) -> list:
         """Pieces and words of a text in order; a text to encode whole is a tuple."""
         if any(c in text for c in (*NOT_SPACE, *self._whole)):
@@ -108,9 +130,12 @@ class WordEncoder:
 
     def _number(self, words: list) -> None:
         """Appends the ids of what was numbered last; None is the end of a text."""
-        told = iter(self._ids([w if isinstance(w, str) else w[0] for w in words if w is not None]))
+        # Only pieces of plain letters may be joined; texts encoded whole and words as they are may not.
+        joined = [isinstance(w, str) and PLAIN.fullmatch(w) is not None for w in words]
+        pieces = iter(self._piece_ids([w for w, plain in zip(words, joined) if plain]))
+        others = iter(self._ids([w if isinstance(w, str) else w[0] for w, plain in zip(words, joined) if not plain and w is not None]))
         last = np.array([self._ends], "<i4").tobytes()
-        ids = [last if w is None else next(told) for w in words]
+        ids = [next(pieces) if plain else last if w is None else next(others) for w, plain in zip(words, joined)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         self._flat = np.concatenate((self._flat, np.frombuffer(b"".join(ids), "<i4")))
         self._starts = np.concatenate((self._starts, self._starts[-1] + np.cumsum(sizes)))

@@ -317,6 +317,23 @@ def test_words_are_cut_as_the_library_cuts_them():
         assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], repr(text)
 
 
+def test_new_pieces_are_encoded_side_by_side(monkeypatch):
+    from tokenizers import Tokenizer
+
+    tokenizer, alone = Tokenizer.from_file(FILE), []
+    apart = token_files.WordEncoder._ids
+    monkeypatch.setattr(token_files.WordEncoder, "_ids", lambda self, texts: alone.extend(texts) or apart(self, texts))
+    texts = [" ".join(f"né{i}w ({i})'s" for i in range(700)), "it''s ...", "plain \u4e2d\u6587 words", "<|endoftext|>"]
+    encoder = token_files.WordEncoder(FILE, added_tokens=True)
+    for text, ids in zip(texts, cut(*encoder.encode(texts, 2))):
+        assert ids.tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 2], repr(text)
+    # Only what is no plain piece is a text of its own.
+    assert set(alone) == {"\u4e2d\u6587", "<|endoftext|>"}
+    # Pieces that would spell an added token side by side are encoded apart.
+    encoder._apart = ("b c",)
+    assert encoder._piece_ids(["b", "c"]) == apart(encoder, ["b", "c"]) and alone[-2:] == ["b", "c"]
+
+
 def test_token_files_query_holds_added_tokens_as_the_library_does(spark, tmp_path):
     from tokenizers import Tokenizer
 
