@@ -21,7 +21,7 @@ import base64
 import json
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dayloom.llm.common import named, written
@@ -31,8 +31,8 @@ RANK_BUCKETS, SIDE = 131071, 1 << 20
 #: Rank of a pair that no token joins, and the bit from which a piece's number holds its rank: ids and
 #: ranks have 20 bits, places in a word 23.
 NEVER, RANK_AT = SIDE - 1, 43
-#: Most words whose ids are folded ahead, and the longest of them in bytes: a few MB per task.
-KNOWN_WORDS, KNOWN_BYTES, WORD_BUCKETS = 1 << 16, 32, 1 << 16
+#: Most words whose ids are folded ahead, and the longest of them in bytes: some 120 bytes each.
+KNOWN_WORDS, KNOWN_BYTES, WORD_BUCKETS = 1 << 18, 32, 1 << 18
 
 # Unicode white space, and the letters and numbers that the public tokenizer library
 # knows (Unicode 16) and Java 17 does not (Unicode 13), as ranges of code points.
@@ -229,11 +229,20 @@ def text_words(text: Column, pattern: str) -> Column:
 
 def known_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str = "text",
                 rows: int = KNOWN_WORDS) -> DataFrame:
-    """word and ids of the words that most documents hold, at most ``rows``, folded once each."""
+    """word and ids of the words that most documents hold, at most ``rows``, folded once each.
+
+    The words are those above a number of documents, which comes from how many words each number has:
+    no task ranks them. Words that share the last number are all in or all out.
+    """
     found = docs.select(F.explode(F.array_distinct(text_words(named(text), pattern))).alias("word"))
     counts = found.where(F.octet_length("word") <= KNOWN_BYTES).groupBy("word").agg(F.count("*").alias("n"))
-    top = written(counts.where("n > 1").orderBy(F.desc("n"), "word").limit(rows).select("word"), "bpe-top")
-    # Dealt anew after the limit, so that all cores fold.
+    often = written(counts.where("n > 1"), "bpe-counts")
+    # One row for each number of documents goes through this window.
+    so_far = F.sum("words").over(Window.orderBy(F.desc("n")))
+    least = often.groupBy("n").agg(F.count("*").alias("words")).select("n", so_far.alias("words")).where(
+        F.col("words") <= rows).agg(F.min("n")).first()[0]
+    top = often.where(F.lit(False) if least is None else F.col("n") >= least).select("word")
+    # Dealt anew, so that all cores fold.
     folded = vocabulary.applied(
         top.repartition(F.xxhash64("word")), lambda t: vocabulary.fold(t, F.col("word").cast("binary")), "rank", "first", "bytes")
     return written(folded.select("word", F.col("_told").alias("ids")), "bpe-words")

@@ -38,6 +38,18 @@ def test_ids_and_round_trip_as_the_library(spark, rows):
         assert bytes(got[i]["decoded"]) == (text or "").encode()
 
 
+def test_known_words_are_those_above_a_number_of_documents(spark):
+    texts = ["a b c d", "a b c d", "a b", "a", "e " + "x" * 40, "x" * 40]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    vocabulary = bpe.Vocabulary(spark, RANKS)
+    known = lambda rows: sorted(r["word"] for r in bpe.known_words(docs, vocabulary, P.PATTERN, rows=rows).collect())
+    # " c" and " d" share their number; long words and those of one document are never known.
+    assert known(4) == [" b", " c", " d", "a"] and known(3) == [" b", "a"] and known(1) == ["a"] and known(0) == []
+    texts = [*texts, None, "c a d b"]
+    for i, one in encoded(spark, texts, rows=3).items():
+        assert list(one["ids"]) == LIBRARY.encode_ordinary(texts[i] or "")
+
+
 def test_newer_letters_and_numbers_are_split_as_the_library_does(spark):
     marks = [chr(c) for c in range(0x80, 0x32400, 7) if not 0xD800 <= c <= 0xDFFF]
     texts = [f"a{m}b 1{m}2 {m}" for m in marks]
