@@ -18,8 +18,8 @@ others are ignored. A word longer than its neighbours costs a step per merge.
 from __future__ import annotations
 
 import base64
-import json
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -31,6 +31,8 @@ RANK_BUCKETS, SIDE = 131071, 1 << 20
 #: Rank of a pair that no token joins, and the bit from which a piece's number holds its rank: ids and
 #: ranks have 20 bits, places in a word 23.
 NEVER, RANK_AT = SIDE - 1, 43
+#: The numbers of bytes and the number of a word's edges.
+BYTES = 257
 #: Most words whose ids are folded ahead, and the longest of them in bytes: some 120 bytes each.
 KNOWN_WORDS, KNOWN_BYTES, WORD_BUCKETS = 1 << 18, 32, 1 << 18
 
@@ -83,20 +85,20 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once for each row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    """``body`` of a value that is computed once for each row: the end of a fold over nothing, which copies no result."""
+    return F.aggregate(F.array(), value, lambda same, _: same, body)
 
 
-def _packed(rows: DataFrame, buckets: int, *columns: str) -> DataFrame:
-    """One row and column: for each of ``columns`` an array of buckets, each an array of values.
+def _packed(rows: DataFrame, buckets: int, key: str, value: str) -> DataFrame:
+    """One row and column: an array of buckets, each a map from ``key`` to ``value``, or null where there is none.
 
-    ``rows`` has ``bucket``. All of it must fit a task; that is for the caller's bounds.
+    ``rows`` has ``bucket``. All of it must fit a task; that is for the caller's bounds. A map is one
+    block of memory, read in one or two places by a look-up.
     """
-    each = rows.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct(*columns))).alias("_in"))
+    each = rows.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct(key, value))).alias("_in"))
     every = rows.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")).join(each, "bucket", "left")
-    ordered = every.agg(F.sort_array(F.collect_list(F.struct("bucket", F.coalesce("_in", F.array()).alias("_in")))).alias("_all"))
-    pick = lambda c: F.transform("_all", lambda b: F.transform(b["_in"], lambda v: v[c])).alias(c)
-    return ordered.select(F.struct(*map(pick, columns)).alias("t"))
+    ordered = every.agg(F.sort_array(F.collect_list(F.struct("bucket", "_in"))).alias("_all"))
+    return ordered.select(F.transform("_all", lambda b: F.map_from_entries(b["_in"])).alias("t"))
 
 
 def _word_bucket(word: Column) -> Column:
@@ -120,16 +122,15 @@ class Vocabulary:
                 if left is not None and right is not None:
                     key = left * SIDE + right
                     pairs.append((key % RANK_BUCKETS, key, rank))
-        singles = [ranks[bytes([b])] for b in range(256)]
-        pairs_of_bytes = [(256 * token[0] + token[1], rank) for token, rank in ranks.items() if len(token) == 2]
+        singles = [*(ranks[bytes([b])] for b in range(256)), SIDE - 1]
+        two = {(token[0], token[1]): rank for token, rank in ranks.items() if len(token) == 2}
+        first = [(a * BYTES + b, (two.get((a, b), NEVER) << RANK_AT) + singles[a]) for a in range(BYTES) for b in range(BYTES)]
         pieces = [(rank, token.hex()) for token, rank in ranks.items()]
         self._tables = {
             "rank": _packed(spark.createDataFrame(pairs, "bucket int, key long, id int"), RANK_BUCKETS, "key", "id"),
             # Made by Spark: as a literal of text the table would be copied with every step of the plan.
-            "first": spark.range(1 << 16).select(F.col("id").cast("int").alias("pair")).join(
-                spark.createDataFrame(pairs_of_bytes, "pair int, rank int"), "pair", "left"
-            ).agg(F.transform(F.sort_array(F.collect_list(F.struct("pair", "rank"))), lambda x: x["rank"])),
-            "bytes": spark.range(1).select(F.from_json(F.lit(json.dumps(singles)), "array<int>")),
+            "first": spark.createDataFrame(first, "pair int, piece long").agg(
+                F.transform(F.sort_array(F.collect_list(F.struct("pair", "piece"))), lambda x: x["piece"])),
             "pieces": spark.range(max(ranks.values()) + 1).select(F.col("id").cast("int").alias("rank")).join(
                 spark.createDataFrame(pieces, "rank int, hex string"), "rank", "left"
             ).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "hex"))), lambda x: x["hex"])),
@@ -142,16 +143,13 @@ class Vocabulary:
     def applied(self, df: DataFrame, body, *tables: str) -> DataFrame:
         """``df`` with the column ``_told``: what ``body`` makes of the tables."""
         told = F.struct(*(self._tables[t].scalar().alias(t) for t in tables))
-        fields = {"rank": ("key", "id"), "words": ("word", "ids")}
-        paths = [(t, f) for t in tables for f in fields.get(t, (None,))]
 
         def bound(t, found: dict):
             """``body`` with every table taken out of the struct once for each row."""
-            if len(found) == len(paths):
+            if len(found) == len(tables):
                 return body(found)
-            table, field = paths[len(found)]
-            value = t[table][field] if field else t[table]
-            return _let(value, lambda v: bound(t, {**found, field or table: v}))
+            table = tables[len(found)]
+            return _let(t[table], lambda v: bound(t, {**found, table: v}))
 
         # Used once, the value goes into the expression and not through a row of its own.
         return df.withColumn("_tables", told).select(
@@ -161,52 +159,43 @@ class Vocabulary:
     def rank(t: dict, left: Column, right: Column) -> Column:
         """The rank of two neighbours joined, or ``NEVER``."""
         key = left * SIDE + right
-        at = F.pmod(key, F.lit(RANK_BUCKETS)).cast("int")
-        return F.coalesce(F.get(F.get(t["id"], at), (F.array_position(F.get(t["key"], at), key) - 1).cast("int")), F.lit(NEVER))
+        return F.coalesce(F.get(t["rank"], F.pmod(key, F.lit(RANK_BUCKETS)).cast("int"))[key], F.lit(NEVER))
 
     @classmethod
     def fold(cls, t: dict, word: Column) -> Column:
         """Ids of one word given as bytes.
 
         A piece is one number: its rank with the piece after it, its place, its id. The least number is
-        the leftmost pair of least rank. A piece that joins nothing stands at each end.
+        the leftmost pair of least rank. A piece that joins nothing stands before the first, null after the last.
         """
-        size = F.octet_length(word)
         of = lambda rank, rest: F.shiftleft(rank.cast("long"), RANK_AT) + rest
         token = lambda x: x.bitwiseAND(F.lit(SIDE - 1))
-        end = F.array(of(F.lit(NEVER), F.lit(SIDE - 1).cast("long")))
-        # Each byte as the character of that number.
-        letters = F.transform(F.split(F.decode(word, "ISO-8859-1"), ""), lambda c: F.ascii(c))
-        first = lambda b, i, each: of(F.coalesce(F.get(t["first"], b * 256 + F.get(each, i + 1)), F.lit(NEVER)),
-                                      i.cast("long") * SIDE + F.get(t["bytes"], b))
-        start = _let(letters, lambda each: F.concat(end, F.transform(each, lambda b, i: first(b, i, each)), end))
-        state = lambda x: F.struct(x.alias("x"), F.array_min(x).alias("least"))
-
-        def merge(s, _):
-            x, least = s["x"], s["least"]
-            new = F.shiftright(least, RANK_AT)
-
-            def at(m):
-                before, after = F.get(x, m - 2), F.get(x, m + 1)
-                rest = lambda v: v.bitwiseAND(F.lit((1 << RANK_AT) - 1))
-                joined = of(cls.rank(t, new, token(after)), rest(least) - token(least) + new)
-                return F.concat(F.slice(x, F.lit(1), m - 2), F.array(of(cls.rank(t, token(before), new), rest(before)), joined),
-                                F.slice(x, m + 2, F.size(x)))
-
-            return F.when(new == NEVER, s).otherwise(_let(_let(F.array_position(x, least).cast("int"), at), state))
-
-        none = F.array().cast("array<int>")
-        told = lambda s: F.transform(F.slice(s["x"], F.lit(2), F.size(s["x"]) - 2), lambda v: token(v).cast("int"))
-        folded = F.aggregate(F.sequence(F.lit(1), size), _let(start, state), merge, told)
-        return F.when(size == 0, none).otherwise(folded)
+        rest = lambda x: x.bitwiseAND(F.lit((1 << RANK_AT) - 1))
+        # Each byte as the character of that number, between two of the number that no byte has.
+        edge = F.lit(chr(BYTES - 1))
+        letters = F.transform(F.split(F.concat(edge, F.decode(word, "ISO-8859-1"), edge), ""), lambda c: F.ascii(c))
+        first = lambda b, i, each: F.get(t["first"], b * BYTES + F.get(each, i + 1)) + i.cast("long") * SIDE
+        start = _let(letters, lambda each: F.transform(each, lambda b, i: first(b, i, each)))
+
+        def merge(x, _):
+            def joined(least, m):
+                """Three pieces out, two in: the numbers differ, and this costs less than slices put together."""
+                before, after, new = F.get(x, m - 2), F.get(x, m + 1), F.shiftright(least, RANK_AT)
+                left = reduce(F.array_remove, (before, least, F.get(x, m)), x)
+                put = F.array_insert(left, m - 1, of(cls.rank(t, new, token(after)), rest(least) - token(least) + new))
+                return F.array_insert(put, m - 1, of(cls.rank(t, token(before), new), rest(before)))
+
+            return _let(F.array_min(x), lambda least: F.when(F.shiftright(least, RANK_AT) == NEVER, x).otherwise(
+                _let(F.array_position(x, least).cast("int"), lambda m: joined(least, m))))
+
+        told = lambda x: F.transform(F.slice(x, F.lit(2), F.size(x) - 2), lambda v: token(v).cast("int"))
+        folded = F.aggregate(F.sequence(F.lit(1), F.octet_length(word)), start, merge, told)
+        return F.when(F.octet_length(word) == 0, F.array().cast("array<int>")).otherwise(folded)
 
     @classmethod
     def look_up(cls, t: dict, word: Column) -> Column:
         """Ids of a word: known ones, or else its fold."""
-        at = _word_bucket(word)
-        ids = F.get(F.get(t["ids"], at), (F.array_position(F.get(t["word"], at), word) - 1).cast("int"))
-        return F.coalesce(ids, cls.fold(t, word.cast("binary")))
-
+        return F.coalesce(F.get(t["words"], _word_bucket(word))[word], cls.fold(t, word.cast("binary")))
 
     @staticmethod
     def decode(t: dict, ids: Column) -> Column:
@@ -244,7 +233,7 @@ def known_words(docs: DataFrame, vocabulary: Vocabulary, pattern: str, text: str
     top = often.where(F.lit(False) if least is None else F.col("n") >= least).select("word")
     # Dealt anew, so that all cores fold.
     folded = vocabulary.applied(
-        top.repartition(F.xxhash64("word")), lambda t: vocabulary.fold(t, F.col("word").cast("binary")), "rank", "first", "bytes")
+        top.repartition(F.xxhash64("word")), lambda t: vocabulary.fold(t, F.col("word").cast("binary")), "rank", "first")
     return written(folded.select("word", F.col("_told").alias("ids")), "bpe-words")
 
 
@@ -260,5 +249,5 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "
         ids = F.flatten(F.transform(text_words(F.col("_text"), pattern), lambda w: vocabulary.look_up(t, w)))
         return _let(ids, lambda i: F.struct(i.alias("ids"), vocabulary.decode(t, i).alias("decoded")))
 
-    encoded = vocabulary.applied(ready, told, "rank", "first", "bytes", "words", "pieces")
+    encoded = vocabulary.applied(ready, told, "rank", "first", "words", "pieces")
     return encoded.select(*(F.col(n).alias(c) for n, c in zip(names, keep)), F.col("_told").alias("bpe"))

@@ -50,6 +50,20 @@ def test_known_words_are_those_above_a_number_of_documents(spark):
         assert list(one["ids"]) == LIBRARY.encode_ordinary(texts[i] or "")
 
 
+def test_fold_of_single_words_and_its_plan(spark):
+    random.seed(11)
+    words = ["a", "aa", "aaa", "aaaa", "abababa", "\x00", "\xff", "é", "漢字", "a" * 257, " " * 70]
+    words += ["".join(random.choice("aeinrst hé漢") for _ in range(random.randint(1, 40))) for _ in range(400)]
+    df = spark.createDataFrame([(w,) for w in words], "word string")
+    # Nothing but the pieces at the end is sliced, and no value is named by a transform, which would copy it.
+    plan = bpe.encode(df, RANKS, P.PATTERN, text="word", keep=("word",))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("slice(") == 1 and "transform(array(" not in plan
+    vocabulary = bpe.Vocabulary(spark, RANKS)
+    folded = vocabulary.applied(df, lambda t: vocabulary.fold(t, F.col("word").cast("binary")), "rank", "first")
+    for word, ids in folded.collect():
+        assert list(ids) == LIBRARY._encode_single_piece(word), word
+
+
 def test_newer_letters_and_numbers_are_split_as_the_library_does(spark):
     marks = [chr(c) for c in range(0x80, 0x32400, 7) if not 0xD800 <= c <= 0xDFFF]
     texts = [f"a{m}b 1{m}2 {m}" for m in marks]
